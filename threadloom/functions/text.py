@@ -23,6 +23,11 @@ _REMAPPED = {0x00: "�", 0x0D: "\r"} | {
     for b in range(0x80, 0xA0)
 }
 
+# References of which most texts have no others; "&amp;" has to be the last one.
+_USUAL = [("lt;", "<"), ("gt;", ">"), ("quot;", '"'), ("amp;", "&")]
+_UNUSUAL = "&(?=[#A-Za-z])(?!(?:lt|gt|quot|amp);)"
+_LONGEST_NAME = max(map(len, html5))
+
 _TAG = rf"</?(?!pre|code|a){WORD}[^>]*+>"
 _CODE_BLOCK = r"(?isu)<pre><code>(.*?)</code></pre>"
 _LINK = rf"(?iu)<a{SPACE}+href="
@@ -38,30 +43,37 @@ _VOWELLESS_WORD = rf"{STARTS_WORD}[\p{{L}}\p{{N}}_&&[^aeiouy]]++{ENDS_WORD}"
 # ---- entities -----------------------------------------------------------------
 
 def unescape(text: Column) -> Column:
-    """Decode HTML5 character references (named, decimal, hex; ``;`` optional where HTML allows)."""
+    """Decode HTML5 character references (named, decimal, hex; ``;`` optional where HTML allows).
+
+    A text with none but the four usual references is decoded by plain replacement
+    (``&amp;`` last, so nothing is decoded twice); only the others are cut at each ``&``.
+    """
+    plain = text
+    for name, char in _USUAL:
+        plain = F.replace(plain, F.lit(f"&{name}"), F.lit(char))
     pieces = F.split(text, "&")
     decoded = F.array_join(
         F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(_decode(piece))), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    return F.when(~text.contains("&"), text).when(text.rlike(_UNUSUAL), decoded).otherwise(plain)
 
 
 def _decode(piece: Column) -> Column:
-    """Decode one piece of text that followed an ``&``."""
-    branches = F.when(piece.startswith("#"), _decode_number(piece))
-    # References seen most go first: a prefix test is cheaper than the table.
-    for name, char in (("lt;", "<"), ("gt;", ">"), ("amp;", "&"), ("quot;", '"'), ("nbsp;", "\xa0")):
-        branches = branches.when(piece.startswith(name), F.concat(F.lit(char), F.substring(piece, len(name) + 1, _ALL)))
-    return branches.when(piece.rlike("^[A-Za-z]"), _decode_name(piece)).otherwise(F.concat(F.lit("&"), piece))
+    """Decode one piece of text that followed an ``&``.  Only its head is looked at."""
+    head = F.substring(piece, 1, _LONGEST_NAME)
+    chain = F
+    for name, char in _USUAL:
+        chain = chain.when(piece.startswith(name), F.concat(F.lit(char), F.substring(piece, len(name) + 1, _ALL)))
+    return (chain.when(piece.startswith("#"), _decode_number(piece))
+            .when(head.rlike("^[A-Za-z]"), _decode_name(piece, head))
+            .otherwise(F.concat(F.lit("&"), piece)))
 
 
-def _decode_name(piece: Column) -> Column:
-    with_semicolon = {k: v for k, v in html5.items() if k.endswith(";")}
-    bare = sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True)
+def _decode_name(piece: Column, head: Column) -> Column:
     table = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
-    longest = max(map(len, with_semicolon))
-    name = F.regexp_extract(piece, rf"^[^\t\n\f <&#;]{{1,{longest}}};", 0)
+    name = F.regexp_extract(head, "^[^\t\n\f <&#;]+;", 0)
     full = F.try_element_at(table, name)
-    prefix = F.regexp_extract(piece, f"^(?:{'|'.join(bare)})", 0)
+    bare = sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True)
+    prefix = F.regexp_extract(head, f"^(?:{'|'.join(bare)})", 0)
     return F.coalesce(
         F.when(name != "", F.concat(full, F.substring(piece, F.length(name) + 1, F.lit(_ALL)))),
         F.when(prefix != "", F.concat(F.try_element_at(table, prefix),

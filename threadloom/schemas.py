@@ -31,7 +31,19 @@ def raw_schema(columns: dict[str, str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-POSTS_FEATURES = T.StructType.fromDDL("""
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "tinyint": T.ByteType(), "double": T.DoubleType(),
+    "string": T.StringType(), "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """Schema of "name type, ..."; needs no session, unlike Spark's own reader of such text."""
+    pairs = (c.split() for c in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+POSTS_FEATURES = _table("""
     id bigint, posttypeid tinyint, parentid bigint, acceptedanswerid bigint, creationdate timestamp_ntz,
     score int, viewcount int, owneruserid bigint, lasteditoruserid bigint, lasteditdate timestamp_ntz,
     lastactivitydate timestamp_ntz, tags string, tagcount int, tag_entropy double, title string, body string,
@@ -42,12 +54,12 @@ POSTS_FEATURES = T.StructType.fromDDL("""
 # Questions and answers keep everything but the body.
 SPLIT_COLUMNS = [f.name for f in POSTS_FEATURES if f.name != "body"]
 
-USERS_PROCESSED = T.StructType.fromDDL("""
+USERS_PROCESSED = _table("""
     Id bigint, Reputation int, DisplayName string, Location string, AboutMe string, UserType string,
     Degree string, Country string, Continent string, AccountId bigint, CreationDate timestamp_ntz,
     LastAccessDate timestamp_ntz""")
 
-COMMENTS_PROCESSED = T.StructType.fromDDL("""
+COMMENTS_PROCESSED = _table("""
     Id bigint, PostId bigint, Score int, Text string, CreationDate timestamp_ntz, UserId bigint,
     CommentClass string""")
 
