@@ -163,11 +163,11 @@ def tokens(spark, sf):
 @query
 def text_stats(spark, sf):
     docs = shapes.table(spark, sf, "documents")
-    lower = docs.select("doc_id", "text", F.lower("text").alias("lower"))
-    counted = lower.select(
-        "doc_id", F.size(tx.tokenize(F.col("lower"))).alias("word_count"),
+    worded = docs.select("doc_id", "text", tx.tokenize(F.col("text")).alias("tokens"))
+    counted = worded.select(
+        "doc_id", F.size("tokens").alias("word_count"),
         tx.sentence_count(F.col("text")).alias("sentence_count"),
-        tx.syllable_count(tx.fold(F.col("lower"))).alias("syllable_count"))
+        tx.syllable_count(F.col("tokens")).alias("syllable_count"))
     return counted.select("*", tx.flesch_reading_ease(
         F.col("word_count"), F.col("sentence_count"), F.col("syllable_count")).alias("flesch_reading"))
 
@@ -209,7 +209,7 @@ def guessed_lang(spark, sf):
 # ---- topics ---------------------------------------------------------------------------
 
 def _scored(spark, sf) -> tuple[DataFrame, list[str]]:
-    scores = classify.topic_scores(F.col("_fold"), F.col("_tokens"))
+    scores = pp.post_scores()
     texts = pp.post_texts(raw_posts(spark, sf))
     return texts.select("Id", *[s.alias(n) for n, s in scores.items()]), list(scores)
 

@@ -12,9 +12,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadloom.functions.regex import (
-    ENDS_WORD, LINE_BREAK, SPACE, STARTS_WORD, WORD, count_matches, extract_all,
-)
+from threadloom.functions.regex import LINE_BREAK, SPACE, WORD, count_many, count_matches, extract_all
 
 # Code points an HTML numeric reference maps elsewhere (HTML standard,
 # "numeric character reference end state"; 0x80-0x9f follow windows-1252).
@@ -29,15 +27,14 @@ _UNUSUAL = "&(?=[#A-Za-z])(?!(?:lt|gt|quot|amp);)"
 _LONGEST_NAME = max(map(len, html5))
 
 _TAG = rf"</?(?!pre|code|a){WORD}[^>]*+>"
-_CODE_BLOCK = r"(?isu)<pre><code>(.*?)</code></pre>"
-_LINK = rf"(?iu)<a{SPACE}+href="
-_IMAGE = rf"(?iu)<img{SPACE}+src="
+# "<" stands outside of the case-blind part, so that the search skips to it quickly.
+_CODE_BLOCK = r"(?s)<(?iu:pre><code>)(.*?)</(?iu:code></pre>)"
+_LINK = rf"<(?iu:a){SPACE}+(?iu:href=)"
+_IMAGE = rf"<(?iu:img){SPACE}+(?iu:src=)"
 _NON_BLANK_LINE = rf"[^\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}][^{LINE_BREAK}]*+"
-_WORDS = f"({WORD}+)"
-_VOWEL_RUN = "[aeiouy]+"
+_SYLLABLE = "[aeiouy]+| [^ aeiouy]++(?= )"
 _ALL = 2**31 - 1
 _TOO_BIG = 0x110000
-_VOWELLESS_WORD = rf"{STARTS_WORD}[\p{{L}}\p{{N}}_&&[^aeiouy]]++{ENDS_WORD}"
 
 
 # ---- entities -----------------------------------------------------------------
@@ -69,14 +66,14 @@ def _decode(piece: Column) -> Column:
 
 
 def _decode_name(piece: Column, head: Column) -> Column:
-    table = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    closed = {k: v for k, v in html5.items() if k.endswith(";")}
     name = F.regexp_extract(head, "^[^\t\n\f <&#;]+;", 0)
-    full = F.try_element_at(table, name)
-    bare = sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True)
+    full = F.try_element_at(_table(closed), name)
+    bare = {k: html5[k] for k in sorted(html5.keys() - closed.keys(), key=lambda k: (-len(k), k))}
     prefix = F.regexp_extract(head, f"^(?:{'|'.join(bare)})", 0)
     return F.coalesce(
         F.when(name != "", F.concat(full, F.substring(piece, F.length(name) + 1, F.lit(_ALL)))),
-        F.when(prefix != "", F.concat(F.try_element_at(table, prefix),
+        F.when(prefix != "", F.concat(F.try_element_at(_table(bare), prefix),
                                       F.substring(piece, F.length(prefix) + 1, F.lit(_ALL)))),
         F.concat(F.lit("&"), piece))
 
@@ -97,9 +94,7 @@ def _decode_number(piece: Column) -> Column:
 
 
 def _character(code: Column) -> Column:
-    remapped = F.try_element_at(
-        F.from_json(F.lit(json.dumps({str(k): v for k, v in _REMAPPED.items()})), "map<string,string>"),
-        code.cast("string"))
+    remapped = F.try_element_at(_table({str(k): v for k, v in _REMAPPED.items()}), code.cast("string"))
     dropped = (code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | code.between(0x7F, 0x9F)
                | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
     return (
@@ -109,6 +104,11 @@ def _character(code: Column) -> Column:
         .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 
 
+def _table(values: dict[str, str]) -> Column:
+    """A map that is a constant of the plan."""
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
+
+
 # ---- normalisation --------------------------------------------------------------
 
 def strip(text: Column) -> Column:
@@ -166,21 +166,25 @@ def has_image(body: Column) -> Column:
 # ---- words ----------------------------------------------------------------------
 
 def tokenize(text: Column) -> Column:
-    return extract_all(F.lower(text), _WORDS)
+    return extract_all(F.lower(text), f"{WORD}+", 0)
 
 
 def sentence_count(text: Column) -> Column:
-    return F.greatest(F.lit(1), count_matches(text, "[.!?]+"))
+    return F.greatest(F.lit(1), count_many(text, "[.!?]+"))
 
 
 def fold(lowered: Column) -> Column:
     """The two letters that a case-blind match still equates after lower-casing."""
-    return F.when(lowered.rlike("[ıſ]"), F.translate(lowered, "ıſ", "is")).otherwise(lowered)
+    return F.when(lowered.contains("ı") | lowered.contains("ſ"), F.translate(lowered, "ıſ", "is")).otherwise(lowered)
 
 
-def syllable_count(folded: Column) -> Column:
-    """Sum over words of max(1, vowel runs): all vowel runs plus the words without a vowel."""
-    return count_matches(folded, _VOWEL_RUN) + count_matches(folded, _VOWELLESS_WORD)
+def syllable_count(tokens: Column) -> Column:
+    """Sum over words of max(1, vowel runs).
+
+    One scan of the words between spaces: a match is a vowel run, or a whole word without a vowel.
+    """
+    spaced = F.concat(F.lit(" "), fold(F.array_join(tokens, " ")), F.lit(" "))
+    return count_many(spaced, _SYLLABLE)
 
 
 def flesch_reading_ease(words: Column, sentences: Column, syllables: Column) -> Column:

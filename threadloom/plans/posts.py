@@ -34,15 +34,18 @@ def post_reject_reason() -> Column:
 def posts_features(raw: DataFrame, escape_backslashes: bool = True, topic_patterns=None, topic_keywords=None,
                    language_hints=None) -> DataFrame:
     """Features of the valid rows of a raw posts DataFrame; the others are in :func:`posts_rejected`."""
-    texts = post_texts(raw.where(post_reject_reason().isNull()))
-    scores = classify.topic_scores(F.col("_fold"), F.col("_tokens"), topic_patterns, topic_keywords)
+    texts = post_texts(raw.where(post_reject_reason().isNull()), topic_patterns, topic_keywords)
+    scores = post_scores(topic_patterns, topic_keywords)
     names = list(scores)
     scored = texts.select("*", *[scores[n].alias(f"_score_{n}") for n in names])
     category, confidence = classify.topic_class({n: F.col(f"_score_{n}") for n in names})
 
     def stored(text: str) -> Column:
-        value = F.replace(F.col(text), F.lit("\\"), F.lit("\\\\")) if escape_backslashes else F.col(text)
-        return F.substring(value, 1, STORED_TEXT_LENGTH)
+        # Doubling only lengthens, so what is stored comes from as many characters at most.
+        head = F.substring(F.col(text), 1, STORED_TEXT_LENGTH)
+        if escape_backslashes:
+            head = F.substring(F.replace(head, F.lit("\\"), F.lit("\\\\")), 1, STORED_TEXT_LENGTH)
+        return head
 
     words = F.size("_tokens")
     sentences = tx.sentence_count(F.col("_text"))
@@ -55,7 +58,7 @@ def posts_features(raw: DataFrame, escape_backslashes: bool = True, topic_patter
         "body": stored("_body"),
         "word_count": words,
         "sentence_count": sentences,
-        "flesch_reading": tx.flesch_reading_ease(words, sentences, tx.syllable_count(F.col("_fold"))),
+        "flesch_reading": tx.flesch_reading_ease(words, sentences, tx.syllable_count(F.col("_tokens"))),
         "code_block_count": F.size("_blocks"),
         "code_total_lines": tx.non_blank_lines(F.col("_blocks")),
         "has_link": (links > 0).cast("int"),
@@ -68,12 +71,16 @@ def posts_features(raw: DataFrame, escape_backslashes: bool = True, topic_patter
     return scored.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in POSTS_FEATURES])
 
 
-def post_texts(raw: DataFrame) -> DataFrame:
+def post_texts(raw: DataFrame, topic_patterns=None, topic_keywords=None) -> DataFrame:
     """Raw rows plus the texts every feature starts from, each computed once.
 
     ``_title`` decoded; ``_body`` raw; ``_text`` title and stripped body; ``_fold`` its
-    lower case; ``_tokens`` its words; ``_blocks`` code blocks; ``_tags`` tag list.
+    lower case; ``_tokens`` its words; ``_words``, ``_fold_words`` those that can count
+    for a topic; ``_blocks`` code blocks; ``_tags`` tag list.
     """
+    def topic_words(tokens: Column) -> Column:
+        return classify.topic_words(tokens, topic_patterns, topic_keywords)
+
     return (
         raw.select(
             "*",
@@ -85,7 +92,15 @@ def post_texts(raw: DataFrame) -> DataFrame:
             F.concat("_title", F.lit(" "), tx.html_to_text(F.col("_body"))).alias("_text"),
             tx.code_blocks(F.col("_body")).alias("_blocks"))
         .select("*", F.lower("_text").alias("_lower"))
-        .select("*", tx.fold(F.col("_lower")).alias("_fold"), tx.tokenize(F.col("_lower")).alias("_tokens")))
+        .select("*", tx.fold(F.col("_lower")).alias("_fold"), tx.tokenize(F.col("_lower")).alias("_tokens"))
+        .select("*", topic_words(F.col("_tokens")).alias("_words"))
+        .select("*", F.when(F.col("_fold") == F.col("_lower"), F.col("_words"))
+                .otherwise(topic_words(tx.tokenize(F.col("_fold")))).alias("_fold_words")))
+
+
+def post_scores(topic_patterns=None, topic_keywords=None) -> dict[str, Column]:
+    return classify.topic_scores(
+        F.col("_fold"), F.col("_fold_words"), F.col("_words"), topic_patterns, topic_keywords)
 
 
 def posts_rejected(raw: DataFrame) -> DataFrame:

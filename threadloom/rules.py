@@ -18,7 +18,7 @@ TOPIC_PATTERNS = {
         (["theory", "conceptual", "principle", "intuitively"], 1.2),
     ],
     "best_practice": [
-        (["best way", "best practice", "best approach", "recommended", "preferable", "optimi[sz]e"], 1.7),
+        (["best way", "best practice", "best approach", "recommended", "preferable", "optimise", "optimize"], 1.7),
         (["performance", "efficient", "scalable", "safe"], 1.3),
     ],
     "configuration": [
