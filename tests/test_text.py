@@ -31,7 +31,7 @@ def test_unescape_every_named_reference(evaluate):
     assert evaluate(cases, tx.unescape) == [html.unescape(s) for s in cases]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from(
     ["&", "#", "x", ";", "amp", "lt", "not", "it", "0", "6", "5", "8", "A", " ", "<", "é", "copy", "\n"]), max_size=12),
     min_size=50, max_size=200))
@@ -89,7 +89,7 @@ def test_syllables_equal_the_sum_over_words(evaluate):
     assert evaluate(WORD_CASES, lambda c: tx.syllable_count(tx.tokenize(c))) == [syllables(s) for s in WORD_CASES]
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="abeiyzé_1 .ıſ́-", max_size=20), min_size=50, max_size=200))
 def test_syllables_random(evaluate, cases):
     assert evaluate(cases, lambda c: tx.syllable_count(tx.tokenize(c))) == [syllables(s) for s in cases]
