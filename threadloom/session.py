@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "thread
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the caller of every column operation slows down large plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -15,6 +15,15 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).drop(RANGE)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work when a small table lies in fewer pieces than there are cores.
+
+    A table of many files or row groups, as on a cluster, is left as it lies: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def jdbc_read(spark: SparkSession, url: str, table: str, key: str = "id", lower: int = 4, upper: int = 78_300_003,
               partitions: int = 783, **options) -> DataFrame:
     """Read a database table in parallel by ranges of its key."""
