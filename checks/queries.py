@@ -110,7 +110,7 @@ def dead_letter_summary(spark, sf):
 
 @query
 def run_counters(spark, sf):
-    return pp.run_counters(raw(shapes.bad_posts(spark, sf)), pp.post_reject_reason())
+    return validate.run_counters(raw(shapes.bad_posts(spark, sf)), pp.post_reject_reason())
 
 
 # ---- text -----------------------------------------------------------------------------

@@ -106,7 +106,7 @@ def test_rejected_posts(spark, dump_file):
     reasons = sorted((r.Id or "", r.error_reason) for r in rejects.collect())
     assert reasons == [("", "malformed row"), ("", "missing Id"), ("12", "long guessed_lang"),
                        ("8", "bad PostTypeId;bad Score"), ("x7", "bad Id")]
-    assert tuple(pp.run_counters(raw, pp.post_reject_reason()).first()) == (11, 6, 5)
+    assert tuple(validate.run_counters(raw, pp.post_reject_reason()).first()) == (11, 6, 5)
     summary = {r.error_reason: r for r in validate.error_summary(rejects).collect()}
     assert summary["bad Id"].rows == 1 and json.loads(summary["bad Id"].examples[0])["Id"] == "x7"
 
@@ -128,10 +128,14 @@ def test_long_body_is_cut_after_features(spark):
     assert pp.posts_features(raw, escape_backslashes=False).first().body == ("w \\" * 1000)[:2000]
 
 
+def counters(*values):
+    return dict(zip(("processed", "stored", "rejected"), values))
+
+
 def test_run_posts_twice_is_the_same_as_once(spark, dump_file, tmp_path):
     target, rejects = str(tmp_path / "features"), str(tmp_path / "rejects")
     for _ in range(2):
-        assert tuple(pp.run_posts(spark, dump_file, target, rejects).first()) == (11, 6, 5)
+        assert pp.run_posts(spark, dump_file, target, rejects) == counters(11, 6, 5)
     assert sorted(r.id for r in read_features(spark, target).collect()) == [1, 4, 5, 6, 10, 11]
     assert spark.read.json(rejects).count() == 10
 
@@ -141,8 +145,8 @@ def test_run_users_and_comments_append(spark, tmp_path):
     users.write_text('<users>\n<row Id="-1" Reputation="1" DisplayName="C" Location="Tbilisi" AboutMe="&lt;p&gt;A  PhD&lt;/p&gt;" WebsiteUrl="" />\n<row Id="2" Reputation="x" />\n</users>')
     comments.write_text('<comments>\n<row Id="1" PostId="4" Score="2" Text="why?" UserId="7" />\n</comments>')
     for _ in range(2):
-        assert tuple(pu.run_users(spark, str(users), str(tmp_path / "u"), str(tmp_path / "ur")).first()) == (2, 1, 1)
-        assert tuple(pc.run_comments(spark, str(comments), str(tmp_path / "c")).first()) == (1, 1, 0)
+        assert pu.run_users(spark, str(users), str(tmp_path / "u"), str(tmp_path / "ur")) == counters(2, 1, 1)
+        assert pc.run_comments(spark, str(comments), str(tmp_path / "c")) == counters(1, 1, 0)
     rows = spark.read.parquet(str(tmp_path / "u")).collect()
     assert len(rows) == 2
     assert (rows[0].Id, rows[0].AboutMe, rows[0].UserType, rows[0].Degree, rows[0].Country, rows[0].Continent) == (

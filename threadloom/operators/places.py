@@ -64,21 +64,18 @@ def country_and_continent(location: Column, places: Sequence[tuple[str, str, str
     table = F.from_json(
         F.lit(json.dumps([{"keyword": k, "country": c, "continent": n} for k, c, n in places])),
         "array<struct<keyword:string,country:string,continent:string>>")
-    hit = F.get(F.filter(table, lambda p: location.contains(p["keyword"])), F.lit(0))
 
-    def place(country: Column | str, continent: Column | str) -> Column:
-        as_col = [x if isinstance(x, Column) else F.lit(x) for x in (country, continent)]
-        return F.struct(as_col[0].alias("country"), as_col[1].alias("continent"))
+    def place(country: str, continent: str) -> Column:
+        return F.struct(F.lit(country).alias("country"), F.lit(continent).alias("continent"))
 
+    hits = F.transform(
+        F.filter(table, lambda p: location.contains(p["keyword"])),
+        lambda p: F.struct(p["country"].alias("country"), p["continent"].alias("continent")))
     return (
         F.when(location == "", place(*UNKNOWN))
         .when(is_usa, place("usa", "North America"))
         .when(contains_any(location, rules.GEORGIA_CITIES), place("georgia", "Asia"))
-        .otherwise(F.coalesce(place_of(hit), place(*UNKNOWN))))
-
-
-def place_of(hit: Column) -> Column:
-    return F.when(hit.isNotNull(), F.struct(hit["country"].alias("country"), hit["continent"].alias("continent")))
+        .otherwise(F.coalesce(F.get(hits, F.lit(0)), place(*UNKNOWN))))
 
 
 def normalized_location(location: Column) -> Column:

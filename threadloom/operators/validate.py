@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from threadloom.schemas import CORRUPT
@@ -26,15 +26,33 @@ def reject_reason(columns: dict[str, str], key: str = "Id",
     return F.nullif(F.concat_ws(";", *reasons), F.lit(""))
 
 
-def accepted(df: DataFrame) -> DataFrame:
-    return df.where(F.col(REASON).isNull()).drop(REASON)
-
-
 def rejected(df: DataFrame, reason: Column) -> DataFrame:
     """Raw rows that are not stored, with their reason; ready for ``write.json``."""
     return df.withColumn(REASON, reason).where(F.col(REASON).isNotNull())
 
 
+_COUNTERS = {
+    "processed": lambda reason: F.count(F.lit(1)),
+    "stored": lambda reason: F.count_if(reason.isNull()),
+    "rejected": lambda reason: F.count_if(reason.isNotNull()),
+}
+
+
+def run_counters(raw: DataFrame, reason: Column) -> DataFrame:
+    """Rows read, stored and rejected, by a scan of its own that computes no features."""
+    return raw.select(reason.alias(REASON)).agg(*[f(F.col(REASON)).alias(n) for n, f in _COUNTERS.items()])
+
+
+def observed(raw: DataFrame, reason: Column) -> tuple[DataFrame, Observation]:
+    """The same counters taken along while the rows are written.
+
+    Only for jobs without a shuffle: there Spark counts every task once, while a
+    map stage that is run again after an executor is lost would count twice.
+    """
+    counters = Observation()
+    return raw.observe(counters, *[f(reason).alias(n) for n, f in _COUNTERS.items()]), counters
+
+
 def error_summary(rejects: DataFrame, order: str = "Id", examples: int = 50) -> DataFrame:
     """Per reason: number of rows and the first ``examples`` of them as JSON.
 

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.operators.classify import comment_class
-from threadloom.operators.validate import reject_reason, rejected, typed
-from threadloom.plans.posts import run_counters
+from threadloom.operators.validate import observed, reject_reason, rejected, typed
 from threadloom.schemas import COMMENTS, COMMENTS_PROCESSED
 from threadloom.sinks.tables import append, append_rejects
 from threadloom.sources.dump import scan_dump
@@ -31,10 +30,10 @@ def comments_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, comment_reject_reason())
 
 
-def run_comments(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> DataFrame:
-    """Dump to processed table, appended; rejected rows as JSON beside it."""
-    raw = scan_dump(spark, src, COMMENTS)
+def run_comments(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> dict[str, int]:
+    """Dump to processed table, appended; rejected rows as JSON beside it.  Returns the run counters."""
+    raw, counters = observed(scan_dump(spark, src, COMMENTS), comment_reject_reason())
     append(comments_processed(raw, **options), dst)
     if rejects:
-        append_rejects(comments_rejected(raw), rejects)
-    return run_counters(raw, comment_reject_reason())
+        append_rejects(comments_rejected(scan_dump(spark, src, COMMENTS)), rejects)
+    return counters.get

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import tags as tg
 from threadloom.functions import text as tx
 from threadloom.operators import classify
-from threadloom.operators.validate import REASON, reject_reason, rejected, typed
+from threadloom.operators.validate import reject_reason, rejected, run_counters, typed
 from threadloom.schemas import MAX_LENGTHS, POSTS, POSTS_FEATURES, STORED_TEXT_LENGTH
 from threadloom.sinks.tables import append_rejects, upsert
 from threadloom.sources.dump import scan_dump
@@ -107,18 +107,10 @@ def posts_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, post_reject_reason())
 
 
-def run_posts(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> DataFrame:
+def run_posts(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> dict[str, int]:
     """Dump to feature table: upsert by id, rejected rows as JSON beside it.  Returns the run counters."""
     raw = scan_dump(spark, src, POSTS)
     upsert(spark, posts_features(raw, **options), dst, order=["lastactivitydate"])
     if rejects:
         append_rejects(posts_rejected(raw), rejects)
-    return run_counters(raw, post_reject_reason())
-
-
-def run_counters(raw: DataFrame, reason: Column) -> DataFrame:
-    """Rows read, stored and rejected."""
-    return raw.select(reason.alias(REASON)).agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col(REASON).isNull()).alias("stored"),
-        F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
+    return run_counters(raw, post_reject_reason()).first().asDict()

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import normalize_text
 from threadloom.operators import classify
 from threadloom.operators.places import country_and_continent, normalized_location
-from threadloom.operators.validate import reject_reason, rejected, typed
-from threadloom.plans.posts import run_counters
+from threadloom.operators.validate import observed, reject_reason, rejected, typed
 from threadloom.schemas import USERS, USERS_PROCESSED
 from threadloom.sinks.tables import append, append_rejects
 from threadloom.sources.dump import scan_dump
@@ -40,10 +39,10 @@ def users_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, user_reject_reason())
 
 
-def run_users(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> DataFrame:
-    """Dump to processed table, appended; rejected rows as JSON beside it."""
-    raw = scan_dump(spark, src, USERS)
+def run_users(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> dict[str, int]:
+    """Dump to processed table, appended; rejected rows as JSON beside it.  Returns the run counters."""
+    raw, counters = observed(scan_dump(spark, src, USERS), user_reject_reason())
     append(users_processed(raw, **options), dst)
     if rejects:
-        append_rejects(users_rejected(raw), rejects)
-    return run_counters(raw, user_reject_reason())
+        append_rejects(users_rejected(scan_dump(spark, src, USERS)), rejects)
+    return counters.get

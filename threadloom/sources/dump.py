@@ -30,7 +30,7 @@ def parse_rows(lines: DataFrame, columns: dict[str, str]) -> DataFrame:
     generator, where it would parse the XML again for each column it tests.
     """
     value = F.col("value")
-    several = F.locate(_ROW, F.ltrim(value), len(_ROW)) > 0
+    several = F.substring(F.ltrim(value), len(_ROW) + 1, 2**31 - 1).contains(_ROW)
     elements = F.when(several, F.split(value, f"(?={_ROW}[\\s/>])")).otherwise(F.array(value))
     return (
         lines.where(value.contains(_ROW))
