@@ -12,6 +12,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from threadloom.functions.binding import let
 from threadloom.functions.regex import LINE_BREAK, SPACE, WORD, count_many, count_matches, extract_all
 
 # Code points an HTML numeric reference maps elsewhere (HTML standard,
@@ -122,9 +123,10 @@ def nfkd(text: Column) -> Column:
     Spark has no such function, but ships ICU for its collations, so the
     ``reflect`` function can call it without a trip through Python.
     """
-    decomposed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"),
-                           F.coalesce(text, F.lit("")), F.lit(True))
-    return F.when(text.isNull() | ~text.rlike(r"[^\x00-\x7f]"), text).otherwise(decomposed)
+    def decompose(t: Column) -> Column:
+        return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), t, F.lit(True))
+
+    return let(text, lambda t: F.when(t.rlike(r"[^\x00-\x7f]"), decompose(t)).otherwise(t))
 
 
 def normalize_text(text: Column) -> Column:
@@ -183,7 +185,7 @@ def syllable_count(tokens: Column) -> Column:
 
     One scan of the words between spaces: a match is a vowel run, or a whole word without a vowel.
     """
-    spaced = F.concat(F.lit(" "), fold(F.array_join(tokens, " ")), F.lit(" "))
+    spaced = F.concat(F.lit(" "), let(F.array_join(tokens, " "), fold), F.lit(" "))
     return count_many(spaced, _SYLLABLE)
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom import rules
-from threadloom.functions.regex import to_java, contains_any
+from threadloom.functions.binding import let
+from threadloom.functions.regex import contains_any, to_java
 from threadloom.functions.text import normalize_text
 
 UNKNOWN = ("unknown", "Unknown")
@@ -56,6 +57,10 @@ def country_and_continent(location: Column, places: Sequence[tuple[str, str, str
     join, so no shuffle and no hot location.
     """
     places = places if places is not None else place_table()
+    return let(location, lambda text: _place(text, places))
+
+
+def _place(location: Column, places: Sequence[tuple[str, str, str]]) -> Column:
     code = F.upper(F.regexp_extract(location, to_java(r",\s*([a-z]{2})\b"), 1))
     is_usa = (
         location.rlike(to_java(r"\bgeorgia[, ]+usa\b"))
