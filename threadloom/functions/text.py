@@ -6,13 +6,12 @@ that needs no work (no ``&``, ASCII only) takes the short branch of a ``when``.
 
 from __future__ import annotations
 
-import json
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadloom.functions.binding import let
+from threadloom.functions.binding import constant, let
 from threadloom.functions.regex import LINE_BREAK, SPACE, WORD, count_many, count_matches, extract_all
 
 # Code points an HTML numeric reference maps elsewhere (HTML standard,
@@ -36,6 +35,7 @@ _NON_BLANK_LINE = rf"[^\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}][^{LINE_BREAK}]*+"
 _SYLLABLE = "[aeiouy]+| [^ aeiouy]++(?= )"
 _ALL = 2**31 - 1
 _TOO_BIG = 0x110000
+_MAP = "map<string,string>"
 
 
 # ---- entities -----------------------------------------------------------------
@@ -69,12 +69,12 @@ def _decode(piece: Column) -> Column:
 def _decode_name(piece: Column, head: Column) -> Column:
     closed = {k: v for k, v in html5.items() if k.endswith(";")}
     name = F.regexp_extract(head, "^[^\t\n\f <&#;]+;", 0)
-    full = F.try_element_at(_table(closed), name)
+    full = F.try_element_at(constant(closed, _MAP), name)
     bare = {k: html5[k] for k in sorted(html5.keys() - closed.keys(), key=lambda k: (-len(k), k))}
     prefix = F.regexp_extract(head, f"^(?:{'|'.join(bare)})", 0)
     return F.coalesce(
         F.when(name != "", F.concat(full, F.substring(piece, F.length(name) + 1, F.lit(_ALL)))),
-        F.when(prefix != "", F.concat(F.try_element_at(_table(bare), prefix),
+        F.when(prefix != "", F.concat(F.try_element_at(constant(bare, _MAP), prefix),
                                       F.substring(piece, F.length(prefix) + 1, F.lit(_ALL)))),
         F.concat(F.lit("&"), piece))
 
@@ -95,7 +95,7 @@ def _decode_number(piece: Column) -> Column:
 
 
 def _character(code: Column) -> Column:
-    remapped = F.try_element_at(_table({str(k): v for k, v in _REMAPPED.items()}), code.cast("string"))
+    remapped = F.try_element_at(constant({str(k): v for k, v in _REMAPPED.items()}, _MAP), code.cast("string"))
     dropped = (code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | code.between(0x7F, 0x9F)
                | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
     return (
@@ -105,11 +105,6 @@ def _character(code: Column) -> Column:
         .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
 
 
-def _table(values: dict[str, str]) -> Column:
-    """A map that is a constant of the plan."""
-    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
-
-
 # ---- normalisation --------------------------------------------------------------
 
 def strip(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from threadloom import rules
+from threadloom.functions.binding import constant, let
 from threadloom.functions.regex import contains_any, count_matches, to_java, whole_words
 from threadloom.functions.text import fold
 
@@ -126,10 +127,16 @@ def topic_class(scores: dict[str, Column], threshold=rules.TOPIC_THRESHOLD) -> t
 def code_language(code: Column, hints=None) -> Column:
     """Language with most hints occurring in the code; the first of equals; none gives ``unknown``."""
     hints = hints or rules.LANGUAGE_HINTS
-    lowered = F.lower(code)
-    counts = {lang: hint_count(lowered, words) for lang, words in hints.items()}
-    best = F.greatest(*counts.values())
-    named = reduce(lambda w, kv: w.when(kv[1] == best, F.lit(kv[0])), counts.items(), F.when(best == 0, F.lit("unknown")))
+    table = constant([{"language": k, "hints": v} for k, v in hints.items()],
+                     "array<struct<language:string,hints:array<string>>>")
+
+    def best(lowered: Column) -> Column:
+        # The largest count, then the smallest position.
+        return F.array_max(F.transform(table, lambda row, i: F.struct(
+            F.size(F.filter(row["hints"], lambda h: lowered.contains(h))).alias("n"), (-i).alias("order"),
+            row["language"].alias("language"))))
+
+    named = let(let(F.lower(code), best), lambda b: F.when(b["n"] > 0, b["language"]).otherwise(F.lit("unknown")))
     return F.when(code == "", F.lit("unknown")).otherwise(named)
 
 
@@ -139,11 +146,6 @@ def guessed_language(tag_list: Column, blocks: Column, hints=None) -> Column:
                       code_language(F.coalesce(F.get(blocks, F.lit(0)), F.lit("")), hints))
 
 
-def hint_count(text: Column, hints: list[str]) -> Column:
-    """How many of the hints occur as substrings, each counted once."""
-    return reduce(lambda a, b: a + b, [text.contains(h).cast("int") for h in hints])
-
-
 # ---- comments and users -----------------------------------------------------------
 
 def comment_class(text: Column, table=None, default=rules.COMMENT_DEFAULT) -> Column:
@@ -156,9 +158,10 @@ def comment_class(text: Column, table=None, default=rules.COMMENT_DEFAULT) -> Co
 
 def user_type(bio: Column, website: Column, academic=None, practical=None) -> Column:
     text = F.concat(F.lower(F.coalesce(bio, F.lit(""))), F.lit(" "), F.lower(F.coalesce(website, F.lit(""))))
-    a = hint_count(text, academic or rules.ACADEMIC_HINTS)
-    p = hint_count(text, practical or rules.PRACTICAL_HINTS)
-    return F.when(a > p, F.lit("Academic")).when(p > a, F.lit("Practical Developer")).otherwise(F.lit("Unknown"))
+    lists = constant([academic or rules.ACADEMIC_HINTS, practical or rules.PRACTICAL_HINTS], "array<array<string>>")
+    hits = let(text, lambda t: F.transform(lists, lambda hints: F.size(F.filter(hints, lambda h: t.contains(h)))))
+    return let(hits, lambda n: F.when(n[0] > n[1], F.lit("Academic")).when(n[1] > n[0], F.lit("Practical Developer"))
+               .otherwise(F.lit("Unknown")))
 
 
 def degree(bio: Column, table=None) -> Column:

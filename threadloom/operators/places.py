@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom import rules
-from threadloom.functions.binding import let
+from threadloom.functions.binding import constant, let
 from threadloom.functions.regex import contains_any, to_java
 from threadloom.functions.text import normalize_text
 
@@ -62,13 +61,13 @@ def country_and_continent(location: Column, places: Sequence[tuple[str, str, str
 
 def _place(location: Column, places: Sequence[tuple[str, str, str]]) -> Column:
     code = F.upper(F.regexp_extract(location, to_java(r",\s*([a-z]{2})\b"), 1))
+    states = constant(rules.US_STATES, "array<string>")
     is_usa = (
         location.rlike(to_java(r"\bgeorgia[, ]+usa\b"))
-        | code.isin(rules.US_STATE_CODES)
-        | contains_any(location, rules.US_STATES))
-    table = F.from_json(
-        F.lit(json.dumps([{"keyword": k, "country": c, "continent": n} for k, c, n in places])),
-        "array<struct<keyword:string,country:string,continent:string>>")
+        | F.array_contains(constant(rules.US_STATE_CODES, "array<string>"), code)
+        | F.exists(states, lambda s: location.contains(s)))
+    table = constant([{"keyword": k, "country": c, "continent": n} for k, c, n in places],
+                     "array<struct<keyword:string,country:string,continent:string>>")
 
     def place(country: str, continent: str) -> Column:
         return F.struct(F.lit(country).alias("country"), F.lit(continent).alias("continent"))
@@ -83,6 +82,10 @@ def _place(location: Column, places: Sequence[tuple[str, str, str]]) -> Column:
         .otherwise(F.coalesce(F.get(hits, F.lit(0)), place(*UNKNOWN))))
 
 
-def normalized_location(location: Column) -> Column:
+def location_text(location: Column) -> Column:
     """Location with an empty bio appended, as the rules expect it."""
-    return normalize_text(F.concat(F.coalesce(location, F.lit("")), F.lit(" ")))
+    return F.concat(F.coalesce(location, F.lit("")), F.lit(" "))
+
+
+def normalized_location(location: Column) -> Column:
+    return normalize_text(location_text(location))

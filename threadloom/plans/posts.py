@@ -84,12 +84,14 @@ def post_texts(raw: DataFrame, topic_patterns=None, topic_keywords=None) -> Data
     return (
         raw.select(
             "*",
-            tx.unescape(F.coalesce("Title", F.lit(""))).alias("_title"),
             F.coalesce("Body", F.lit("")).alias("_body"),
+            # Title and body through one expression: its entity tables are in the plan once.
+            F.transform(F.array(*[F.coalesce(c, F.lit("")) for c in ("Title", "Body")]), tx.unescape).alias("_decoded"),
             tg.tags_to_list(F.col("Tags")).alias("_tags"))
         .select(
             "*",
-            F.concat("_title", F.lit(" "), tx.html_to_text(F.col("_body"))).alias("_text"),
+            F.col("_decoded")[0].alias("_title"),
+            F.concat(F.col("_decoded")[0], F.lit(" "), tx.strip_tags(F.col("_decoded")[1])).alias("_text"),
             tx.code_blocks(F.col("_body")).alias("_blocks"))
         .select("*", F.lower("_text").alias("_lower"))
         .select("*", tx.fold(F.col("_lower")).alias("_fold"), tx.tokenize(F.col("_lower")).alias("_tokens"))

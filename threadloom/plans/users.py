@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import normalize_text
 from threadloom.operators import classify
-from threadloom.operators.places import country_and_continent, normalized_location
+from threadloom.operators.places import country_and_continent, location_text
 from threadloom.operators.validate import observed, reject_reason, rejected, typed
 from threadloom.schemas import USERS, USERS_PROCESSED
 from threadloom.sinks.tables import append, append_rejects
@@ -20,8 +20,10 @@ def user_reject_reason() -> Column:
 
 def users_processed(raw: DataFrame, places=None, degrees=None, academic=None, practical=None) -> DataFrame:
     """Normalised bio, user type, degree, country and continent of the valid rows."""
-    normalized = raw.where(user_reject_reason().isNull()).select(
-        "*", normalize_text(F.col("AboutMe")).alias("_bio"), normalized_location(F.col("Location")).alias("_location"))
+    # Both texts through one expression: its entity tables are in the plan once.
+    texts = F.transform(F.array(F.col("AboutMe"), location_text(F.col("Location"))), normalize_text)
+    normalized = raw.where(user_reject_reason().isNull()).select("*", texts.alias("_texts")).select(
+        "*", F.col("_texts")[0].alias("_bio"), F.col("_texts")[1].alias("_location"))
     placed = normalized.select(
         "*", F.inline(F.array(country_and_continent(F.col("_location"), places))))
     values = {c: typed(USERS, c) for c in USERS if c != "WebsiteUrl"} | {
