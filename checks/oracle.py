@@ -307,6 +307,7 @@ ORACLE = {
     "user_type": f"WITH {_USERS} SELECT CAST(\"Id\" AS VARCHAR) AS \"Id\", \"UserType\" FROM processed",
     "user_degree": f"WITH {_USERS} SELECT CAST(\"Id\" AS VARCHAR) AS \"Id\", \"Degree\" FROM processed",
     "user_country": f"WITH {_USERS} SELECT \"Id\", \"Country\" AS country, \"Continent\" AS continent FROM placed",
+    "user_continent": f"WITH {_USERS} SELECT \"Id\", \"Continent\" AS continent FROM placed",
     "continent_counts": f"WITH {_USERS} SELECT \"Continent\", \"Country\", count(*) AS users FROM processed GROUP BY ALL",
     "users_processed": f"WITH {_USERS} SELECT * FROM processed",
     "split_questions": f"WITH {_FEATURES} {_SPLIT.format(1)}",
@@ -318,6 +319,7 @@ ORACLE = {
         FROM features WHERE posttypeid IN (1, 2) AND id BETWEEN 4 AND 78300003""",
     "append_comments": f"WITH {_PROCESSED_COMMENTS} SELECT \"Id\", \"CommentClass\", 2 * count(*) AS copies "
                        "FROM processed GROUP BY ALL",
+    "bounded_batches": "SELECT count(*) AS rows, true AS bounded FROM conversations",
     "upsert_latest": """SELECT user_id, event_id, event_type, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events)
         WHERE n = 1""",

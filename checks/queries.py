@@ -270,6 +270,11 @@ def user_country(spark, sf):
     return located.select("Id", F.inline(F.array(places.country_and_continent(F.col("location"), PLACES))))
 
 
+@query
+def user_continent(spark, sf):
+    return user_country(spark, sf).select("Id", "continent")
+
+
 @query
 def continent_counts(spark, sf):
     return (pu.users_processed(raw_users(spark, sf), places=PLACES)
@@ -321,6 +326,16 @@ def append_comments(spark, sf):
     return (spark.read.parquet(target).groupBy("Id", "CommentClass").agg(F.count(F.lit(1)).alias("copies")))
 
 
+@query
+def bounded_batches(spark, sf):
+    """Rows are written in files of at most 5000, whatever the size of a task."""
+    target = work_folder(spark, "batches")
+    sinks.append(pc.comments_processed(raw_comments(spark, sf)), target, max_rows_per_file=5000)
+    files = (spark.read.parquet(target).select(F.col("_metadata.file_path").alias("file"))
+             .groupBy("file").agg(F.count(F.lit(1)).alias("n")))
+    return files.agg(F.sum("n").alias("rows"), (F.max("n") <= 5000).alias("bounded"))
+
+
 @query
 def upsert_latest(spark, sf):
     events = shapes.table(spark, sf, "events")

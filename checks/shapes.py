@@ -27,6 +27,8 @@ BODY_SNIPPETS = [
     _DEF_BLOCK, "<PRE><CODE>select a from b</CODE></PRE>", '<pre class="x"><code>var y</code></pre>',
     '<a href="/q">q</a> <a  HREF="z">', '<img src="i.png">', '<a class="k" href="n">',
     "<abbr>kept</abbr> <b>gone</b>", "5 &lt;div&gt; 6 &amp;amp; 7", "",
+    "<pre><code>public static void x() extends</code></pre>", "<pre><code>let y = z => 1;</code></pre>",
+    "<pre><code>using System; namespace x</code></pre>",
 ]
 LOCATIONS = [
     "El Cerrito, CA", "Johnson City, TN, USA", "on the server farm", "Berlin, DE", "Berlin, Germany",
@@ -43,7 +45,8 @@ CITIES = {
 BIOS = [
     "i hold a phd", "dr. x", "prof. smith", "professor and student", "graduate student", "undergraduate",
     "researcher at a lab", "software engineer, consultant", "gitlab developer", "engineer at a university",
-    "<p>Former Developer &amp; founder</p>", "graduated from  a University,\n prof.smith", None,
+    "<p>Former Developer &amp; founder</p>", "graduated from  a University,\n prof.smith", "b.sc and more",
+    "postdoc, founder", "a student", None,
 ]
 WEBSITES = ["", "https://gitlab.com/x", "https://developer.example.org"]
 

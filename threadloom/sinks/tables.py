@@ -11,7 +11,10 @@ from threadloom.session import remove_folder, work_folder
 
 RANGE = "id_range"
 RANGE_STEP = 1_000_000
+# Ids per task and file; a range of the table has several.
+SLICE_STEP = 100_000
 _NEW = "_new"
+_SLICE = "_slice"
 
 
 def create_if_absent(spark: SparkSession, table: str, schema: T.StructType) -> None:
@@ -58,7 +61,7 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "id", orde
     fresh = fresh.withColumn(RANGE, id_range(F.col(key), step))
     old = _read_if_there(spark, path, fresh.schema)
     if old is None:
-        _write_ranges(fresh, path)
+        _write_ranges(_sliced(fresh, key), path)
         return
     # The new rows are used twice, for their ranges and for the merge: write them once.
     staged = work_folder(spark, "upsert")
@@ -66,8 +69,8 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "id", orde
     fresh = spark.read.schema(fresh.schema).parquet(staged)
     touched = old.join(fresh.select(RANGE).distinct(), RANGE, "left_semi")
     both = touched.withColumn(_NEW, F.lit(0)).unionByName(fresh.withColumn(_NEW, F.lit(1)))
-    # Clustered by range first: ranking within (range, key) then needs no second shuffle.
-    merged = latest_per_key(both.repartition(RANGE), [RANGE, key], [F.col(_NEW).desc()]).drop(_NEW)
+    # Clustered by slices of ids first: ranking within (slice, key) and writing then need no second shuffle.
+    merged = latest_per_key(_sliced(both, key), [_SLICE, key], [F.col(_NEW).desc()]).drop(_NEW)
     _write_ranges(merged, path)
     remove_folder(spark, staged)
 
@@ -81,8 +84,13 @@ def _read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return None
 
 
+def _sliced(df: DataFrame, key: str) -> DataFrame:
+    """Neighbouring ids together: a task writes few files, and none of them holds a whole large range."""
+    return df.withColumn(_SLICE, id_range(F.col(key), SLICE_STEP)).repartition(_SLICE)
+
+
 def _write_ranges(df: DataFrame, path: str) -> None:
-    (df.repartition(RANGE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.drop(_SLICE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(RANGE).parquet(path))
 
 
