@@ -194,6 +194,18 @@ def test_upsert(spark, tmp_path):
     assert before["id_range=1000"] == after["id_range=1000"] and before["id_range=0"] != after["id_range=0"]
 
 
+def test_upsert_reads_only_touched_ranges(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.upsert(spark, feature_rows(spark, [(1, 1, 10), (1500, 2, 30)]), path, step=1000)
+    old = spark.read.parquet(path)
+    ranges = spark.createDataFrame([(1000,)], "id_range long")
+    pruned = sinks._touched(old, ranges)
+    assert "PartitionFilters: [isnotnull(id_range" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert [r.id for r in pruned.collect()] == [1500]
+    monkeypatch.setattr(sinks, "_NAMED_RANGES", 0)
+    assert [r.id for r in sinks._touched(old, ranges).collect()] == [1500]
+
+
 def test_upsert_takes_the_last_of_a_hot_key(spark, tmp_path):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("id"),

@@ -13,6 +13,7 @@ RANGE = "id_range"
 RANGE_STEP = 1_000_000
 # Ids per task and file; a range of the table has several.
 SLICE_STEP = 100_000
+_NAMED_RANGES = 10_000
 _NEW = "_new"
 _SLICE = "_slice"
 
@@ -67,14 +68,26 @@ def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "id", orde
     staged = work_folder(spark, "upsert")
     fresh.write.parquet(staged)
     fresh = spark.read.schema(fresh.schema).parquet(staged)
-    touched = old.join(fresh.select(RANGE).distinct(), RANGE, "left_semi")
-    both = touched.withColumn(_NEW, F.lit(0)).unionByName(fresh.withColumn(_NEW, F.lit(1)))
+    kept = _touched(old, fresh.select(RANGE).distinct()).withColumn(_NEW, F.lit(0))
+    both = kept.unionByName(fresh.withColumn(_NEW, F.lit(1)))
     # Clustered by slices of ids first: ranking within (slice, key) and writing then need no second shuffle.
     merged = latest_per_key(_sliced(both, key), [_SLICE, key], [F.col(_NEW).desc()]).drop(_NEW)
     _write_ranges(merged, path)
     remove_folder(spark, staged)
 
 
+def _touched(old: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The ranges of the table that get new rows.
+
+    Few ranges are named in a filter, which prunes the folders to be read; more than
+    the driver should name are matched by a join.
+    """
+    few = [r[0] for r in ranges.limit(_NAMED_RANGES + 1).collect()]
+    if len(few) <= _NAMED_RANGES:
+        return old.where(F.col(RANGE).isin(few))
+    return old.join(ranges, RANGE, "left_semi")
+
+
 def _read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
