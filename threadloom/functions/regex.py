@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,16 +74,29 @@ def literal_of(pattern: str) -> str | None:
 
 
 def contains_any(text: Column, patterns: Iterable[str]) -> Column:
-    """True if any pattern occurs.  Plain text is searched bytewise, the rest as one regex."""
-    patterns = list(patterns)
-    regexes = [p for p in patterns if literal_of(p) is None]
-    tests = [text.contains(literal_of(p)) for p in patterns if literal_of(p) is not None]
+    """True if any pattern occurs.
+
+    Plain text is searched bytewise.  A pattern of plain text and word edges is tried
+    as a regex only where its longest plain part occurs; the others form one regex.
+    """
+    tests, regexes = [], []
+    for p in patterns:
+        literal, core = literal_of(p), _core_of(p)
+        if literal is not None:
+            tests.append(text.contains(literal))
+        elif core:
+            tests.append(text.contains(core) & text.rlike(to_java(p)))
+        else:
+            regexes.append(to_java(p))
     if regexes:
-        tests.append(text.rlike("|".join(to_java(p) for p in regexes)))
-    found = tests[0]
-    for test in tests[1:]:
-        found = found | test
-    return found
+        tests.append(text.rlike("|".join(regexes)))
+    return reduce(lambda a, b: a | b, tests)
+
+
+def _core_of(pattern: str) -> str | None:
+    """Longest plain part of a pattern without choice, repetition or groups."""
+    parts = [literal_of(part) for part in re.split(r"\\[bdsw]", pattern)]
+    return None if None in parts else max(parts, key=len)
 
 
 def count_matches(text: Column, pattern: str) -> Column:
