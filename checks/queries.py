@@ -347,9 +347,8 @@ def upsert_latest(spark, sf):
 def upsert_posts(spark, sf):
     """All posts inserted, then every question written again with other values: replaced, not added."""
     target = work_folder(spark, "upsert-posts")
-    features = pp.posts_features(raw_posts(spark, sf))
-    sinks.upsert(spark, features, target, order=["lastactivitydate"], step=1000)
-    again = split.of_type(features, split.QUESTION).withColumns(
+    sinks.upsert(spark, pp.posts_features(raw_posts(spark, sf)), target, order=["lastactivitydate"], step=1000)
+    again = split.of_type(read_features(spark, target), split.QUESTION).withColumns(
         {"score": F.col("score") + 1000, "body": F.lit("edited")}).select(*POSTS_FEATURES.names)
     sinks.upsert(spark, again, target, order=["lastactivitydate"], step=1000)
     return read_features(spark, target).select("id", "posttypeid", "score", "viewcount", "body", "word_count")
