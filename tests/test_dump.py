@@ -1,4 +1,5 @@
 import json
+import tempfile
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,6 +10,7 @@ from threadloom.plans import comments as pc
 from threadloom.plans import posts as pp
 from threadloom.plans import users as pu
 from threadloom.schemas import COMMENTS, CORRUPT, POSTS, POSTS_FEATURES, SPLIT_COLUMNS, USERS, VOTES
+from threadloom.session import work_folder
 from threadloom.sinks import tables as sinks
 from threadloom.sources import dump
 from threadloom.sources.tables import read_features
@@ -260,3 +262,14 @@ def test_user_stream(spark, tmp_path):
     ingest.stream_users(spark, str(src), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     row = spark.read.parquet(str(tmp_path / "out")).first()
     assert (row.Country, row.UserType, row.AboutMe) == ("usa", "Practical Developer", "e\u0301 developer")
+
+
+class NoCheckpointDir:
+    conf = {}
+
+
+def test_work_folders_are_new_and_under_the_named_one(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = (work_folder(spark, "x") for _ in range(2))
+    assert first != second and (not named or first.startswith(named))
+    assert work_folder(NoCheckpointDir, "x").startswith(tempfile.gettempdir())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -29,15 +30,17 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "thread
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder that every executor reaches, under the one the session names.
 
-    Only where the session names none, as in tests, a folder of this machine is set.
+    Only where the session names none, as in tests, it is a folder of this machine.
     """
-    root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
-    if not root:
-        root = tempfile.mkdtemp(prefix="threadloom-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+    root = spark.conf.get(_CHECKPOINT_DIR, None) or _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="threadloom-")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
