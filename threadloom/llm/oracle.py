@@ -39,3 +39,26 @@ n AS (
            WHEN c AND starts_with(path, '/de/') THEN 'com/de/' WHEN r1 THEN 'org/' END AS rule FROM r)
 SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN contains(path, '.html') THEN 'block' ELSE 'allow' END AS verdict FROM n"""
+
+_WORDS = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), " \
+         r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+# Words are numbered and joined window by window; the item's own windows are the few rows they meet.
+ORACLE["op4_decontaminate"] = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k,
+         array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS passage
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (
+  SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS passage
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+h AS (SELECT doc_id, i, dw.k AS k, item FROM dw JOIN bw USING (k, passage)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+      FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat_format, exact_dedup, license_scan, sharding, url_filter
+from threadloom.llm import chat_format, decontaminate, exact_dedup, license_scan, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -57,3 +57,8 @@ def op9_license_scan(spark, sf):
 @query
 def op10_url_filter(spark, sf):
     return url_filter.judge_urls(table(spark, sf, "pages"))
+
+
+@query
+def op4_decontaminate(spark, sf):
+    return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
