@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import chat_format, decontaminate, exact_dedup, license_scan, sharding, url_filter
+from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +22,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op2_byte_bpe(spark, sf):
+    encoded = byte_bpe.encode_texts(table(spark, sf, "documents").select("doc_id", "text"), RANKS, PATTERN)
+    decoded = byte_bpe.decode_tokens(encoded.select("doc_id", "tokens"), RANKS, PATTERN)
+    return decoded.select(
+        "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("tokens", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op3_exact_dedup(spark, sf):
     return exact_dedup.mark_duplicates(table(spark, sf, "documents"))

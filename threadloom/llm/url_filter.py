@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.llm.work import importable
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TOKEN = re.compile(r"[0-9A-Za-z]+")
 #: Rules are broadcast, so their number is bounded.
@@ -88,6 +90,7 @@ def judge_urls(df: DataFrame, key: str = "page_id", url: str = "url", rules: lis
     if len(rules) + len(defaults) > MAX_RULES:
         raise ValueError(f"at most {MAX_RULES} rules")
     spark = df.sparkSession
+    importable(spark)
     parts = df.select(F.col(key).alias("key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     literal = sorted({t for r in [*rules, *defaults] for t in r.tokens})
     wanted = F.broadcast(spark.createDataFrame([(t,) for t in literal], "token string"))

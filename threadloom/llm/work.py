@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -20,6 +21,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, if it is not installed there."""
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    given = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if top not in given.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [top, given]))
+
+
 class Workspace:
     """Tables in a database of their own below the shared folder; they cut lineage, so work done before
     them is not repeated when an executor is lost. `drop` removes them, or the end of a `with` block."""
