@@ -6,7 +6,8 @@ use gives the lowest rank by three find-first-set steps. Entries whose pair is n
 they come up. Each merge costs the same however long the pre-token is.
 
 Letters and numbers are those of the tiktoken library, whose Unicode version may differ from that of the
-regular expressions here: texts with a character that the two see differently are split by a pattern that says so.
+regular expressions here: a character
+that the two see differently is split as if it were one that both see alike.
 
 A null or empty text has no tokens. Special tokens are ordinary text. Other columns are carried along, a column
 of the output's name is replaced; rows are independent, so repeated rows and an empty table need no rule. Ids
@@ -16,7 +17,6 @@ without a token raise; a null list of ids decodes to no bytes.
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -75,38 +75,31 @@ class RankQueue:
 
 
 @cache
-def differences() -> dict[str, tuple[str, str]]:
-    """Characters that tiktoken has in a class and `regex` has not, and the other way round."""
+def stand_ins() -> dict[int, str]:
+    """Characters that tiktoken puts in another class than `regex` does, with one that both put where tiktoken
+    has it; none of these is in the text of a pattern."""
     every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
-    out = {}
+    classes = []
     for name in (r"\p{L}", r"\p{N}"):
-        bytes_only = tiktoken.Encoding("bytes", pat_str=name, special_tokens={},
-                                       mergeable_ranks={bytes([b]): b for b in range(256)})
-        theirs, ours = set(bytes(bytes_only.encode_ordinary(every)).decode()), set(regex.findall(name, every))
-        out[name] = ("".join(sorted(theirs - ours)), "".join(sorted(ours - theirs)))
-    return out
-
-
-def exact_pattern(pattern: str, differ: dict[str, tuple[str, str]]) -> str:
-    for name, (more, less) in differ.items():
-        own = f"[{name}{regex.escape(more)}]" + (f"--[{regex.escape(less)}]" if less else "")
-        pattern = pattern.replace(name, f"[{own}]")
-    return f"(?V1){pattern}"
+        only = tiktoken.Encoding("bytes", pat_str=name, special_tokens={},
+                                 mergeable_ranks={bytes([b]): b for b in range(256)})
+        classes.append((set(bytes(only.encode_ordinary(every)).decode()), set(regex.findall(name, every))))
+    (letters, own_letters), (numbers, own_numbers) = classes
+    odd = (letters ^ own_letters) | (numbers ^ own_numbers)
+    return {ord(c): "é" if c in letters else "²" if c in numbers else "¤" for c in odd}
 
 
 class Encoder:
-    """`ranks`: lines of a base64 token and its rank. `pattern` cuts a text into pre-tokens. `differ`: see
-    `differences`."""
+    """`ranks`: lines of a base64 token and its rank. `pattern` cuts a text into pre-tokens. `odd`: see
+    `stand_ins`."""
 
-    def __init__(self, ranks: bytes, pattern: str, differ: dict[str, tuple[str, str]] | None = None):
+    def __init__(self, ranks: bytes, pattern: str, odd: dict[int, str] | None = None):
         self.rank = {base64.b64decode(t): int(r) for t, r in map(bytes.split, ranks.splitlines())}
         self.token = {r: t for t, r in self.rank.items()}
         self.longest = max(map(len, self.rank))
-        differ = differences() if differ is None else differ
         self.split = regex.compile(pattern)
-        self.split_exactly = regex.compile(exact_pattern(pattern, differ))
-        odd = "".join(more + less for more, less in differ.values())
-        self.odd = re.compile(f"[{re.escape(odd)}]") if odd else None
+        self.odd = stand_ins() if odd is None else odd
+        self.odd_characters = frozenset(map(chr, self.odd))
         self.queue = RankQueue(max(self.token) + 1)
         self.seen: dict[str, tuple[int, ...]] = {}
 
@@ -158,11 +151,15 @@ class Encoder:
                 self.seen[piece] = ids
         return ids
 
-    def encode(self, text: str) -> Iterable[int]:
-        split = self.split_exactly if self.odd and not text.isascii() and self.odd.search(text) else self.split
+    def _pieces(self, text: str) -> Iterable[str]:
+        if not text.isascii() and not self.odd_characters.isdisjoint(text):
+            return (text[m.start():m.end()] for m in self.split.finditer(text.translate(self.odd)))
         if len(text) <= _LONG:
-            return chain.from_iterable(map(self._ids, split.findall(text)))
-        return chain.from_iterable(self._ids(m[0]) for m in split.finditer(text))
+            return self.split.findall(text)
+        return (m[0] for m in self.split.finditer(text))
+
+    def encode(self, text: str) -> Iterable[int]:
+        return chain.from_iterable(map(self._ids, self._pieces(text)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -171,11 +168,11 @@ class Encoder:
 _ENCODERS: dict[tuple[int, str], Encoder] = {}
 
 
-def _encoder(ranks: bytes, pattern: str, differ: dict[str, tuple[str, str]]) -> Encoder:
+def _encoder(ranks: bytes, pattern: str, odd: dict[int, str]) -> Encoder:
     """One per worker, so that what it has seen serves its next task."""
     key = (hash(ranks), pattern)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(ranks, pattern, differ)
+        _ENCODERS[key] = Encoder(ranks, pattern, odd)
     return _ENCODERS[key]
 
 
@@ -184,12 +181,12 @@ def _with_column(df: DataFrame, out: str, kind: str, source: str, ranks_file: st
     with open(ranks_file, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())  # a vocabulary's size
     importable(spark)
-    differ = differences()
+    odd = stand_ins()
     carried = [c for c in df.columns if c != out]
     fields = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in df.dtypes if c != out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks.value, pattern, differ)
+        encoder = _encoder(ranks.value, pattern, odd)
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(start, _ROWS)
