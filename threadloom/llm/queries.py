@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, sharding, url_filter
+from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, near_dedup, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,3 +75,7 @@ def op10_url_filter(spark, sf):
 @query
 def op4_decontaminate(spark, sf):
     return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+@query
+def op1_near_dedup(spark, sf):
+    return near_dedup.components(table(spark, sf, "documents"))
