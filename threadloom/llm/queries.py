@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, near_dedup, sharding, url_filter
+from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, near_dedup, sharding, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -22,6 +22,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+TOXIC = 0.3
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
@@ -79,3 +80,11 @@ def op4_decontaminate(spark, sf):
 @query
 def op1_near_dedup(spark, sf):
     return near_dedup.components(table(spark, sf, "documents"))
+
+
+@query
+def op5_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC).cast("int").alias("predicted"))
