@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, near_dedup, sharding, toxicity, url_filter
+from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, near_dedup, sharding, suffix_dedup, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,3 +88,8 @@ def op5_toxicity(spark, sf):
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+@query
+def op8_suffix_dedup(spark, sf):
+    return suffix_dedup.report(table(spark, sf, "documents"))

@@ -14,8 +14,8 @@ import pyarrow as pa
 
 _SLICE = 1 << 20
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+INVERSE = pow(BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | _U(1)
 _BYTE[65:91] = _BYTE[97:123]
 _BLANK = np.zeros(256, bool)
@@ -35,7 +35,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 to base ** (n - 1), modulo 2 ** 64."""
     got = _powers.get(base)
     if got is None or len(got) < n:
@@ -72,10 +72,10 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     if not len(starts):
         return np.empty(0, np.uint64), np.zeros(len(ends), np.int64)
     terms = _BYTE[data]
-    terms *= _power(_BASE, len(data))
+    terms *= powers(BASE, len(data))
     terms[~solid] = 0
     words = np.add.reduceat(terms, starts)
-    words *= _power(_INVERSE, len(data))[starts]
+    words *= powers(INVERSE, len(data))[starts]
     return mix(words), np.searchsorted(starts, ends)
 
 
