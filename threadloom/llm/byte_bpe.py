@@ -2,12 +2,11 @@
 
 Each match of the pattern is encoded on its own. Its pairs of neighbours wait in a queue with one bucket per
 merge rank; the buckets hold places in a linked list of the parts, and a hierarchical bitmap of the buckets in
-use gives the lowest rank by three find-first-set steps. Entries whose pair is no longer there are skipped when
+use gives the lowest rank by two find-first-set steps. Entries whose pair is no longer there are skipped when
 they come up. Each merge costs the same however long the pre-token is.
 
 Letters and numbers are those of the tiktoken library, whose Unicode version may differ from that of the
-regular expressions here: a character
-that the two see differently is split as if it were one that both see alike.
+regular expressions here: a character that the two see differently is split as if it were one that both see alike.
 
 A null or empty text has no tokens. Special tokens are ordinary text. Other columns are carried along, a column
 of the output's name is replaced; rows are independent, so repeated rows and an empty table need no rule. Ids
@@ -17,63 +16,29 @@ without a token raise; a null list of ids decodes to no bytes.
 from __future__ import annotations
 
 import base64
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, partial
 from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
 from threadloom.llm.work import importable
 
-CACHED = 200_000  # different pre-tokens a worker remembers
+CACHED = 300_000  # different pre-tokens a worker remembers, and as many used before them
 _ROWS = 128  # of one output batch
+_SHORT = 4096  # bytes of a pre-token whose lists need not be packed
+_HIGH, _BIT = [b << 8 for b in range(256)], [1 << b for b in range(256)]
 _LONG = 1 << 16  # characters; longer texts are split lazily
 
 
-class RankQueue:
-    """Places by rank: lowest rank first, lowest place first within it."""
-
-    def __init__(self, ranks: int):
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.middle = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [place]
-            word, group = rank >> 6, rank >> 12
-            self.low[word] |= 1 << (rank & 63)
-            self.middle[group] |= 1 << (word & 63)
-            self.top |= 1 << group
-        else:
-            heappush(bucket, place)
-
-    def pop(self) -> tuple[int, int]:
-        group = (self.top & -self.top).bit_length() - 1
-        bits = self.middle[group]
-        word = (group << 6) + (bits & -bits).bit_length() - 1
-        bits = self.low[word]
-        rank = (word << 6) + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[word] &= ~(1 << (rank & 63))
-            if not self.low[word]:
-                self.middle[group] &= ~(1 << (word & 63))
-                if not self.middle[group]:
-                    self.top &= ~(1 << group)
-        return rank, place
-
-
 @cache
 def stand_ins() -> dict[int, str]:
     """Characters that tiktoken puts in another class than `regex` does, with one that both put where tiktoken
@@ -89,6 +54,23 @@ def stand_ins() -> dict[int, str]:
     return {ord(c): "é" if c in letters else "²" if c in numbers else "¤" for c in odd}
 
 
+class _Seen(dict):
+    """Packed ids of pre-tokens. When it is full, what was used since it last was stays."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece) or self.encode(piece.encode("utf-8", "replace"))
+        if len(piece) < 64:
+            if len(self) >= CACHED:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """`ranks`: lines of a base64 token and its rank. `pattern` cuts a text into pre-tokens. `odd`: see
     `stand_ins`."""
@@ -100,56 +82,89 @@ class Encoder:
         self.split = regex.compile(pattern)
         self.odd = stand_ins() if odd is None else odd
         self.odd_characters = frozenset(map(chr, self.odd))
-        self.queue = RankQueue(max(self.token) + 1)
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def encode_piece(self, piece: bytes) -> tuple[int, ...]:
-        rank_of = self.rank.get
-        whole = rank_of(piece)
+        self.byte = [self.rank[bytes([b])] for b in range(256)]
+        # All pairs of tokens that make a token, and those of two bytes by their value.
+        self.merge = {self.rank[t[:i]] << 20 | self.rank[t[i:]]: r for t, r in self.rank.items()
+                      for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank}
+        self.first = [self.rank.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        self.low = [0] * ((max(self.token) >> 8) + 1)  # all zero between pre-tokens
+        self.seen = _Seen(self.encode_piece)
+
+    def encode_piece(self, piece: bytes) -> bytes:
+        """Ids as packed 32-bit numbers."""
+        n = len(piece)
+        whole = self.rank.get(piece) if n <= self.longest else None
         if whole is not None:
-            return (whole,)
-        n, longest, queue = len(piece), self.longest, self.queue
-        after = array("q", range(1, n + 1))  # the part at i ends where the next begins
-        before = array("q", range(-1, n - 1))
-        pair = array("q", [-1]) * n  # rank of the part at i and the next one
-        for i in range(n - 1):
-            rank = rank_of(piece[i:i + 2])
-            if rank is not None:
-                pair[i] = rank
-                queue.push(rank, i)
-        while queue.top:
-            rank, i = queue.pop()
+            return whole.to_bytes(4, sys.byteorder)
+        numbers = list if n < _SHORT else partial(array, "q")
+        merge, first, low, top = self.merge.get, self.first, self.low, 0
+        token = numbers(map(self.byte.__getitem__, piece))
+        after = numbers(range(1, n + 1))  # the part at i ends where the next begins
+        before = numbers(range(-1, n - 1))
+        # Rank of the part at i and the next one.
+        pair = numbers(map(first.__getitem__, map(int.__add__, map(_HIGH.__getitem__, piece), piece[1:])))
+        pair.append(-1)
+        # The queue: places by rank, a word of bits for each 256 ranks, and a bit for each word in use.
+        buckets: dict[int, list[int]] = {}
+        for i, rank in enumerate(pair):
+            if rank >= 0:
+                if rank in buckets:
+                    buckets[rank].append(i)  # in order, so a heap
+                else:
+                    buckets[rank] = [i]
+                    group = rank >> 8
+                    low[group] |= _BIT[rank & 255]
+                    top |= _BIT[group] if group < 256 else 1 << group
+        while top:
+            group = (top & -top).bit_length() - 1
+            bits = low[group]
+            rank = (group << 8) + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[group] = bits = bits & (bits - 1)
+                if not bits:
+                    top &= top - 1
             if pair[i] != rank:
                 continue  # stale
             gone = after[i]
-            end = after[gone]
-            pair[gone] = -1
-            after[i] = end
+            after[i] = end = after[gone]
+            pair[gone] = pair[i] = -1
+            token[i] = rank
+            left = before[i]
             if end < n:
                 before[end] = i
-            left = before[i]
-            for place, stop in ((left, end), (i, after[end] if end < n else -1)):
-                if place < 0:
-                    continue
-                merged = rank_of(piece[place:stop]) if 0 <= stop - place <= longest else None
-                pair[place] = -1 if merged is None else merged
+                merged = merge(rank << 20 | token[end])
                 if merged is not None:
-                    queue.push(merged, place)
-        out, i = [], 0
+                    pair[i] = merged
+                    if merged in buckets:
+                        heappush(buckets[merged], i)
+                    else:
+                        buckets[merged] = [i]
+                        group = merged >> 8
+                        low[group] |= _BIT[merged & 255]
+                        top |= _BIT[group] if group < 256 else 1 << group
+            if left >= 0:
+                merged = merge(token[left] << 20 | rank)
+                if merged is None:
+                    pair[left] = -1
+                elif merged != pair[left]:
+                    pair[left] = merged
+                    if merged in buckets:
+                        heappush(buckets[merged], left)
+                    else:
+                        buckets[merged] = [left]
+                        group = merged >> 8
+                        low[group] |= _BIT[merged & 255]
+                        top |= _BIT[group] if group < 256 else 1 << group
+        out, i = array("i"), 0
         while i < n:
-            out.append(self.rank[piece[i:after[i]]])
+            out.append(token[i])
             i = after[i]
-        return tuple(out)
-
-    def _ids(self, piece: str) -> tuple[int, ...]:
-        ids = self.seen.get(piece)
-        if ids is None:
-            ids = self.encode_piece(piece.encode("utf-8", "replace"))
-            if len(piece) < 64:
-                if len(self.seen) >= CACHED:
-                    self.seen.clear()
-                self.seen[piece] = ids
-        return ids
+        return out.tobytes()
 
     def _pieces(self, text: str) -> Iterable[str]:
         if not text.isascii() and not self.odd_characters.isdisjoint(text):
@@ -158,8 +173,10 @@ class Encoder:
             return self.split.findall(text)
         return (m[0] for m in self.split.finditer(text))
 
-    def encode(self, text: str) -> Iterable[int]:
-        return chain.from_iterable(map(self._ids, self._pieces(text)))
+    def encode(self, text: str) -> array:
+        out = array("i")
+        out.frombytes(b"".join(map(self.seen.__getitem__, self._pieces(text))))
+        return out
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -211,6 +228,7 @@ def encode_texts(df: DataFrame, ranks_file: str, pattern: str, text: str = "text
 def decode_tokens(df: DataFrame, ranks_file: str, pattern: str, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
     """Adds the bytes that the ids stand for."""
     def texts(encoder: Encoder, ids: pa.Array) -> pa.Array:
-        return pa.array([encoder.decode(i.values.to_pylist() if i.is_valid else []) for i in ids], pa.binary())
+        flat, ends = ids.flatten().to_numpy().tolist(), [0, *np.cumsum(pc.list_value_length(ids).fill_null(0)).tolist()]
+        return pa.array([encoder.decode(flat[b:e]) for b, e in zip(ends, ends[1:])], pa.binary())
 
     return _with_column(df, out, "binary", tokens, ranks_file, pattern, texts)
