@@ -87,9 +87,10 @@ def mark_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text",
             F.col("key"), F.col("key").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
             F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
         maybe = marked.where("maybe")
-        groups = maybe.groupBy("sha").agg(
+        # As a table, so that a large group's rows can meet its one row in several tasks.
+        groups = work.keep(maybe.groupBy("sha").agg(
             F.min(F.struct(*_order(F.col("length"), F.col("key")), "row")).alias("first"),
-            F.count(F.lit(1)).alias("group_size"))
+            F.count(F.lit(1)).alias("group_size")), "groups")
         grouped = maybe.join(groups, "sha").select(
             "key", F.col("first.key").alias("keep_id"), "group_size",
             (F.col("row") == F.col("first.row")).alias("kept"), F.col("sha").alias("text_sha256"))
