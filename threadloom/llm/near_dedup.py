@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm import set_sketch
@@ -210,30 +210,58 @@ def _bucket_links(classes: _Classes) -> tuple[DataFrame, DataFrame, DataFrame]:
     return work.keep(classes.links(likely, texts), "links"), large, texts
 
 
-def _rest_links(classes: _Classes, links: DataFrame, large: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between components, of members of large buckets: by their rarest shingles, exactly."""
+def _rooted(work: Workspace, links: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """`ids` (id, ...) with the root of each."""
+    roots = connected(work, links, name).withColumnRenamed("node", "id")
+    return ids.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def _rare_shingles(classes: _Classes, large: DataFrame, texts: DataFrame) -> DataFrame:
+    """id, n, x, alone, rest: for members of large buckets the rarest shingles, as many as linked sets may differ in
+    and one more, so that linked sets share one. `alone`: how many no other has; they come before all and are not
+    listed. `rest`: how many shingles are left from this one on."""
     work = classes.work
-    roots = connected(work, links, "first_roots")
-    members = work.keep(large.join(classes.table.select("id", "n"), "id").join(
-        roots.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "n", F.coalesce("root", "id").alias("root")), "members")
+    members = work.keep(large.join(classes.table.select("id", "n"), "id"), "members")
     elements = work.keep(texts.join(members.select("id"), "id").select("id", "text").mapInArrow(
         _elements(classes.width), "id bigint, x bigint"), "elements")
     shared = elements.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    # Rarest first, those of one set alone before all; so many that linked sets must share one of them.
     rare = elements.join(shared, "x").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
     may_differ = F.col("n") - F.ceil(F.col("n") * classes.percent / 100) + 1
-    left = (may_differ - (F.col("n") - F.size("xs"))).cast("int")
-    rare = work.keep(rare.join(members, "id").where(left > 0).select(
-        "id", "n", "root", F.explode(F.slice("xs.x", F.lit(1), left)).alias("x")), "rare")
-    # Only shingles that meet in several components.
-    across = rare.groupBy("x").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("x")
-    rare = rare.join(across, "x")
-    other = rare.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"), "x")
-    close = ((F.col("id") < F.col("b")) & (F.col("root") != F.col("root_b"))
-             & (100 * F.least("n", "nb") >= classes.percent * F.greatest("n", "nb")))
-    pairs = work.keep(rare.join(other, "x").where(close).select(F.col("id").alias("a"), "b").distinct(), "rest")
-    return classes.links(work.keep(classes.likely(pairs), "rest_likely"), texts)
+    alone = F.col("n") - F.size("xs")
+    rare = rare.join(members, "id").where(may_differ > alone).select(
+        "id", "n", F.posexplode(F.slice("xs.x", F.lit(1), (may_differ - alone).cast("int"))).alias("at", "x"),
+        alone.alias("alone"))
+    rare = work.keep(rare.withColumn("rest", F.col("n") - F.col("alone") - F.col("at")).drop("at"), "rare")
+    work.forget("elements")
+    return rare
+
+
+def _rest_links(classes: _Classes, links: DataFrame, large: DataFrame, texts: DataFrame) -> DataFrame:
+    """All links, with those between components of members of large buckets: by their rarest shingles, exactly."""
+    work, percent = classes.work, classes.percent
+    rare = _rare_shingles(classes, large, texts)
+
+    def close(n: str, rest: str) -> Column:
+        """What is still to come after the first common shingle bounds the intersection."""
+        return (100 + percent) * F.least("rest", rest) >= percent * (F.col("n") + F.col(n))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = work.keep(pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct(), name)
+        found = classes.links(work.keep(classes.likely(pairs), f"{name}_likely"), texts)
+        return work.keep(links.unionByName(found), f"{name}_links")
+
+    # First each shingle's sets with the one of them that has least of its own: copies of one text lie around it.
+    rooted = work.keep(_rooted(work, links, rare, "bucket_roots"), "rooted")
+    hubs = rooted.groupBy("x").agg(F.min(F.struct("alone", "id", "n", "rest", "root")).alias("hub")).select("x", "hub.*")
+    hubs = hubs.withColumnsRenamed({"id": "b", "n": "nb", "rest": "rest_b", "root": "root_b", "alone": "alone_b"})
+    links = verified(rooted.join(hubs, "x").where((F.col("root") != F.col("root_b")) & close("nb", "rest_b")), "hub")
+    # Then all that are still apart: those outside a shingle's largest component with all others.
+    rooted = work.keep(_rooted(work, links, rare, "hub_roots"), "rooted_again")
+    largest = rooted.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("x").agg(
+        F.max_by("root", "c").alias("largest"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("x", "largest")
+    outside = rooted.join(largest, "x").where("root <> largest").select(
+        F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"), F.col("rest").alias("rest_b"), "x")
+    return verified(rooted.join(outside, "x").where((F.col("root") != F.col("root_b")) & close("nb", "rest_b")), "rest")
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, width: int = 3) -> DataFrame:
@@ -244,7 +272,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
         classes = _Classes(work, docs, key, text, percent, width)
         links, large, texts = _bucket_links(classes)
         if not large.isEmpty():
-            links = work.keep(links.unionByName(_rest_links(classes, links, large, texts)), "all_links")
+            links = _rest_links(classes, links, large, texts)
         roots = connected(work, links, "roots").withColumnRenamed("node", "id")
         rooted = classes.table.join(roots, "id", "left").select("print", "key", F.coalesce("root", "id").alias("root"))
         first = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
