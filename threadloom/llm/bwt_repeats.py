@@ -17,7 +17,7 @@ _UNSET = -1
 
 def _symbols(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All parts, each followed by its end (0); a byte is its value and 1. And where each part begins."""
-    data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int64) + 1
+    data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8).astype(np.int16) + np.int16(1)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     data[ends] = 0
     return data, np.concatenate([[0], ends[:-1] + 1])
@@ -26,7 +26,9 @@ def _symbols(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _to_end(starts: np.ndarray, n: int) -> np.ndarray:
     """Bytes from each place to the end of its part."""
     ends = np.append(starts[1:], n) - 1
-    return np.repeat(ends, np.append(starts[1:], n) - starts) - np.arange(n)
+    left = np.repeat(ends.astype(np.int32), np.append(starts[1:], n) - starts)
+    left -= np.arange(n, dtype=np.int32)
+    return left
 
 
 def _sorted(data: np.ndarray, left: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -34,29 +36,30 @@ def _sorted(data: np.ndarray, left: np.ndarray, depth: int) -> tuple[np.ndarray,
     n = len(data)
     key = np.zeros(n, np.int64)
     for i in range(_FIRST):
-        shifted = np.zeros(n, np.int64)
-        shifted[:max(0, n - i)] = data[i:]
-        key = (key << 9) | np.where(left >= i, shifted, 0)
-    order = np.argsort(key, kind="stable")
+        key <<= 9
+        if i < n:
+            key[:n - i] |= np.where(left[:n - i] >= i, data[i:], np.int16(0))
+    order = np.argsort(key, kind="stable").astype(np.int32)
     first = key[order]
+    del key
     new = np.concatenate([[True], first[1:] != first[:-1]])
-    rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new) - 1
+    rank = np.empty(n, np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32) - 1
     h = _FIRST
     while h < depth:
         # Only places that share their rank with another are sorted further.
-        again = np.flatnonzero(~(new & np.append(new[1:], True)))
+        again = np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
         if not len(again):
             break
         at = order[again]
-        follow = np.where(left[at] >= h, rank[np.minimum(at + h, n - 1)] + 1, 0)
-        group = rank[at]
-        by = np.argsort(group * (n + 1) + follow, kind="stable")
+        both = rank[at].astype(np.int64) * (n + 1)
+        both += np.where(left[at] >= h, rank[np.minimum(at + h, n - 1)] + 1, 0)
+        by = np.argsort(both, kind="stable")
         order[again] = at[by]
-        group, follow = group[by], follow[by]
-        new[again] = np.concatenate([[True], (group[1:] != group[:-1]) | (follow[1:] != follow[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) - 1
+        both = both[by]
+        new[again] = np.concatenate([[True], both[1:] != both[:-1]])
+        del at, both, by
+        rank[order] = np.cumsum(new, dtype=np.int32) - 1
         h *= 2
     return order, first
 
@@ -64,17 +67,17 @@ def _sorted(data: np.ndarray, left: np.ndarray, depth: int) -> tuple[np.ndarray,
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All places of the intervals, and the number of the interval of each."""
     sizes = high - low
-    which = np.repeat(np.arange(len(low)), sizes)
-    return np.arange(len(which)) - (np.cumsum(sizes) - sizes)[which] + low[which], which
+    which = np.repeat(np.arange(len(low), dtype=np.int32), sizes)
+    return np.arange(len(which), dtype=np.int32) + (low - np.cumsum(sizes) + sizes).astype(np.int32)[which], which
 
 
 def _common_prefixes(data: np.ndarray, order: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
     """Common prefix of each suffix, in order, with the one before it; `_UNSET` where it is `least` or more."""
     n = len(order)
     before = data[order - 1]  # the transform; at the first place of a part this is an end
-    step = np.empty(n, np.int64)
-    step[np.argsort(before.astype(np.uint16), kind="stable")] = np.arange(n)
-    prefix = np.full(n + 1, _UNSET, np.int32)
+    step = np.empty(n, np.int32)
+    step[np.argsort(before, kind="stable")] = np.arange(n, dtype=np.int32)
+    prefix = np.full(n + 1, _UNSET, np.int16)
     prefix[0] = prefix[n] = 0
     # The first sort key has the shortest common prefixes.
     differ = first[1:] ^ first[:-1]
@@ -86,7 +89,7 @@ def _common_prefixes(data: np.ndarray, order: np.ndarray, first: np.ndarray, lea
     length = _FIRST
     just = prefix[high] == length - 1  # those whose end was found last; the others have led on already
     low, high = low[just], high[just]
-    label = np.full(n + 1, -1, np.int64)
+    label = np.empty(n + 1, np.int32)
     while len(low) and length < least:
         places, which = _ranges(low, high)
         inner = before[places] > 0  # matches do not cross parts

@@ -31,7 +31,7 @@ from threadloom.llm.work import Workspace, importable, result
 LEAST = 400
 PIECE = 128
 LONGEST_RUN = 2048  # longer runs, of periodic text, are cut
-TOGETHER = 1 << 20  # bytes of segments that one transform takes; a hash's segments are never parted
+TOGETHER = 1 << 19  # bytes of segments that one transform takes; a hash's segments are never parted
 _RAW = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
