@@ -147,8 +147,8 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     whole = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"),
                         F.col(text).alias("text"))
     same = F.col("key").eqNullSafe(F.col("key_")) & (F.col("hash") == F.col("hash_"))
-    gap = GAP.removesuffix("+")
-    pieces = F.regexp_extract_all("text", F.lit(rf"{gap}*[^{gap[1:]}+|{gap}+$"), 0)
+    gap = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # in texts as they are, with capitals
+    pieces = F.regexp_extract_all("text", F.lit(rf"[{gap}]*[^{gap}]+|[{gap}]+$"), 0)
     rest = F.array_join(F.filter(pieces, lambda p, i: ~F.array_contains("covered", i + 1)), "")
     out = F.when(F.col("covered").isNotNull(), rest).otherwise(F.col("text"))
     return whole.join(bad, same, "left").select(F.col("row").withField(text, out).alias("row")).select("row.*")
