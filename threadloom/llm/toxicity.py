@@ -105,10 +105,6 @@ def context(gram: np.ndarray) -> np.ndarray:
     return _pack(_content(gram) >> _U(8), _length(gram) - 1)
 
 
-def _starts_word(gram: np.ndarray) -> np.ndarray:
-    return (_content(gram) >> ((_length(gram) - 1) * 8).astype(_U)) == _U(_BLANK)
-
-
 def _counted(values: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     if counts is None:
         return np.unique(values, return_counts=True)
@@ -141,17 +137,16 @@ def shared_model(pairs: np.ndarray) -> np.ndarray:
 
 def _class_model(grams: np.ndarray, counts: np.ndarray):
     """Of one class: (gram, adjusted count) and (context, sum of counts, kinds of followers) for orders 3 up."""
+    # A gram of the highest order or from a word's start has its count; of others, left neighbours count.
+    grams, counts = _counted(grams, counts)
     keys, numbers = [], []
-    level, n = _counted(grams, counts)
-    while True:
-        # A gram of the highest order or from a word's start has its count; below, left neighbours count.
-        long = level[_length(level) >= 3]
-        keys.append(long)
-        numbers.append(n[_length(level) >= 3])
-        inner = level[~_starts_word(level) & (_length(level) > 3)]
-        if not len(inner):
-            break
-        level, n = _counted(shorter(inner))
+    level, n = np.empty(0, _U), np.empty(0)
+    for length in range(ORDER, 2, -1):
+        own = _length(grams) == length
+        level, n = np.concatenate([level, grams[own]]), np.concatenate([n, counts[own]])
+        keys.append(level)
+        numbers.append(n)
+        level, n = _counted(shorter(level))
     keys, numbers = _counted(np.concatenate(keys), np.concatenate(numbers))
     contexts, total = _counted(context(keys), numbers)
     _, kinds = _counted(context(keys))
