@@ -179,12 +179,7 @@ class Ratios:
                     continue
                 g = grams[here]
                 at = _find(contexts, context(g))
-                less = shorter(g)
-                if length == 3:
-                    c = _content(less)
-                    lower = low[(c >> _U(8)).astype(int), (c & _U(255)).astype(int)]
-                else:
-                    lower = _lower(grams, p, contexts, weight, low, less)
+                lower = _lower(grams, p, contexts, weight, low, shorter(g))
                 own_count = np.maximum(_get(keys, numbers, g, 0) - DISCOUNT, 0)
                 seen = sums[at] > 0
                 p[here] = np.where(seen, own_count / np.maximum(sums[at], 1e-9), 0) + weight[at] * lower
@@ -211,15 +206,15 @@ def _lower(grams, p, contexts, weight, low, wanted) -> np.ndarray:
     """Probabilities of shorter grams, backing off where the model has none."""
     out, todo, g = np.ones(len(wanted)), np.arange(len(wanted)), wanted
     while len(todo):
+        end = _length(g) < 3
+        c = _content(g[end])
+        out[todo[end]] *= low[(c >> _U(8)).astype(int), (c & _U(255)).astype(int)]
+        todo, g = todo[~end], g[~end]
         at = _find(grams, g)
         out[todo[at >= 0]] *= p[at[at >= 0]]
         todo, g = todo[at < 0], g[at < 0]
         out[todo] *= _get(contexts, weight, context(g), 1)
         g = shorter(g)
-        end = _length(g) < 3
-        c = _content(g[end])
-        out[todo[end]] *= low[(c >> _U(8)).astype(int), (c & _U(255)).astype(int)]
-        todo, g = todo[~end], g[~end]
     return out
 
 
