@@ -13,25 +13,29 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 
 def connected(work: Workspace, links: DataFrame, name: str) -> DataFrame:
-    """(node, root) for the nodes of `links` (a, b); root is the smallest node of its component. Links of a node
-    with itself add the node alone. Each round ties every node's larger neighbours, then its smaller ones, to the smallest of them,
-    until nothing changes; the nodes of a hub never meet in one task, only the smallest of them is looked up."""
+    """(node, root) for the nodes of `links` (a, b); root is the smallest node of its component. Each round ties
+    every node's larger neighbours, then its smaller ones, to the smallest of them, until all are tied to a root;
+    the nodes of a hub never meet in one task, only the smallest of them is looked up."""
     edges = work.keep(links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}_0")
-    state, turn = None, 0
-    while True:
+    turn = 0
+    while not _stars(edges):
         both = _both_ways(edges)
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
-        large = work.keep(large.where("a <> b").distinct(), f"{name}_large_{turn}")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root"))
+        large = both.join(least, "a").where("b > a AND b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
+        large = work.keep(large, f"{name}_large_{turn}")
         least = large.groupBy("a").agg(F.min("b").alias("root"))
         small = large.join(least, "a").where("b <> root").select(
             F.col("b").alias("a"), F.col("root").alias("b")).unionByName(least.withColumnRenamed("root", "b"))
         turn += 1
         edges = work.keep(small.distinct(), f"{name}_{turn}")
         work.forget(f"{name}_large_{turn - 1}", f"{name}_{turn - 1}")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        state = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a root, or is a root."""
+    sides = edges.select("a", F.lit(True).alias("tied")).unionByName(edges.select(F.col("b").alias("a"), F.lit(False).alias("tied")))
+    odd = sides.groupBy("a").agg(F.count_if("tied").alias("ties"), F.count_if(~F.col("tied")).alias("others"))
+    return odd.where("ties > 1 OR (ties > 0 AND others > 0)").isEmpty()

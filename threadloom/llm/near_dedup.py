@@ -10,7 +10,8 @@ one; a text without words, or null, has an empty set and is linked with nothing.
 3. Pairs whose sizes or jointly estimated similarity are far too low (by six standard deviations) go; the others are
    verified on their full sets.
 4. For members of large buckets, the exact rest: two linked sets share one of their rarest shingles, as many
-   as may differ. Pairs that share one and are still in different components are verified too.
+   as may differ. Those that share one are first held against one of them, then, if they are still in different
+   components, against each other.
 
 So no group of copies is expanded into its pairs, and nothing is capped. Rows with a null id get a null
 component and stay. Repeated rows have one component; kept tells only by the id, so rows with one id and equal texts
@@ -34,6 +35,7 @@ from threadloom.llm.work import Workspace, importable, result
 
 BAND, BANDS = 4, 24  # a pair at 0.85 shares no band once in 50 million times
 SMALL = 48  # buckets up to this size give all their pairs
+BROADCAST_ROWS = 2_000_000  # of three numbers each
 _SURE = 6.0  # standard deviations of the estimate
 
 
@@ -188,7 +190,10 @@ class _Classes:
         """One text of each class in `ids` (id)."""
         wanted = self.table.join(ids, "id").select(F.col("key").alias("key_"), F.col("hash").alias("hash_"), "id")
         same = (F.col("key") == F.col("key_")) & (F.col("hash") == F.col("hash_"))
-        return self.work.keep(self.docs.join(self.work.keep(wanted, f"wanted_{name}"), same).select(
+        wanted = self.work.keep(wanted, f"wanted_{name}")
+        # So the texts that are not wanted stay where they are, if the list is small enough for every executor.
+        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+        return self.work.keep(self.docs.join(wanted, same).select(
             "id", "text").dropDuplicates(["id"]), f"texts_{name}")
 
     def links(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -210,12 +215,6 @@ def _bucket_links(classes: _Classes) -> tuple[DataFrame, DataFrame, DataFrame]:
     return work.keep(classes.links(likely, texts), "links"), large, texts
 
 
-def _rooted(work: Workspace, links: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """`ids` (id, ...) with the root of each."""
-    roots = connected(work, links, name).withColumnRenamed("node", "id")
-    return ids.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-
-
 def _rare_shingles(classes: _Classes, large: DataFrame, texts: DataFrame) -> DataFrame:
     """id, n, x, alone, rest: for members of large buckets the rarest shingles, as many as linked sets may differ in
     and one more, so that linked sets share one. `alone`: how many no other has; they come before all and are not
@@ -237,7 +236,8 @@ def _rare_shingles(classes: _Classes, large: DataFrame, texts: DataFrame) -> Dat
 
 
 def _rest_links(classes: _Classes, links: DataFrame, large: DataFrame, texts: DataFrame) -> DataFrame:
-    """All links, with those between components of members of large buckets: by their rarest shingles, exactly."""
+    """Links with the same components as all: those given, and those of members of large buckets, by their rarest
+    shingles, exactly."""
     work, percent = classes.work, classes.percent
     rare = _rare_shingles(classes, large, texts)
 
@@ -251,16 +251,17 @@ def _rest_links(classes: _Classes, links: DataFrame, large: DataFrame, texts: Da
         return work.keep(links.unionByName(found), f"{name}_links")
 
     # First each shingle's sets with the one of them that has least of its own: copies of one text lie around it.
-    rooted = work.keep(_rooted(work, links, rare, "bucket_roots"), "rooted")
-    hubs = rooted.groupBy("x").agg(F.min(F.struct("alone", "id", "n", "rest", "root")).alias("hub")).select("x", "hub.*")
-    hubs = hubs.withColumnsRenamed({"id": "b", "n": "nb", "rest": "rest_b", "root": "root_b", "alone": "alone_b"})
-    links = verified(rooted.join(hubs, "x").where((F.col("root") != F.col("root_b")) & close("nb", "rest_b")), "hub")
+    hubs = rare.groupBy("x").agg(F.min(F.struct("alone", "id", "n", "rest")).alias("hub")).select("x", "hub.*")
+    hubs = hubs.withColumnsRenamed({"id": "b", "n": "nb", "rest": "rest_b", "alone": "alone_b"})
+    links = verified(rare.join(work.keep(hubs, "hubs"), "x").where((F.col("id") != F.col("b")) & close("nb", "rest_b")), "hub")
     # Then all that are still apart: those outside a shingle's largest component with all others.
-    rooted = work.keep(_rooted(work, links, rare, "hub_roots"), "rooted_again")
+    roots = work.keep(connected(work, links, "hub_roots"), "hub_roots_kept").withColumnRenamed("node", "id")
+    rooted = work.keep(rare.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     largest = rooted.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("x").agg(
         F.max_by("root", "c").alias("largest"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("x", "largest")
     outside = rooted.join(largest, "x").where("root <> largest").select(
         F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"), F.col("rest").alias("rest_b"), "x")
+    links = roots.select(F.col("root").alias("a"), F.col("id").alias("b"))  # the same components
     return verified(rooted.join(outside, "x").where((F.col("root") != F.col("root_b")) & close("nb", "rest_b")), "rest")
 
 
