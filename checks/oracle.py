@@ -161,19 +161,31 @@ features AS (
   FROM scored)"""
 
 
-def _occurs(text: str, pattern: str) -> str:
-    """A comment pattern as text search, or with its word edges spelled out."""
-    bare = re.sub(r"\\([^A-Za-z0-9])", r"\1", pattern)
-    if not re.search(r"\\[bd]", pattern):
-        return f"contains({text}, {text_sql(bare)})"
-    spelled = re.sub(r"^\\b", lambda _: f"(?:^|{_N})", pattern)
-    spelled = re.sub(r"\\b$", lambda _: f"(?:$|{_N})", spelled)
-    return f"regexp_matches({text}, {text_sql(spelled)})"
-
-
-_COMMENT_CLASS = "CASE " + " ".join(
-    f"WHEN {' OR '.join(_occurs('lower(\"Text\")', p) for p in patterns)} THEN {text_sql(label)}"
-    for label, patterns in rules.COMMENT_RULES) + f" ELSE {text_sql(rules.COMMENT_DEFAULT)} END"
+def _comment_class(classes, default) -> str:
+    """First class of which a whole phrase, a piece of text or the pattern occurs."""
+    cases = []
+    for label, whole, anywhere, pattern in classes:
+        tests = [f"contains(lower(\"Text\"), {text_sql(t)})" for t in anywhere]
+        phrases = "|".join(whole)
+        tests.append(f"regexp_matches(lower(\"Text\"), {text_sql(f'(?:^|{_N})({phrases})(?:$|{_N})')})")
+        if pattern:
+            tests.append(f"regexp_matches(lower(\"Text\"), {text_sql(pattern.replace('{N}', _N))})")
+        cases.append(f"WHEN {' OR '.join(tests)} THEN {text_sql(label)}")
+    return f"CASE {' '.join(cases)} ELSE {text_sql(default)} END"
+
+
+# Written out here, not taken from the rules, so that a wrong rule shows.
+_COMMENT_CLASS = _comment_class([
+    ("Critical", ["wrong", "incorrect"],
+     ["not true", "that's false", "no, it", "bug", "mistake", "error in", "actually,", "this is wrong", "cannot", "can't be"], ""),
+    ("Clarification Seeking", ["why", "how", "what do you mean", "can you clarify", "which one", "are you saying"], ["?"], ""),
+    ("Improvement Suggestions", ["you should", "it's better to"], ["use x rather than y", "suggest"],
+     "(preferably|consider|instead you can)(?:$|{N})"),
+    ("Reproducibility / Failure Reports", ["doesn't work"],
+     ["not working", "fails on", "error message", "cannot reproduce", "version", "environment"], "python [0-9]|(?:^|{N})crash"),
+    ("Moderation / Policy Issues", ["off-topic"],
+     ["duplicate", "flagged", "please edit", "follow the rules", "formatting", "too broad"], "condense(?:$|{N})"),
+], "Improvement Suggestions")
 
 
 def _hints(text: str, hints) -> str:
@@ -254,9 +266,14 @@ _COMMENT_LINE = "'<row' || " + " || ".join(
 
 _SPLIT = ("SELECT * EXCLUDE (body) FROM features WHERE posttypeid = {} AND id BETWEEN 4 AND 78300003")
 
+_RUN = """SELECT count(*) AS processed, count(*) FILTER (NOT ({0})) AS stored, count(*) FILTER ({0}) AS rejected,
+        count(*) FILTER (NOT ({0})) AS in_table, count(*) FILTER ({0}) AS in_rejects FROM {1}"""
+
 ORACLE = {
     "preview_lines": f"WITH {COMMENTS_SQL} SELECT {_COMMENT_LINE} AS line FROM v_comments "
                      'ORDER BY CAST("Id" AS BIGINT) LIMIT 40',
+    "preview_empty_parts": f"WITH {COMMENTS_SQL} SELECT {_COMMENT_LINE} AS line FROM v_comments "
+                           'ORDER BY CAST("Id" AS BIGINT) LIMIT 40',
     "line_count": "SELECT count(*) AS lines, least(count(*), 41) AS lines_seen FROM conversations",
     "xml_roundtrip": f"WITH {POSTS_SQL} SELECT * FROM v_posts",
     "attr_projection_defaults": f"""WITH {USERS_SQL} SELECT "Id", "Reputation", "DisplayName", "AccountId",
@@ -289,6 +306,8 @@ ORACLE = {
                     CAST(coalesce({_SYLLABLES}, 0) AS INTEGER) AS syllable_count FROM worded)
         SELECT *, {_flesch('word_count', 'sentence_count', 'syllable_count')} AS flesch_reading FROM counted""",
     "stored_text": f"WITH {_FEATURES} SELECT id, title, body FROM features",
+    "stored_text_full": f"""WITH {_TEXTS} SELECT CAST("Id" AS BIGINT) AS id, replace(title_text, '\\', '\\\\') AS title,
+        replace("Body", '\\', '\\\\') AS body FROM scored""",
     "tags_entropy": f"""WITH {POSTS_SQL}, tagged AS (SELECT "Id", {_TAGS} AS list FROM v_posts)
         SELECT "Id", array_to_string(list, '|') AS tags, CAST(len(list) AS INTEGER) AS tagcount,
                {_entropy('list')} AS tag_entropy FROM tagged""",
@@ -312,6 +331,7 @@ ORACLE = {
     "users_processed": f"WITH {_USERS} SELECT * FROM processed",
     "split_questions": f"WITH {_FEATURES} {_SPLIT.format(1)}",
     "split_answers": f"WITH {_FEATURES} {_SPLIT.format(2)}",
+    "split_all": f"WITH {_FEATURES} SELECT id, posttypeid, score, category FROM features WHERE posttypeid IN (1, 2)",
     "split_ranges": """SELECT doc_id AS id, CAST(doc_id % 3 + 1 AS TINYINT) AS posttypeid,
         4 + (doc_id - 4) // 100 * 100 AS range_start FROM documents
         WHERE doc_id % 3 < 2 AND doc_id BETWEEN 4 AND 78300003""",
@@ -319,13 +339,17 @@ ORACLE = {
         FROM features WHERE posttypeid IN (1, 2) AND id BETWEEN 4 AND 78300003""",
     "append_comments": f"WITH {_PROCESSED_COMMENTS} SELECT \"Id\", \"CommentClass\", 2 * count(*) AS copies "
                        "FROM processed GROUP BY ALL",
-    "bounded_batches": "SELECT count(*) AS rows, true AS bounded FROM conversations",
+    "bounded_batches": "SELECT count(*) AS rows, true AS bounded, true AS several FROM conversations",
     "upsert_latest": """SELECT user_id, event_id, event_type, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events)
         WHERE n = 1""",
     "upsert_posts": f"""WITH {_FEATURES} SELECT id, posttypeid,
-        CAST(CASE WHEN posttypeid = 1 AND id >= 4 THEN score + 1000 ELSE score END AS INTEGER) AS score, viewcount,
-        CASE WHEN posttypeid = 1 AND id >= 4 THEN 'edited' ELSE body END AS body, word_count FROM features""",
+        CAST(CASE WHEN posttypeid = 1 THEN score + 1000 ELSE score END AS INTEGER) AS score, viewcount,
+        CASE WHEN posttypeid = 1 THEN 'edited' ELSE body END AS body, word_count FROM features""",
     "stream_append_comments": f"WITH {_PROCESSED_COMMENTS} SELECT * FROM processed",
     "stream_upsert_posts": f"WITH {_FEATURES} SELECT * FROM features",
+    "stream_rejects": f'WITH {_BAD} SELECT "Id", error_reason FROM judged',
+    "run_posts": f"WITH {_BAD} {_RUN.format('error_reason IS NOT NULL', 'judged')}",
+    "run_users": _RUN.format("c_custkey % 10 = 7", "customer"),
+    "run_comments": _RUN.format("(conv_id * 1000 + turn) % 10 = 2", "conversations"),
 }

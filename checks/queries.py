@@ -64,6 +64,18 @@ def preview_lines(spark, sf):
     return dump.preview(spark, path, 40)
 
 
+@query
+def preview_empty_parts(spark, sf):
+    """More empty parts than lines asked for, before and after the parts that have some."""
+    path = work_folder(spark, "preview-empty")
+    empty = spark.createDataFrame([], "value string")
+    for _ in range(45):
+        empty.write.mode("append").text(path)
+    rows = shapes.comments(spark, sf).orderBy(F.col("Id").cast("bigint"))
+    dump.to_dump_lines(rows).coalesce(1).write.mode("append").text(path)
+    return dump.preview(spark, path, 40)
+
+
 @query
 def line_count(spark, sf):
     return dump.line_count(spark, written_dump(spark, shapes.comments(spark, sf), "lines"), 40)
@@ -177,6 +189,11 @@ def stored_text(spark, sf):
     return pp.posts_features(raw_posts(spark, sf)).select("id", "title", "body")
 
 
+@query
+def stored_text_full(spark, sf):
+    return pp.posts_features(raw_posts(spark, sf), stored_length=None).select("id", "title", "body")
+
+
 # ---- tags and languages ---------------------------------------------------------------
 
 @query
@@ -290,19 +307,26 @@ def users_processed(spark, sf):
 
 @query
 def split_questions(spark, sf):
-    return split.split_posts(pp.posts_features(raw_posts(spark, sf)))[0]
+    return split.split_posts(pp.posts_features(raw_posts(spark, sf)), split.MIN_ID, split.last_id())[0]
 
 
 @query
 def split_answers(spark, sf):
-    return split.split_posts(pp.posts_features(raw_posts(spark, sf)))[1]
+    return split.split_posts(pp.posts_features(raw_posts(spark, sf)), split.MIN_ID, split.last_id())[1]
+
+
+@query
+def split_all(spark, sf):
+    """Without bounds, every post of the two types."""
+    both = split.split_posts(pp.posts_features(raw_posts(spark, sf)))
+    return both[0].unionByName(both[1]).select("id", "posttypeid", "score", "category")
 
 
 @query
 def split_ranges(spark, sf):
     features = pp.posts_features(raw_posts(spark, sf)).select("id", "posttypeid", *split.SPLIT_COLUMNS[2:])
     both = [split.with_range(p, step=100).select("id", "posttypeid", "range_start")
-            for p in split.split_posts(features)]
+            for p in split.split_posts(features, split.MIN_ID, split.last_id())]
     return both[0].unionByName(both[1])
 
 
@@ -311,7 +335,8 @@ def split_tables(spark, sf):
     """Feature table written, read back, and split into two tables."""
     target, questions, answers = (work_folder(spark, n) for n in ("features", "questions", "answers"))
     sinks.upsert(spark, pp.posts_features(raw_posts(spark, sf)), target, order=["lastactivitydate"])
-    split.run_split(read_features(spark, target), questions, answers)
+    first, last = split.MIN_ID, split.last_id()
+    split.run_split(read_features(spark, target, first, last), questions, answers, first, last)
     return spark.read.parquet(questions).unionByName(spark.read.parquet(answers)).select(
         "id", "posttypeid", "tags", "tagcount", "word_count", "category", "confidence")
 
@@ -328,12 +353,12 @@ def append_comments(spark, sf):
 
 @query
 def bounded_batches(spark, sf):
-    """Rows are written in files of at most 5000, whatever the size of a task."""
+    """Rows are written in files of at most 20, whatever the size of a task."""
     target = work_folder(spark, "batches")
-    sinks.append(pc.comments_processed(raw_comments(spark, sf)), target, max_rows_per_file=5000)
+    sinks.append(pc.comments_processed(raw_comments(spark, sf)), target, max_rows_per_file=20)
     files = (spark.read.parquet(target).select(F.col("_metadata.file_path").alias("file"))
              .groupBy("file").agg(F.count(F.lit(1)).alias("n")))
-    return files.agg(F.sum("n").alias("rows"), (F.max("n") <= 5000).alias("bounded"))
+    return files.agg(F.sum("n").alias("rows"), (F.max("n") <= 20).alias("bounded"), (F.count(F.lit(1)) > 1).alias("several"))
 
 
 @query
@@ -361,7 +386,50 @@ def stream_append_comments(spark, sf):
     src = written_dump(spark, shapes.comments(spark, sf), "stream-comments")
     target, state = work_folder(spark, "out"), work_folder(spark, "state")
     ingest.stream_comments(spark, src, target, state).awaitTermination()
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).drop(ingest.BATCH)
+
+
+@query
+def stream_rejects(spark, sf):
+    """Of a stream with bad rows, what is stored and what is rejected make up the input."""
+    src = written_dump(spark, shapes.bad_posts(spark, sf), "stream-bad-posts")
+    target, rejects, state = (work_folder(spark, n) for n in ("out", "rejects", "state"))
+    ingest.stream_posts(spark, src, target, state, step=1000, rejects=rejects).awaitTermination()
+    bad = spark.read.schema("Id string, error_reason string").json(rejects)
+    return read_features(spark, target).select(F.col("id").cast("string").alias("Id"), F.lit(None).cast("string").alias(
+        "error_reason")).unionByName(bad.select("Id", "error_reason"))
+
+
+# ---- whole runs -------------------------------------------------------------------------
+
+def _counters(spark, counters: dict, stored: DataFrame, rejects: str) -> DataFrame:
+    """The run's counters and what is in the tables it left."""
+    seen = stored.agg(F.count(F.lit(1)).alias("in_table")).crossJoin(  # one row each
+        spark.read.schema("error_reason string").json(rejects).agg(F.count("error_reason").alias("in_rejects")))
+    return seen.select(*[F.lit(counters[n]).cast("bigint").alias(n) for n in ("processed", "stored", "rejected")], "*")
+
+
+@query
+def run_posts(spark, sf):
+    src, target = written_dump(spark, shapes.bad_posts(spark, sf), "run-posts"), work_folder(spark, "posts")
+    counters = pp.run_posts(spark, src, target)
+    return _counters(spark, counters, read_features(spark, target), f"{target}-rejected")
+
+
+@query
+def run_users(spark, sf):
+    rows = shapes.users(spark, sf).withColumn("Reputation", F.when(F.col("Id").endswith("7"), "many").otherwise(F.col("Reputation")))
+    src, target = written_dump(spark, rows, "run-users"), work_folder(spark, "users")
+    counters = pu.run_users(spark, src, target, places=PLACES)
+    return _counters(spark, counters, spark.read.parquet(target), f"{target}-rejected")
+
+
+@query
+def run_comments(spark, sf):
+    rows = shapes.comments(spark, sf).withColumn("Score", F.when(F.col("Id").endswith("2"), "high").otherwise(F.col("Score")))
+    src, target = written_dump(spark, rows, "run-comments"), work_folder(spark, "comments")
+    counters = pc.run_comments(spark, src, target)
+    return _counters(spark, counters, spark.read.parquet(target), f"{target}-rejected")
 
 
 @query

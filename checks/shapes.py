@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.sources.tables import spread
 
 COMMENT_PHRASES = [
     "This is wrong", "let me debug this", "cannot reproduce", "wrongly put", "why is that", "really?",
     "you should retry", "conversion done", "crashes on start", "error message shown", "duplicate of another",
-    "please edit the formatting", "",
+    "please edit the formatting", "", "instead you canvas the version", "instead you can retry",
 ]
 TITLE_PHRASES = [
     "Null pointer exception crash", "Which table schema is more efficient?", "What is the theory, explain why",
@@ -52,7 +51,7 @@ WEBSITES = ["", "https://gitlab.com/x", "https://developer.example.org"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list, index: Column) -> Column:

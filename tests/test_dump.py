@@ -1,5 +1,4 @@
 import json
-import tempfile
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -19,8 +18,8 @@ from threadloom.streaming import ingest
 # Lines in the layout of the dumps.
 POST_LINES = """\ufeff<?xml version="1.0" encoding="utf-8"?>
 <posts>
-  <row Id="1" PostTypeId="1" CreationDate="2008-09-02T03:41:06.880" Score="6" ViewCount="628" Body="&lt;p&gt;I have a wcf application hosted in a windows service.&lt;/p&gt;&#xA;" LastActivityDate="2013-06-24T17:03:18.890" Title="WCF &amp;amp; service" Tags="|wcf|security|spn|" />
-  <row Id="4" PostTypeId="2" ParentId="1" CreationDate="2008-09-02T03:44:26.013" Score="3" Body="&lt;pre&gt;&lt;code&gt;select a&#xA;&#xA;from b&lt;/code&gt;&lt;/pre&gt; &lt;a href=&quot;x&quot;&gt;C:\\dir&lt;/a&gt;" LastActivityDate="2008-09-02T03:44:26.013" />
+  <row Id="1" PostTypeId="1" CreationDate="2011-02-03T04:05:06.880" Score="6" ViewCount="62" Body="&lt;p&gt;Our kettle is a service with a queue of cups.&lt;/p&gt;&#xA;" LastActivityDate="2013-01-02T17:03:18.890" Title="Kettle &amp;amp; queue" Tags="|kettle|queue|tea|" />
+  <row Id="4" PostTypeId="2" ParentId="1" CreationDate="2011-02-03T04:44:26.013" Score="3" Body="&lt;pre&gt;&lt;code&gt;select a&#xA;&#xA;from b&lt;/code&gt;&lt;/pre&gt; &lt;a href=&quot;x&quot;&gt;C:\\dir&lt;/a&gt;" LastActivityDate="2011-02-03T04:44:26.013" />
   <row Id="5" PostTypeId="1" CreationDate="2008-09-02T03:44:26.013" Score="3" Body="" Title="" />
   <row Id="6" PostTypeId="5" Body=" x/>y " />
   <row Id="x7" PostTypeId="1" Body="b" />
@@ -43,7 +42,7 @@ def dump_file(tmp_path):
 def test_scan(spark, dump_file):
     rows = {r.Id: r for r in dump.scan_dump(spark, dump_file, POSTS).collect()}
     assert set(rows) == {"1", "4", "5", "6", "x7", "8", None, "10", "11", "12"}
-    assert rows["1"].Title == "WCF &amp; service" and rows["1"].Body.endswith("</p>\n") and rows["1"].ParentId is None
+    assert rows["1"].Title == "Kettle &amp; queue" and rows["1"].Body.endswith("</p>\n") and rows["1"].ParentId is None
     assert rows["5"].Body == "" and rows["6"].Body == " x/>y " and rows["10"].Body is None
     corrupt = dump.scan_dump(spark, dump_file, POSTS).where(F.col(CORRUPT).isNotNull()).collect()
     assert [r[CORRUPT].strip() for r in corrupt] == ['<row Id="9" PostTypeId="1" Body="a & b" />']
@@ -81,6 +80,8 @@ def test_preview_and_count(spark, dump_file, tmp_path):
     parts.mkdir()
     for i in range(4):
         (parts / f"part-{i}").write_text("".join(f"{i}{j}\n" for j in range(3)))
+    for i in range(60):
+        (parts / f"a-{i}").write_text("")
     assert [r.line for r in dump.preview(spark, str(parts), 7).collect()] == ["00", "01", "02", "10", "11", "12", "20"]
 
 
@@ -91,9 +92,9 @@ def test_posts_features(spark, dump_file):
     rows = {r.id: r for r in features.collect()}
     assert set(rows) == {1, 4, 5, 6, 10, 11}
     one, four, five = rows[1], rows[4], rows[5]
-    assert (one.tags, one.tagcount, one.guessed_lang) == ("wcf|security|spn", 3, "wcf")
+    assert (one.tags, one.tagcount, one.guessed_lang) == ("kettle|queue|tea", 3, "kettle")
     assert one.tag_entropy == pytest.approx(1.584962500721156)
-    assert one.title == "WCF & service" and str(one.creationdate) == "2008-09-02 03:41:06.880000"
+    assert one.title == "Kettle & queue" and str(one.creationdate) == "2011-02-03 04:05:06.880000"
     assert (one.category, one.confidence, one.has_link) == ("configuration", 1.0, 0)
     assert (four.code_block_count, four.code_total_lines, four.guessed_lang) == (1, 2, "sql")
     assert (four.has_link, four.external_link_count, four.has_image) == (1, 1, 0)
@@ -134,10 +135,15 @@ def counters(*values):
     return dict(zip(("processed", "stored", "rejected"), values))
 
 
+def counted(run):
+    assert run.pop("seconds") > 0
+    return run
+
+
 def test_run_posts_twice_is_the_same_as_once(spark, dump_file, tmp_path):
     target, rejects = str(tmp_path / "features"), str(tmp_path / "rejects")
     for _ in range(2):
-        assert pp.run_posts(spark, dump_file, target, rejects) == counters(11, 6, 5)
+        assert counted(pp.run_posts(spark, dump_file, target, rejects)) == counters(11, 6, 5)
     assert sorted(r.id for r in read_features(spark, target).collect()) == [1, 4, 5, 6, 10, 11]
     assert spark.read.json(rejects).count() == 10
 
@@ -147,8 +153,8 @@ def test_run_users_and_comments_append(spark, tmp_path):
     users.write_text('<users>\n<row Id="-1" Reputation="1" DisplayName="C" Location="Tbilisi" AboutMe="&lt;p&gt;A  PhD&lt;/p&gt;" WebsiteUrl="" />\n<row Id="2" Reputation="x" />\n</users>')
     comments.write_text('<comments>\n<row Id="1" PostId="4" Score="2" Text="why?" UserId="7" />\n</comments>')
     for _ in range(2):
-        assert pu.run_users(spark, str(users), str(tmp_path / "u"), str(tmp_path / "ur")) == counters(2, 1, 1)
-        assert pc.run_comments(spark, str(comments), str(tmp_path / "c")) == counters(1, 1, 0)
+        assert counted(pu.run_users(spark, str(users), str(tmp_path / "u"), str(tmp_path / "ur"))) == counters(2, 1, 1)
+        assert counted(pc.run_comments(spark, str(comments), str(tmp_path / "c"))) == counters(1, 1, 0)
     rows = spark.read.parquet(str(tmp_path / "u")).collect()
     assert len(rows) == 2
     assert (rows[0].Id, rows[0].AboutMe, rows[0].UserType, rows[0].Degree, rows[0].Country, rows[0].Continent) == (
@@ -171,7 +177,9 @@ def feature_rows(spark, pairs):
 
 def test_split(spark):
     features = feature_rows(spark, [(3, 1, 0), (4, 1, 0), (78_300_003, 2, 0), (78_300_004, 2, 0), (100_004, 1, 0), (9, 3, 0)])
-    questions, answers = split.split_posts(features)
+    assert sorted(r.id for part in split.split_posts(features) for r in part.collect()) == [
+        3, 4, 100_004, 78_300_003, 78_300_004]
+    questions, answers = split.split_posts(features, split.MIN_ID, split.last_id())
     assert sorted(r.id for r in questions.collect()) == [4, 100_004]
     assert [r.id for r in answers.collect()] == [78_300_003]
     assert questions.columns == SPLIT_COLUMNS and "body" not in SPLIT_COLUMNS
@@ -180,32 +188,51 @@ def test_split(spark):
 
 def test_split_reaches_the_scan(spark, tmp_path):
     feature_rows(spark, [(4, 1, 0)]).write.parquet(str(tmp_path / "f"))
-    questions, _ = split.split_posts(spark.read.parquet(str(tmp_path / "f")))
+    questions, _ = split.split_posts(spark.read.parquet(str(tmp_path / "f")), 4, 9)
     plan = questions._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(id,4)" in plan and "EqualTo(posttypeid,1)" in plan
     assert "body" not in plan.split("ReadSchema")[1]
 
 
+def scores(spark, path, **bounds):
+    return sorted((r.id, r.score) for r in read_features(spark, path, **bounds).collect())
+
+
 def test_upsert(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.upsert(spark, feature_rows(spark, [(1, 1, 10), (2, 1, 20), (1500, 2, 30)]), path, step=1000)
-    before = {f.name: sorted(p.name for p in f.iterdir()) for f in (tmp_path / "t").iterdir() if f.is_dir()}
-    sinks.upsert(spark, feature_rows(spark, [(2, 1, 21), (3, 1, 31), (3, 1, 31)]), path, step=1000)
-    assert sorted((r.id, r.score) for r in read_features(spark, path).collect()) == [(1, 10), (2, 21), (3, 31), (1500, 30)]
-    after = {f.name: sorted(p.name for p in f.iterdir()) for f in (tmp_path / "t").iterdir() if f.is_dir()}
-    assert before["id_range=1000"] == after["id_range=1000"] and before["id_range=0"] != after["id_range=0"]
+    sinks.upsert(spark, feature_rows(spark, [(2, 1, 21), (3, 1, 31), (3, 1, 31)]), path)
+    assert scores(spark, path) == [(1, 10), (2, 21), (3, 31), (1500, 30)]
+    folders = [sorted(f.name for f in d.iterdir() if f.is_dir()) for d in (tmp_path / "t" / "data").iterdir()]
+    assert sorted(folders) == [["id_range=0"], ["id_range=0", "id_range=1000"]]  # the other range is not written again
+    assert not [f for f in (tmp_path / "t").iterdir() if f.name.startswith("_staged")]
+    assert scores(spark, path, min_id=2, max_id=1499) == [(2, 21), (3, 31)]
+    assert len(read_features(spark, path, min_id=1000).inputFiles()) == 1
 
 
-def test_upsert_reads_only_touched_ranges(spark, tmp_path, monkeypatch):
+def test_upsert_keeps_to_the_ranges_of_its_table(spark, tmp_path):
     path = str(tmp_path / "t")
-    sinks.upsert(spark, feature_rows(spark, [(1, 1, 10), (1500, 2, 30)]), path, step=1000)
-    old = spark.read.parquet(path)
-    ranges = spark.createDataFrame([(1000,)], "id_range long")
-    pruned = sinks._touched(old, ranges)
-    assert "PartitionFilters: [isnotnull(id_range" in pruned._jdf.queryExecution().executedPlan().toString()
-    assert [r.id for r in pruned.collect()] == [1500]
-    monkeypatch.setattr(sinks, "_NAMED_RANGES", 0)
-    assert [r.id for r in sinks._touched(old, ranges).collect()] == [1500]
+    sinks.upsert(spark, feature_rows(spark, [(1500, 1, 10)]), path, step=1000)
+    with pytest.raises(ValueError, match="ranges of 1000"):
+        sinks.upsert(spark, feature_rows(spark, [(1500, 1, 11)]), path, step=500)
+    sinks.upsert(spark, feature_rows(spark, [(1500, 1, 12)]), path)
+    assert scores(spark, path) == [(1500, 12)]
+
+
+def test_upsert_refuses_null_keys_and_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert(spark, feature_rows(spark, [(1, 1, 10)]), path, step=1000)
+    with pytest.raises(Exception, match="NULL in key"):
+        sinks.upsert(spark, feature_rows(spark, [(1, 1, 11), (None, 1, 12)]), path)
+    assert scores(spark, path) == [(1, 10)]
+
+
+def test_upsert_of_nothing_makes_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert(spark, feature_rows(spark, [(1, 1, 10)]).where("false"), path)
+    assert scores(spark, path) == []
+    sinks.upsert(spark, feature_rows(spark, [(1, 1, 10)]), path)
+    assert scores(spark, path) == [(1, 10)]
 
 
 def test_upsert_takes_the_last_of_a_hot_key(spark, tmp_path):
@@ -213,7 +240,7 @@ def test_upsert_takes_the_last_of_a_hot_key(spark, tmp_path):
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("id"),
         F.col("id").alias("version"))
     sinks.upsert(spark, rows, str(tmp_path / "t"), order=["version"], step=500)
-    got = {r.id: r.version for r in spark.read.parquet(str(tmp_path / "t")).collect()}
+    got = {r.id: r.version for r in sinks.read_table(spark, str(tmp_path / "t"), rows.schema).collect()}
     assert got[7] == 2997 and len(got) == 2001 - (1 if 7 % 3 else 0) + (0 if 7 % 3 else 1)
 
 
@@ -243,6 +270,31 @@ def test_streams(spark, tmp_path, dump_file):
     ingest.stream_comments(spark, *args).awaitTermination()
     rows = sorted((r.Id, r.CommentClass) for r in spark.read.parquet(args[1]).collect())
     assert rows == [(1, "Clarification Seeking"), (2, "Improvement Suggestions")]
+    assert [r.error_reason for r in spark.read.json(f"{args[1]}-rejected").collect()] == ["bad Id"]
+
+
+def test_a_stream_refuses_a_table_that_a_batch_wrote(spark, tmp_path):
+    src, target = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.xml").write_text('<row Id="1" PostId="4" Score="2" Text="why?" UserId="7" />\n')
+    pc.run_comments(spark, str(src), target)
+    with pytest.raises(ValueError, match="no stream wrote"):
+        ingest.stream_comments(spark, str(src), target, str(tmp_path / "state"))
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_run_reads_rows_over_several_lines(spark, tmp_path):
+    path = tmp_path / "c.xml"
+    path.write_text('<comments>\n<row Id="1"\n PostId="4" Text="why?" />\n</comments>')
+    assert counted(pc.run_comments(spark, str(path), str(tmp_path / "c"), reader="xml")) == counters(1, 1, 0)
+
+
+def test_a_run_parses_the_dump_once(spark, dump_file, tmp_path, monkeypatch):
+    scans = []
+    monkeypatch.setitem(dump.READERS, "text", lambda *a: scans.append(a) or dump.scan_dump(*a).where(F.rand() >= 0))
+    # Rows that change when they are computed again would not add up.
+    out = pp.run_posts(spark, dump_file, str(tmp_path / "t"))
+    assert len(scans) == 1 and counted(out) == counters(11, 6, 5)
 
 
 def test_post_stream_replaces_by_id(spark, tmp_path):
@@ -264,12 +316,13 @@ def test_user_stream(spark, tmp_path):
     assert (row.Country, row.UserType, row.AboutMe) == ("usa", "Practical Developer", "e\u0301 developer")
 
 
-class NoCheckpointDir:
-    conf = {}
+class Cluster:
+    conf = {"spark.master": "yarn"}
 
 
-def test_work_folders_are_new_and_under_the_named_one(spark):
+def test_work_folders_are_new_and_named_on_a_cluster(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     first, second = (work_folder(spark, "x") for _ in range(2))
     assert first != second and (not named or first.startswith(named))
-    assert work_folder(NoCheckpointDir, "x").startswith(tempfile.gettempdir())
+    with pytest.raises(ValueError):
+        work_folder(Cluster, "x")

@@ -32,7 +32,7 @@ def normal(df: pd.DataFrame) -> list[tuple]:
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -12,6 +12,7 @@ from threadloom.functions.binding import constant, let
 from threadloom.functions.regex import contains_any, to_java
 from threadloom.functions.text import normalize_text
 
+MAX_PLACES = 10_000
 UNKNOWN = ("unknown", "Unknown")
 
 
@@ -43,7 +44,9 @@ def read_place_table(df: DataFrame) -> list[tuple[str, str, str]]:
     The table becomes a literal of every task, so it has to be a dictionary of
     names, not data that grows with the users.
     """
-    rows = df.orderBy("priority").select("keyword", "country", "continent").collect()
+    rows = df.orderBy("priority").select("keyword", "country", "continent").limit(MAX_PLACES + 1).collect()
+    if len(rows) > MAX_PLACES:
+        raise ValueError(f"more than {MAX_PLACES} places")
     return [tuple(r) for r in rows]
 
 

@@ -18,27 +18,27 @@ def last_id(min_id: int = MIN_ID, max_id: int = MAX_ID, step: int = STEP) -> int
     return min_id + ((max_id - min_id) // step + 1) * step - 1
 
 
-def of_type(features: DataFrame, post_type: int, min_id: int = MIN_ID, max_id: int = MAX_ID,
-            step: int = STEP) -> DataFrame:
-    """Posts of one type within the ranges, without the body.  Both tests reach the parquet scan."""
-    return (features
-            .where((F.col("posttypeid") == F.lit(post_type).cast("tinyint"))
-                   & F.col("id").between(min_id, last_id(min_id, max_id, step)))
-            .select(*SPLIT_COLUMNS))
+def of_type(features: DataFrame, post_type: int, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Posts of one type, without the body, with ids from `first` to `last` if given. All tests reach the scan."""
+    out = features.where(F.col("posttypeid") == F.lit(post_type).cast("tinyint"))
+    if first is not None:
+        out = out.where(F.col("id") >= first)
+    if last is not None:
+        out = out.where(F.col("id") <= last)
+    return out.select(*SPLIT_COLUMNS)
 
 
 def with_range(posts: DataFrame, min_id: int = MIN_ID, step: int = STEP) -> DataFrame:
     return posts.withColumn("range_start", id_range(F.col("id"), step, min_id))
 
 
-def split_posts(features: DataFrame, min_id: int = MIN_ID, max_id: int = MAX_ID,
-                step: int = STEP) -> tuple[DataFrame, DataFrame]:
-    return tuple(of_type(features, t, min_id, max_id, step) for t in (QUESTION, ANSWER))
+def split_posts(features: DataFrame, first: int | None = None, last: int | None = None) -> tuple[DataFrame, DataFrame]:
+    return tuple(of_type(features, t, first, last) for t in (QUESTION, ANSWER))
 
 
-def run_split(features: DataFrame, questions: str, answers: str, min_id: int = MIN_ID, max_id: int = MAX_ID,
-              step: int = STEP) -> None:
+def run_split(features: DataFrame, questions: str, answers: str, first: int | None = None,
+              last: int | None = None) -> None:
     """Two filtered, pruned scans, each appended to its table."""
-    q, a = split_posts(features, min_id, max_id, step)
+    q, a = split_posts(features, first, last)
     append(q, questions)
     append(a, answers)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.schemas import CORRUPT
+from threadloom.session import remove_folder, work_folder
 
 REASON = "error_reason"
 
@@ -43,14 +48,21 @@ def run_counters(raw: DataFrame, reason: Column) -> DataFrame:
     return raw.select(reason.alias(REASON)).agg(*[f(F.col(REASON)).alias(n) for n, f in _COUNTERS.items()])
 
 
-def observed(raw: DataFrame, reason: Column) -> tuple[DataFrame, Observation]:
-    """The same counters taken along while the rows are written.
+@contextmanager
+def staged(spark: SparkSession, raw: DataFrame, reason: Column) -> Iterator[tuple[DataFrame, DataFrame, dict]]:
+    """Raw rows read and parsed once: those to store, those rejected (with their reason), and the counters.
 
-    Only for jobs without a shuffle: there Spark counts every task once, while a
-    map stage that is run again after an executor is lost would count twice.
+    The rows are written to the work folder with their reason, so that whatever is made of them later reads them there.
     """
-    counters = Observation()
-    return raw.observe(counters, *[f(reason).alias(n) for n, f in _COUNTERS.items()]), counters
+    began, folder = time.monotonic(), work_folder(spark, "raw-rows")
+    try:
+        raw.withColumn(REASON, reason).write.parquet(folder)
+        rows = spark.read.parquet(folder)
+        counts = rows.agg(*[f(F.col(REASON)).alias(n) for n, f in _COUNTERS.items()]).first().asDict()
+        yield rows.where(F.col(REASON).isNull()).drop(REASON), rows.where(F.col(REASON).isNotNull()), counts
+        counts["seconds"] = round(time.monotonic() - began, 3)
+    finally:
+        remove_folder(spark, folder)
 
 
 def error_summary(rejects: DataFrame, order: str = "Id", examples: int = 50) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.operators.classify import comment_class
-from threadloom.operators.validate import observed, reject_reason, rejected, typed
+from threadloom.operators.validate import reject_reason, rejected, staged, typed
 from threadloom.schemas import COMMENTS, COMMENTS_PROCESSED
 from threadloom.sinks.tables import append, append_rejects
-from threadloom.sources.dump import scan_dump
+from threadloom.sources.dump import READERS
 
 
 def comment_reject_reason() -> Column:
@@ -30,10 +30,11 @@ def comments_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, comment_reject_reason())
 
 
-def run_comments(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> dict[str, int]:
-    """Dump to processed table, appended; rejected rows as JSON beside it.  Returns the run counters."""
-    raw, counters = observed(scan_dump(spark, src, COMMENTS), comment_reject_reason())
-    append(comments_processed(raw, **options), dst)
-    if rejects:
-        append_rejects(comments_rejected(scan_dump(spark, src, COMMENTS)), rejects)
-    return counters.get
+def run_comments(spark: SparkSession, src, dst: str, rejects: str | None = None, reader: str = "text", **options) -> dict:
+    """Dump to processed table, appended, read and parsed once; rejected rows as JSON in
+    ``rejects``, by default beside the table. ``reader``: "text" for a row per line, "xml" for other layouts.
+    Returns the run counters with the elapsed seconds."""
+    with staged(spark, READERS[reader](spark, src, COMMENTS), comment_reject_reason()) as (good, bad, counters):
+        append(comments_processed(good, **options), dst)
+        append_rejects(bad, rejects or f"{dst}-rejected")
+    return counters

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from threadloom.functions import tags as tg
 from threadloom.functions import text as tx
 from threadloom.operators import classify
-from threadloom.operators.validate import reject_reason, rejected, run_counters, typed
+from threadloom.operators.validate import reject_reason, rejected, staged, typed
 from threadloom.schemas import MAX_LENGTHS, POSTS, POSTS_FEATURES, STORED_TEXT_LENGTH
 from threadloom.sinks.tables import append_rejects, upsert
-from threadloom.sources.dump import scan_dump
+from threadloom.sources.dump import READERS
 
 _IDS_AND_DATES = [
     "Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "CreationDate", "Score", "ViewCount", "OwnerUserId",
@@ -31,9 +31,14 @@ def post_reject_reason() -> Column:
         ("guessed_lang", F.get(tag_list, F.lit(0)), MAX_LENGTHS["guessed_lang"])])
 
 
-def posts_features(raw: DataFrame, escape_backslashes: bool = True, topic_patterns=None, topic_keywords=None,
+def posts_features(raw: DataFrame, escape_backslashes: bool = True, stored_length: int | None = STORED_TEXT_LENGTH,
+                   topic_patterns=None, topic_keywords=None,
                    language_hints=None) -> DataFrame:
-    """Features of the valid rows of a raw posts DataFrame; the others are in :func:`posts_rejected`."""
+    """Features of the valid rows of a raw posts DataFrame; the others are in :func:`posts_rejected`.
+
+    Title and body are stored up to ``stored_length`` characters, or whole if it is None; all features are
+    those of the whole text.
+    """
     texts = post_texts(raw.where(post_reject_reason().isNull()), topic_patterns, topic_keywords)
     scores = post_scores(topic_patterns, topic_keywords)
     names = list(scores)
@@ -42,10 +47,11 @@ def posts_features(raw: DataFrame, escape_backslashes: bool = True, topic_patter
 
     def stored(text: str) -> Column:
         # Doubling only lengthens, so what is stored comes from as many characters at most.
-        head = F.substring(F.col(text), 1, STORED_TEXT_LENGTH)
-        if escape_backslashes:
-            head = F.substring(F.replace(head, F.lit("\\"), F.lit("\\\\")), 1, STORED_TEXT_LENGTH)
-        return head
+        def cut(c: Column) -> Column:
+            return c if stored_length is None else F.substring(c, 1, stored_length)
+
+        head = cut(F.col(text))
+        return cut(F.replace(head, F.lit("\\"), F.lit("\\\\"))) if escape_backslashes else head
 
     words = F.size("_tokens")
     sentences = tx.sentence_count(F.col("_text"))
@@ -109,10 +115,11 @@ def posts_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, post_reject_reason())
 
 
-def run_posts(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> dict[str, int]:
-    """Dump to feature table: upsert by id, rejected rows as JSON beside it.  Returns the run counters."""
-    raw = scan_dump(spark, src, POSTS)
-    upsert(spark, posts_features(raw, **options), dst, order=["lastactivitydate"])
-    if rejects:
-        append_rejects(posts_rejected(raw), rejects)
-    return run_counters(raw, post_reject_reason()).first().asDict()
+def run_posts(spark: SparkSession, src, dst: str, rejects: str | None = None, reader: str = "text", **options) -> dict:
+    """Dump to feature table by upsert, read and parsed once; rejected rows as JSON in
+    ``rejects``, by default beside the table. ``reader``: "text" for a row per line, "xml" for other layouts.
+    Returns the run counters with the elapsed seconds."""
+    with staged(spark, READERS[reader](spark, src, POSTS), post_reject_reason()) as (good, bad, counters):
+        upsert(spark, posts_features(good, **options), dst, order=["lastactivitydate"])
+        append_rejects(bad, rejects or f"{dst}-rejected")
+    return counters

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import normalize_text
 from threadloom.operators import classify
 from threadloom.operators.places import country_and_continent, location_text
-from threadloom.operators.validate import observed, reject_reason, rejected, typed
+from threadloom.operators.validate import reject_reason, rejected, staged, typed
 from threadloom.schemas import USERS, USERS_PROCESSED
 from threadloom.sinks.tables import append, append_rejects
-from threadloom.sources.dump import scan_dump
+from threadloom.sources.dump import READERS
 
 
 def user_reject_reason() -> Column:
@@ -41,10 +41,11 @@ def users_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, user_reject_reason())
 
 
-def run_users(spark: SparkSession, src, dst: str, rejects: str | None = None, **options) -> dict[str, int]:
-    """Dump to processed table, appended; rejected rows as JSON beside it.  Returns the run counters."""
-    raw, counters = observed(scan_dump(spark, src, USERS), user_reject_reason())
-    append(users_processed(raw, **options), dst)
-    if rejects:
-        append_rejects(users_rejected(scan_dump(spark, src, USERS)), rejects)
-    return counters.get
+def run_users(spark: SparkSession, src, dst: str, rejects: str | None = None, reader: str = "text", **options) -> dict:
+    """Dump to processed table, appended, read and parsed once; rejected rows as JSON in
+    ``rejects``, by default beside the table. ``reader``: "text" for a row per line, "xml" for other layouts.
+    Returns the run counters with the elapsed seconds."""
+    with staged(spark, READERS[reader](spark, src, USERS), user_reject_reason()) as (good, bad, counters):
+        append(users_processed(good, **options), dst)
+        append_rejects(bad, rejects or f"{dst}-rejected")
+    return counters

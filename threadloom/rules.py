@@ -39,7 +39,9 @@ TOPIC_KEYWORDS = {
     "configuration": ["config", "environment", "install", "deploy", "docker", "service"],
     "version_specific": ["version", "deprecated", "since", "v"],
 }
+# Fixed value.
 KEYWORD_WEIGHT = 0.25
+# Fixed value.
 TOPIC_THRESHOLD = 0.55
 
 # Words left out of the token set before keywords are matched.
@@ -66,7 +68,7 @@ COMMENT_RULES = [
      [r"\bwhy\b", r"\bhow\b", r"\bwhat do you mean\b", r"\bcan you clarify\b", r"\bwhich one\b",
       r"\bare you saying\b", r"\?"]),
     ("Improvement Suggestions",
-     [r"\byou should\b", r"\bit's better to\b", r"preferably\b", r"consider\b", "instead you can",
+     [r"\byou should\b", r"\bit's better to\b", r"preferably\b", r"consider\b", r"instead you can\b",
       "use x rather than y", "suggest"]),
     ("Reproducibility / Failure Reports",
      [r"\bdoesn't work\b", "not working", "fails on", "error message", "cannot reproduce", "version",
@@ -75,6 +77,7 @@ COMMENT_RULES = [
      [r"\boff-topic\b", "duplicate", "flagged", "please edit", "follow the rules", "formatting",
       "too broad", r"condense\b"]),
 ]
+# Fixed value.
 COMMENT_DEFAULT = "Improvement Suggestions"
 
 # Substrings that count for a user type.
@@ -113,6 +116,7 @@ US_STATE_CODES = [
     "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND",
     "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
 ]
+# Fixed value.
 GEORGIA_CITIES = ["tbilisi", "batumi"]
 
 # Countries by continent.

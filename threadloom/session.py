@@ -30,9 +30,13 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "thread
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder that every executor reaches, under the one the session names.
 
-    Only where the session names none, as in tests, it is a folder of this machine.
+    A local session that names none, as in tests, gets one of this machine; a cluster has to name it.
     """
-    root = spark.conf.get(_CHECKPOINT_DIR, None) or _local_root()
+    root = spark.conf.get(_CHECKPOINT_DIR, None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that every executor reaches")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.session import remove_folder, work_folder
+from threadloom.session import remove_folder
 
 RANGE = "id_range"
 RANGE_STEP = 1_000_000
 # Ids per task and file; a range of the table has several.
 SLICE_STEP = 100_000
-_NAMED_RANGES = 10_000
 _NEW = "_new"
 _SLICE = "_slice"
+_DATA, _MANIFEST = "data", "manifest"
+_MANIFEST_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType()), T.StructField("step", T.LongType()), T.StructField(RANGE, T.LongType()),
+    T.StructField("folder", T.StringType())])
 
 
 def create_if_absent(spark: SparkSession, table: str, schema: T.StructType) -> None:
@@ -48,53 +54,90 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 
 def upsert(spark: SparkSession, new: DataFrame, path: str, key: str = "id", order: list[str] | None = None,
-           step: int = RANGE_STEP) -> None:
+           step: int | None = None) -> None:
     """Insert rows, replacing all columns of those whose key is there already.
 
-    The table is partitioned by ranges of the key, and only the ranges that the new
-    rows touch are read and rewritten (dynamic partition overwrite: Spark writes
-    beside the data and moves the partitions when the job has succeeded).  Of several
-    new rows with one key the last by ``order`` is taken; equal rows of that order are
-    told apart by the whole row, so the result does not depend on arrival.
+    A table holds folders of key ranges under ``data`` and, under ``manifest``, versions of the list of
+    folders that count.  Only the ranges that the new rows touch are read; they are written anew beside
+    the old ones, and the new list, one file, makes them count all at once.  A run that fails leaves the
+    table as it was.  The size of a range (``step``, RANGE_STEP at first) belongs to the table; another one
+    is refused, and so are NULL keys.  Of several new rows with one key the last by ``order`` is taken;
+    equal rows of that order are told apart by the whole row, so the result does not depend on arrival.
+    One writer at a time.
     """
+    listed = _manifest(spark, path)
+    known = next((r["step"] for r in listed), None)
+    if known and step and step != known:
+        raise ValueError(f"{path} has ranges of {known} keys, not {step}")
+    step = known or step or RANGE_STEP
+    version = 1 + max((r["version"] for r in listed), default=0)
     by = [F.col(c).desc_nulls_last() for c in order or []]
-    fresh = latest_per_key(new, [key], [*by, F.xxhash64(*new.columns)])
-    fresh = fresh.withColumn(RANGE, id_range(F.col(key), step))
-    old = _read_if_there(spark, path, fresh.schema)
-    if old is None:
-        _write_ranges(_sliced(fresh, key), path)
-        return
-    # The new rows are used twice, for their ranges and for the merge: write them once.
-    staged = work_folder(spark, "upsert")
-    fresh.write.parquet(staged)
-    fresh = spark.read.schema(fresh.schema).parquet(staged)
-    kept = _touched(old, fresh.select(RANGE).distinct()).withColumn(_NEW, F.lit(0))
-    both = kept.unionByName(fresh.withColumn(_NEW, F.lit(1)))
-    # Clustered by slices of ids first: ranking within (slice, key) and writing then need no second shuffle.
-    merged = latest_per_key(_sliced(both, key), [_SLICE, key], [F.col(_NEW).desc()]).drop(_NEW)
-    _write_ranges(merged, path)
-    remove_folder(spark, staged)
-
-
-def _touched(old: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The ranges of the table that get new rows.
-
-    Few ranges are named in a filter, which prunes the folders to be read; more than
-    the driver should name are matched by a join.
-    """
-    few = [r[0] for r in ranges.limit(_NAMED_RANGES + 1).collect()]
-    if len(few) <= _NAMED_RANGES:
-        return old.where(F.col(RANGE).isin(few))
-    return old.join(ranges, RANGE, "left_semi")
-
-
-def _read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    kind = new.schema[key].dataType.simpleString()
+    checked = F.coalesce(F.col(key), F.raise_error(F.lit(f"NULL in key {key}")).cast(kind))
+    # Ranked before the rows of a slice meet, so that a key with very many rows is cut in every task.
+    ranged = latest_per_key(new.withColumn(key, checked), [key], [*by, F.xxhash64(*new.columns)])
+    ranged = ranged.withColumn(RANGE, id_range(F.col(key), step))
+    batch = uuid.uuid4().hex
+    folder = f"{path}/{_DATA}/{batch}"
+    current = [r for r in listed if r["folder"]]
+    if not current:
+        _write_ranges(_sliced(ranged, key), folder)
+    else:
+        # The new rows are used twice, for their ranges and for the merge: write them once, beside the table.
+        staged = f"{path}/_staged-{batch}"
+        try:
+            ranged.write.parquet(staged)
+            fresh = spark.read.schema(ranged.schema).parquet(staged)
+            touched = {r[0] for r in fresh.select(RANGE).distinct().collect()}  # folders of the table
+            old = _read_folders(spark, path, [r for r in current if r[RANGE] in touched], new.schema)
+            both = old.withColumn(_NEW, F.lit(0)).unionByName(fresh.withColumn(_NEW, F.lit(1)))
+            # Clustered by slices of ids: ranking within (slice, key) and writing need no second shuffle.
+            merged = latest_per_key(_sliced(both, key), [_SLICE, key], [F.col(_NEW).desc()])
+            _write_ranges(merged.drop(_NEW), folder)
+        finally:
+            remove_folder(spark, staged)
+    written = [r[0] for r in _ranges_below(spark, folder)]
+    kept = [(version, step, r[RANGE], r["folder"]) for r in current if r[RANGE] not in set(written)]
+    rows = kept + [(version, step, w, batch) for w in written] or [(version, step, None, None)]
+    (spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/{_MANIFEST}"))
+
+
+def _manifest(spark: SparkSession, path: str) -> list:
+    """Folders of the last version; as many as the table has ranges."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        all_versions = spark.read.schema(_MANIFEST_SCHEMA).parquet(f"{path}/{_MANIFEST}")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
+        return []
+    last = all_versions.agg(F.max("version")).first()[0]
+    return all_versions.where(F.col("version") == last).collect()
+
+
+def _ranges_below(spark: SparkSession, folder: str) -> list:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    found = F.regexp_extract("path", rf"{RANGE}=(-?\d+)", 1)
+    return files.select(found.alias("r")).where("r <> ''").select(F.col("r").cast("bigint")).distinct().collect()
+
+
+def _read_folders(spark: SparkSession, path: str, folders: list, schema: T.StructType) -> DataFrame:
+    ranged = T.StructType([*schema, T.StructField(RANGE, T.LongType())])
+    if not folders:
+        return spark.createDataFrame([], ranged)
+    by_batch: dict[str, list[str]] = {}
+    for r in folders:
+        by_batch.setdefault(r["folder"], []).append(f"{path}/{_DATA}/{r['folder']}/{RANGE}={r[RANGE]}")
+    parts = [spark.read.schema(ranged).option("basePath", f"{path}/{_DATA}/{batch}").parquet(*paths)
+             for batch, paths in by_batch.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, first: int | None = None,
+               last: int | None = None) -> DataFrame:
+    """The last version of an upserted table; of ranges without keys from ``first`` to ``last`` nothing is read."""
+    folders = [r for r in _manifest(spark, path) if r["folder"]
+               and (first is None or r[RANGE] + r["step"] > first) and (last is None or r[RANGE] <= last)]
+    return _read_folders(spark, path, folders, schema).drop(RANGE)
 
 
 def _sliced(df: DataFrame, key: str) -> DataFrame:
@@ -102,12 +145,11 @@ def _sliced(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(_SLICE, id_range(F.col(key), SLICE_STEP)).repartition(_SLICE)
 
 
-def _write_ranges(df: DataFrame, path: str) -> None:
-    (df.drop(_SLICE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(RANGE).parquet(path))
+def _write_ranges(df: DataFrame, folder: str) -> None:
+    df.drop(_SLICE).write.partitionBy(RANGE).parquet(folder)
 
 
 def jdbc_write(df: DataFrame, url: str, table: str, batch: int = 1000, connections: int = 8, **options) -> None:
     """Append over JDBC in batches, at most ``connections`` at a time."""
-    (df.coalesce(connections).write.format("jdbc").mode("append")
+    (df.repartition(connections).write.format("jdbc").mode("append")
      .options(url=url, dbtable=table, batchsize=batch, **options).save())

@@ -53,6 +53,9 @@ def scan_dump_xml(spark: SparkSession, path, columns: dict[str, str]) -> DataFra
             .schema(raw_schema(columns)).load(path))
 
 
+READERS = {"text": scan_dump, "xml": scan_dump_xml}
+
+
 def stream_dump(spark: SparkSession, path: str, columns: dict[str, str], max_files: int | None = None) -> DataFrame:
     """Stream of the rows of dump files as they arrive in a folder."""
     reader = spark.readStream.format("text")
@@ -64,10 +67,18 @@ def stream_dump(spark: SparkSession, path: str, columns: dict[str, str], max_fil
 def preview(spark: SparkSession, path, n: int = 40) -> DataFrame:
     """First n lines of a dump, stripped; parts of a dump are taken in name order.
 
-    At most n files can contribute, and the limit stops at the first splits.
+    Parts without lines do not count, however many there are; only as many parts are opened as it takes.
     """
-    files = sorted(spark.read.text(path).inputFiles())[:n]
-    lines = reduce(DataFrame.union, [spark.read.text(f) for f in files])
+    parts = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .where("length > 0").select("path"))
+    files = [r[0] for r in parts.orderBy("path").toLocalIterator()]
+    lines, at = spark.createDataFrame([], "value string"), 0
+    while at < len(files):
+        # Each part with content has a line, unless it is a compressed empty one.
+        more = [spark.read.text(f) for f in files[at:at + n]]
+        lines, at = reduce(DataFrame.union, more, lines), at + n
+        if at >= len(files) or lines.limit(n).count() >= n:
+            break
     return lines.select(strip(F.col("value")).alias("line")).limit(n)
 
 

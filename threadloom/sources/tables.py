@@ -3,29 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
+from threadloom.operators.split import MIN_ID, STEP, last_id
 from threadloom.schemas import POSTS_FEATURES
-from threadloom.sinks.tables import RANGE
+from threadloom.sinks.tables import read_table
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """The feature table as written by the upsert; its range column only prunes."""
-    schema = T.StructType([*POSTS_FEATURES, T.StructField(RANGE, T.LongType())])
-    return spark.read.schema(schema).parquet(path).drop(RANGE)
+def read_features(spark: SparkSession, path: str, min_id: int | None = None, max_id: int | None = None) -> DataFrame:
+    """The feature table as written by the upsert; only folders with ids between the bounds are read."""
+    rows = read_table(spark, path, POSTS_FEATURES, min_id, max_id)
+    if min_id is not None:
+        rows = rows.where(F.col("id") >= min_id)
+    return rows if max_id is None else rows.where(F.col("id") <= max_id)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when a small table lies in fewer pieces than there are cores.
-
-    A table of many files or row groups, as on a cluster, is left as it lies: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def jdbc_read(spark: SparkSession, url: str, table: str, key: str = "id", lower: int = 4, upper: int = 78_300_003,
-              partitions: int = 783, **options) -> DataFrame:
+def jdbc_read(spark: SparkSession, url: str, table: str, key: str = "id", lower: int = MIN_ID, upper: int = last_id(),
+              partitions: int = (last_id() + 1 - MIN_ID) // STEP, **options) -> DataFrame:
     """Read a database table in parallel by ranges of its key."""
     return (spark.read.format("jdbc")
             .options(url=url, dbtable=table, partitionColumn=key, lowerBound=lower, upperBound=upper,
