@@ -53,8 +53,7 @@ def canonical(text: Column) -> Column:
     """Canonical text, its lines kept apart by single line feeds."""
     out = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "")
     out = F.lower(out)
-    pairs = {w: s for w, s in SPELLINGS.items()}
-    for word, spelling in pairs.items():
+    for word, spelling in SPELLINGS.items():
         # The plain search keeps texts without the word away from the regex.
         out = F.when(F.contains(out, F.lit(word)), F.regexp_replace(out, rf"\b{word}\b", spelling)).otherwise(out)
     out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
@@ -78,7 +77,6 @@ def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
     notice_ids (their licences, sorted, comma-joined)."""
     spark = df.sparkSession
     digests = known_digests(spark, known).collect()  # as many as `known` has texts
-    # One row whose lines are known: the same digest table as a map from the digest.
     ids = {d["digest"]: d["license_id"] for d in digests}
     table = F.broadcast(spark.createDataFrame(list(ids.items()), "digest string, license_id string"))
     rows = df.select(F.col(key).alias("key"), canonical(F.col(text)).alias("canon"))

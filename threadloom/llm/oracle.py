@@ -1,5 +1,7 @@
 """SQL for those queries that SQL can express."""
 
+from threadloom.llm.license_scan import COPYRIGHT_LINE, KNOWN, SPELLINGS
+
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,3 +64,29 @@ t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    out = f"lower(regexp_replace(coalesce({text}, ''), {_text(COPYRIGHT_LINE)}, '', 'g'))"
+    for word, spelling in SPELLINGS.items():
+        out = rf"regexp_replace({out}, '\b{word}\b', '{spelling}', 'g')"
+    out = rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    return rf"trim(regexp_replace({out}, ' ?\n[ \n]*', chr(10), 'g'))"
+
+
+_KNOWN = ", ".join(f"({_text(i)}, {_text(t)})" for i, texts in KNOWN.items() for t in texts)
+ORACLE["op9_license_scan"] = f"""
+WITH k AS (SELECT license_id, sha256(trim(replace({_canonical('t')}, chr(10), ' '))) AS digest
+           FROM (VALUES {_KNOWN}) v(license_id, t)),
+d AS (SELECT doc_id, {_canonical('text')} AS canon FROM documents),
+l AS (SELECT doc_id, license_id FROM (SELECT doc_id, sha256(trim(unnest(string_split(canon, chr(10))))) AS digest FROM d)
+      JOIN k USING (digest)),
+n AS (SELECT doc_id, CAST(count(*) AS INTEGER) AS notices, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids
+      FROM l GROUP BY doc_id),
+w AS (SELECT doc_id, sha256(trim(replace(canon, chr(10), ' '))) AS canonical_sha256 FROM d)
+SELECT doc_id, canonical_sha256, license_id, coalesce(notices, 0) AS notices, coalesce(notice_ids, '') AS notice_ids
+FROM w LEFT JOIN k ON digest = canonical_sha256 LEFT JOIN n USING (doc_id)"""

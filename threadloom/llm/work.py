@@ -14,7 +14,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local["):
+    if not f"{spark.conf.get('spark.master', '')}[".startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="llm-work-")
     spark.conf.set("spark.checkpoint.dir", folder)
