@@ -19,8 +19,10 @@ NEAR_WORDS, NEAR_PERCENT = 5, 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches TOXIC go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    whole = docs.select(F.struct("*").alias("row"), F.col("text"))
-    return toxicity.score(whole, model).where(F.col("score") < TOXIC).select("row.*")
+    score = "score"
+    while score in docs.columns:
+        score += "_"
+    return toxicity.score(docs, model, out=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and the digest of what they decode to."""
     encoded = byte_bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), RANKS, PATTERN)
-    decoded = byte_bpe.decode_tokens(encoded.drop("text"), RANKS, PATTERN)
+    decoded = byte_bpe.decode_tokens(encoded.drop("text"), RANKS)
     return decoded.select("doc_id", "lang", "source", "tokens", F.size("tokens").cast("bigint").alias("n_tokens"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from threadloom.llm.work import importable
 
-CACHED = 300_000  # different pre-tokens a worker remembers, and as many used before them
+CACHED = 150_000  # different pre-tokens a worker remembers, and as many used before them
 _ROWS = 128  # of one output batch
 _SHORT = 4096  # bytes of a pre-token whose lists need not be packed
 _HIGH, _BIT = [b << 8 for b in range(256)], [1 << b for b in range(256)]
@@ -54,6 +54,18 @@ def stand_ins() -> dict[int, str]:
     return {ord(c): "é" if c in letters else "²" if c in numbers else "¤" for c in odd}
 
 
+def tokens(ranks: bytes) -> dict[int, bytes]:
+    return {int(r): base64.b64decode(t) for t, r in map(bytes.split, ranks.splitlines())}
+
+
+class Decoder:
+    def __init__(self, ranks: bytes):
+        self.token = tokens(ranks)
+
+    def decode(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids))
+
+
 class _Seen(dict):
     """Packed ids of pre-tokens. When it is full, what was used since it last was stays."""
 
@@ -76,8 +88,7 @@ class Encoder:
     `stand_ins`."""
 
     def __init__(self, ranks: bytes, pattern: str, odd: dict[int, str] | None = None):
-        self.rank = {base64.b64decode(t): int(r) for t, r in map(bytes.split, ranks.splitlines())}
-        self.token = {r: t for t, r in self.rank.items()}
+        self.rank = {t: r for r, t in tokens(ranks).items()}
         self.longest = max(map(len, self.rank))
         self.split = regex.compile(pattern)
         self.odd = stand_ins() if odd is None else odd
@@ -87,7 +98,7 @@ class Encoder:
         self.merge = {self.rank[t[:i]] << 20 | self.rank[t[i:]]: r for t, r in self.rank.items()
                       for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank}
         self.first = [self.rank.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
-        self.low = [0] * ((max(self.token) >> 8) + 1)  # all zero between pre-tokens
+        self.low = [0] * ((max(self.rank.values()) >> 8) + 1)  # all zero between pre-tokens
         self.seen = _Seen(self.encode_piece)
 
     def encode_piece(self, piece: bytes) -> bytes:
@@ -178,39 +189,34 @@ class Encoder:
         out.frombytes(b"".join(map(self.seen.__getitem__, self._pieces(text))))
         return out
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
-
+_TOOLS: dict[tuple, Encoder | Decoder] = {}
 
-_ENCODERS: dict[tuple[int, str], Encoder] = {}
 
-
-def _encoder(ranks: bytes, pattern: str, odd: dict[int, str]) -> Encoder:
+def _tool(kind: type, *given) -> Encoder | Decoder:
     """One per worker, so that what it has seen serves its next task."""
-    key = (hash(ranks), pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(ranks, pattern, odd)
-    return _ENCODERS[key]
+    key = (kind, hash(given[0]))
+    if key not in _TOOLS:
+        _TOOLS[key] = kind(*given)
+    return _TOOLS[key]
 
 
-def _with_column(df: DataFrame, out: str, kind: str, source: str, ranks_file: str, pattern: str, make) -> DataFrame:
+def _with_column(df: DataFrame, out: str, type_: str, source: str, ranks_file: str, make, kind: type, *more) -> DataFrame:
     spark = df.sparkSession
+    importable(spark)
     with open(ranks_file, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())  # a vocabulary's size
-    importable(spark)
-    odd = stand_ins()
     carried = [c for c in df.columns if c != out]
     fields = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in df.dtypes if c != out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks.value, pattern, odd)
+        tool = _tool(kind, ranks.value, *more)
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(start, _ROWS)
-                made = make(encoder, rows.column(source))
+                made = make(tool, rows.column(source))
                 yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in carried], made], names=[*carried, out])
 
-    return df.mapInArrow(run, f"{fields}, `{out}` {kind}" if fields else f"`{out}` {kind}")
+    return df.mapInArrow(run, f"{fields}, `{out}` {type_}" if fields else f"`{out}` {type_}")
 
 
 def encode_texts(df: DataFrame, ranks_file: str, pattern: str, text: str = "text", out: str = "tokens") -> DataFrame:
@@ -222,13 +228,13 @@ def encode_texts(df: DataFrame, ranks_file: str, pattern: str, text: str = "text
             ends.append(len(flat))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
 
-    return _with_column(df, out, "array<int>", text, ranks_file, pattern, ids)
+    return _with_column(df, out, "array<int>", text, ranks_file, ids, Encoder, pattern, stand_ins())
 
 
-def decode_tokens(df: DataFrame, ranks_file: str, pattern: str, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
+def decode_tokens(df: DataFrame, ranks_file: str, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
     """Adds the bytes that the ids stand for."""
-    def texts(encoder: Encoder, ids: pa.Array) -> pa.Array:
+    def texts(decoder: Decoder, ids: pa.Array) -> pa.Array:
         flat, ends = ids.flatten().to_numpy().tolist(), [0, *np.cumsum(pc.list_value_length(ids).fill_null(0)).tolist()]
-        return pa.array([encoder.decode(flat[b:e]) for b, e in zip(ends, ends[1:])], pa.binary())
+        return pa.array([decoder.decode(flat[b:e]) for b, e in zip(ends, ends[1:])], pa.binary())
 
-    return _with_column(df, out, "binary", tokens, ranks_file, pattern, texts)
+    return _with_column(df, out, "binary", tokens, ranks_file, texts, Decoder)

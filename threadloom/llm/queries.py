@@ -29,7 +29,7 @@ RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_t
 @query
 def op2_byte_bpe(spark, sf):
     encoded = byte_bpe.encode_texts(table(spark, sf, "documents").select("doc_id", "text"), RANKS, PATTERN)
-    decoded = byte_bpe.decode_tokens(encoded.select("doc_id", "tokens"), RANKS, PATTERN)
+    decoded = byte_bpe.decode_tokens(encoded.select("doc_id", "tokens"), RANKS)
     return decoded.select(
         "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("tokens", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS_AT_ONCE = 2000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; only a local session without one gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -22,7 +26,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it, if it is not installed there."""
+    """Lets Python workers import this package from where the driver has it, if it is not installed there, and
+    has them get whole texts in batches of ROWS_AT_ONCE, unless the session says how many."""
+    if spark.conf.get(_BATCH_ROWS, None) is None:
+        spark.conf.set(_BATCH_ROWS, ROWS_AT_ONCE)
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     given = spark.sparkContext.environment.get("PYTHONPATH", "")
     if top not in given.split(os.pathsep):
