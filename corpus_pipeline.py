@@ -59,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark)  # the last stage reads the table of the one before
     for n, (_, stage) in enumerate(STAGES[:-1]):
         docs = work.keep(stage(spark, docs, sf_dir), f"stage_{n}")
-        work.forget(f"stage_{n - 1}")
+        if n:
+            work.forget(f"stage_{n - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
