@@ -47,6 +47,16 @@ def test_pre_token_longer_than_a_list(ours, theirs):
     assert list(ours.encode(text)) == theirs.encode_ordinary(text)
 
 
+def test_many_pre_tokens_in_one_queue(ours, theirs):
+    rng = random.Random(8)
+    words = {"".join(rng.choice(a) for _ in range(rng.choice([2, 5, 12, 40]))) for a in ["a", "ab", "abcd", "é漢a", "theinsao"]
+             for _ in range(400)}
+    words = [w for w in sorted(words) if ours.split.findall(w) == [w] and w.encode() not in ours.rank]
+    got = ours.encode_pieces([w.encode() for w in words])
+    assert [memoryview(g).cast("i").tolist() for g in got] == [theirs.encode_ordinary(w) for w in words]
+    assert got == [ours.encode_piece(w.encode()) for w in words]
+
+
 def test_the_cache_may_fill(ours, theirs, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CACHED", 3)
     text = " ".join(f"word{i % 7}x" for i in range(50))

@@ -3,7 +3,8 @@
 Each match of the pattern is encoded on its own. Its pairs of neighbours wait in a queue with one bucket per
 merge rank; the buckets hold places in a linked list of the parts, and a hierarchical bitmap of the buckets in
 use gives the lowest rank by two find-first-set steps. Entries whose pair is no longer there are skipped when
-they come up. Each merge costs the same however long the pre-token is.
+they come up. Each merge costs the same however long the pre-token is. The many short pre-tokens of a batch that were not
+seen before share one queue, in which all pairs of a rank are merged at once.
 
 Letters and numbers are those of the tiktoken library, whose Unicode version may differ from that of the
 regular expressions here: a character that the two see differently is split as if it were one that both see alike.
@@ -30,10 +31,11 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from threadloom.llm.work import importable
+from threadloom.llm.work import importable, tidy
 
 CACHED = 150_000  # different pre-tokens a worker remembers, and as many used before them
 _ROWS = 128  # of one output batch
+_AT_ONCE = 200_000  # pre-tokens that share a queue
 _SHORT = 4096  # bytes of a pre-token whose lists need not be packed
 _HIGH, _BIT = [b << 8 for b in range(256)], [1 << b for b in range(256)]
 _LONG = 1 << 16  # characters; longer texts are split lazily
@@ -76,13 +78,20 @@ class _Seen(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece) or self.encode(piece.encode("utf-8", "replace"))
         if len(piece) < 64:
-            if len(self) >= CACHED:
+            if len(self) >= 2 * CACHED:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
+    def add(self, ids: dict[str, bytes]) -> None:
+        if len(self) + len(ids) > CACHED:
+            self.older = dict(self)
+            self.clear()
+        self.update(ids)
+
+
 class Encoder:
     """`ranks`: lines of a base64 token and its rank. `pattern` cuts a text into pre-tokens. `odd`: see
     `stand_ins`."""
@@ -97,6 +106,8 @@ class Encoder:
         # All pairs of tokens that make a token, and those of two bytes by their value.
         self.merge = {self.rank[t[:i]] << 20 | self.rank[t[i:]]: r for t, r in self.rank.items()
                       for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank}
+        order = sorted(self.merge)
+        self.merge_table = np.array(order, np.int64), np.array([self.merge[k] for k in order], np.int32)
         self.first = [self.rank.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
         self.low = [0] * ((max(self.rank.values()) >> 8) + 1)  # all zero between pre-tokens
         self.seen = _Seen(self.encode_piece)
@@ -177,6 +188,108 @@ class Encoder:
             i = after[i]
         return out.tobytes()
 
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The same for many pre-tokens, none of them a token, with one queue for all: the pairs of one rank are
+        merged at once wherever they are, as pre-tokens do not touch each other."""
+        sizes = np.array([len(p) for p in pieces])
+        ends = np.cumsum(sizes)
+        n, starts = int(ends[-1]), ends - sizes
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        token = np.array(self.byte, np.int32)[data]
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+        after[ends - 1], before[starts] = n, -1
+        pair = np.full(n + 1, -1, np.int32)
+        pair[:n - 1] = np.array(self.first, np.int32)[(data[:-1].astype(np.int32) << 8) | data[1:]]
+        pair[ends - 1] = -1
+        merging, swallowed = np.zeros(n + 1, bool), np.zeros(n, bool)
+        keys, values = self.merge_table
+        buckets: dict[int, list[np.ndarray]] = {}
+        low, top, early = self.low, 0, []
+
+        def push(places: np.ndarray) -> int:
+            added = 0
+            ranks = pair[places]
+            by = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[by], places[by]
+            edges = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            for rank, own in zip(ranks[np.concatenate([[0], edges])].tolist(), np.split(places, edges)):
+                if rank in buckets:
+                    buckets[rank].append(own)
+                else:
+                    buckets[rank] = [own]
+                    low[rank >> 8] |= 1 << (rank & 255)
+                    added |= 1 << (rank >> 8)
+            return added
+
+        first = np.flatnonzero(pair >= 0)
+        if len(first):
+            top = push(first)
+        while top:
+            group = (top & -top).bit_length() - 1
+            bits = low[group]
+            rank = (group << 8) + (bits & -bits).bit_length() - 1
+            low[group] = bits = bits & (bits - 1)
+            if not bits:
+                top &= top - 1
+            held = buckets.pop(rank)
+            at = held[0] if len(held) == 1 else np.concatenate(held)
+            at = at[pair[at] == rank]  # the others are stale
+            if not len(at):
+                continue
+            gone = after[at]
+            merging[at] = True
+            if merging[gone].any():  # pairs that share a part: from the left, every second one
+                merging[at] = False
+                at.sort()
+                run = np.concatenate([[True], after[at[:-1]] != at[1:]])
+                begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
+                at = at[(np.arange(len(at)) - begin) % 2 == 0]
+                gone = after[at]
+                merging[at] = True
+            end = after[gone]
+            pair[gone], pair[at] = -1, -1
+            swallowed[gone] = True
+            after[at], token[at] = end, rank
+            inner = end < n
+            right = at[inner]
+            before[end[inner]] = right
+            left = before[at]
+            left = left[left >= 0]
+            left = left[~merging[left]]  # else the right side of another
+            merging[at] = False
+            places = np.concatenate([right, left])
+            if not len(places):
+                continue
+            wanted = (token[places].astype(np.int64) << 20) | token[after[places]]
+            found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            new = np.where(keys[found] == wanted, values[found], -1)
+            pair[places] = new
+            if (sooner := (new >= 0) & (new < rank)).any():
+                early.append(places[sooner])  # came up after merges that it should have been before
+            places = places[new >= 0]
+            if len(places):
+                top |= push(places)
+        alive = ~swallowed
+        flat = token[alive]
+        upto = np.cumsum(alive)[ends - 1]
+        out = [flat[b:e].tobytes() for b, e in zip([0, *upto[:-1].tolist()], upto.tolist())]
+        for i in set(np.searchsorted(ends, np.concatenate(early), "right").tolist()) if early else ():
+            out[i] = self.encode_piece(pieces[i])
+        return out
+
+    def learn(self, texts: pa.Array) -> None:
+        """Encodes the short pre-tokens of the texts that were not seen, all at once."""
+        seen, older = self.seen, self.seen.older
+        new = {p for t in texts if len(s := t.as_py() or "") <= _LONG for p in self._pieces(s) if p not in seen and len(p) < 64}
+        ids = {p: older[p] for p in new if p in older}
+        pieces = {p: p.encode("utf-8", "replace") for p in new if p not in ids}
+        ids |= {p: self.rank[b].to_bytes(4, sys.byteorder) for p, b in pieces.items() if b in self.rank}
+        several = [p for p, b in pieces.items() if b not in self.rank]
+        for i in range(0, len(several), _AT_ONCE):
+            part = several[i:i + _AT_ONCE]
+            ids.update(zip(part, self.encode_pieces([pieces[p] for p in part])))
+        seen.add(ids)
+
     def _pieces(self, text: str) -> Iterable[str]:
         if not text.isascii() and not self.odd_characters.isdisjoint(text):
             return (text[m.start():m.end()] for m in self.split.finditer(text.translate(self.odd)))
@@ -189,17 +302,6 @@ class Encoder:
         out.frombytes(b"".join(map(self.seen.__getitem__, self._pieces(text))))
         return out
 
-_TOOLS: dict[tuple, Encoder | Decoder] = {}
-
-
-def _tool(kind: type, *given) -> Encoder | Decoder:
-    """One per worker, so that what it has seen serves its next task."""
-    key = (kind, hash(given[0]))
-    if key not in _TOOLS:
-        _TOOLS[key] = kind(*given)
-    return _TOOLS[key]
-
-
 def _with_column(df: DataFrame, out: str, type_: str, source: str, ranks_file: str, make, kind: type, *more) -> DataFrame:
     spark = df.sparkSession
     importable(spark)
@@ -209,14 +311,16 @@ def _with_column(df: DataFrame, out: str, type_: str, source: str, ranks_file: s
     fields = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in df.dtypes if c != out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = _tool(kind, ranks.value, *more)
+        tool = kind(ranks.value, *more)
         for batch in batches:
+            if kind is Encoder:
+                tool.learn(batch.column(source))
             for start in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(start, _ROWS)
                 made = make(tool, rows.column(source))
                 yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in carried], made], names=[*carried, out])
 
-    return df.mapInArrow(run, f"{fields}, `{out}` {type_}" if fields else f"`{out}` {type_}")
+    return df.mapInArrow(tidy(run), f"{fields}, `{out}` {type_}" if fields else f"`{out}` {type_}")
 
 
 def encode_texts(df: DataFrame, ranks_file: str, pattern: str, text: str = "text", out: str = "tokens") -> DataFrame:
