@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from threadloom.llm import set_sketch
 from threadloom.llm.components import connected
 from threadloom.llm.shingles import mix, shingle_sets, text_slices
-from threadloom.llm.work import Workspace, importable, result
+from threadloom.llm.work import importable, result, tidy, Workspace
 
 BAND, BANDS = 4, 24  # a pair at 0.85 shares no band once in 50 million times
 SMALL = 48  # buckets up to this size give all their pairs
@@ -175,7 +175,7 @@ class _Classes:
         self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("hash"))
         self.key_type = self.docs.schema["key"].dataType.simpleString()
         self.rows = work.keep(self.docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            _sketched(width), f"key {self.key_type}, hash bigint, row bigint, n bigint, print binary, registers binary"), "rows")
+            tidy(_sketched(width)), f"key {self.key_type}, hash bigint, row bigint, n bigint, print binary, registers binary"), "rows")
         self.table = work.keep(self.rows.where("n > 0 AND key IS NOT NULL").groupBy("print").agg(
             F.min("row").alias("id"), F.min(F.struct("key", "hash")).alias("first"), F.any_value("n").alias("n"),
             F.any_value("registers").alias("registers")).select("print", "id", "first.*", "n", "registers"), "classes")
@@ -184,7 +184,7 @@ class _Classes:
         side = self.table.select("id", "n", "registers")
         with_a = pairs.join(side.toDF("a", "na", "ra"), "a")
         with_both = with_a.join(side.toDF("b", "nb", "rb"), "b").select("a", "b", "na", "nb", "ra", "rb")
-        return with_both.mapInArrow(_likely(self.percent), "a bigint, b bigint")
+        return with_both.mapInArrow(tidy(_likely(self.percent)), "a bigint, b bigint")
 
     def texts(self, ids: DataFrame, name: str) -> DataFrame:
         """One text of each class in `ids` (id)."""
@@ -199,15 +199,15 @@ class _Classes:
     def links(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         with_a = pairs.join(texts.toDF("a", "ta"), "a")
         with_both = with_a.join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
-        return with_both.mapInArrow(_verified(self.percent, self.width), "a bigint, b bigint")
+        return with_both.mapInArrow(tidy(_verified(self.percent, self.width)), "a bigint, b bigint")
 
 
 def _bucket_links(classes: _Classes) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links found by bands; members of large buckets; the texts of all classes concerned."""
     work = classes.work
-    buckets = classes.table.select("id", "registers").mapInArrow(_band_keys, "bucket bigint, id bigint")
+    buckets = classes.table.select("id", "registers").mapInArrow(tidy(_band_keys), "bucket bigint, id bigint")
     found = work.keep(buckets.repartition("bucket").sortWithinPartitions("bucket", "id").mapInArrow(
-        _bucket_pairs, "a bigint, b bigint").distinct(), "found")
+        tidy(_bucket_pairs), "a bigint, b bigint").distinct(), "found")
     large = found.where("a = b").select(F.col("a").alias("id"))
     likely = work.keep(classes.likely(found.where("a < b")), "likely")
     concerned = likely.select(F.explode(F.array("a", "b")).alias("id")).unionByName(large).distinct()
@@ -222,7 +222,7 @@ def _rare_shingles(classes: _Classes, large: DataFrame, texts: DataFrame) -> Dat
     work = classes.work
     members = work.keep(large.join(classes.table.select("id", "n"), "id"), "members")
     elements = work.keep(texts.join(members.select("id"), "id").select("id", "text").mapInArrow(
-        _elements(classes.width), "id bigint, x bigint"), "elements")
+        tidy(_elements(classes.width)), "id bigint, x bigint"), "elements")
     shared = elements.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rare = elements.join(shared, "x").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
     may_differ = F.col("n") - F.ceil(F.col("n") * classes.percent / 100) + 1

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.bwt_repeats import repeated_starts
 from threadloom.llm.shingles import BASE, INVERSE, mix, powers, text_slices
-from threadloom.llm.work import Workspace, importable, result
+from threadloom.llm.work import importable, result, tidy, Workspace
 
 LEAST = 400
 PIECE = 128
@@ -178,7 +178,7 @@ def find_spans(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("hash"))
     kind = texts.schema["key"].dataType.simpleString()
     rows = work.keep(texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _scanned(least, piece), f"key {kind}, hash bigint, row bigint, n_bytes bigint, sha binary, value array<bigint>, "
+        tidy(_scanned(least, piece)), f"key {kind}, hash bigint, row bigint, n_bytes bigint, sha binary, value array<bigint>, "
         "first array<int>, places array<int>, once array<boolean>"), "rows")
     classes = rows.where(F.col("n_bytes") >= least).groupBy("sha").agg(
         F.count(F.lit(1)).alias("copies"), F.min("row").alias("id"))
@@ -194,17 +194,17 @@ def find_spans(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str
     same = F.col("key").eqNullSafe(F.col("key_")) & (F.col("hash") == F.col("hash_"))
     held = work.keep(texts.join(wanted, same).select("id", "text", "value", "first", "places").dropDuplicates(["id"]), "held")
     segments = work.keep(held.mapInArrow(
-        _segments(least), "id bigint, value bigint, first int, segment binary, bytes binary"), "segments")
+        tidy(_segments(least)), "id bigint, value bigint, first int, segment binary, bytes binary"), "segments")
     different = segments.groupBy("value", "segment").agg(
         F.any_value("bytes").alias("bytes"), (F.count(F.lit(1)) > 1).alias("several"))
     searched = different.repartition("value").sortWithinPartitions("value").mapInArrow(
-        _searched(least), "segment binary, low array<int>, high array<int>").where("size(low) > 0")
+        tidy(_searched(least)), "segment binary, low array<int>, high array<int>").where("size(low) > 0")
     searched = work.keep(searched.select("segment", F.inline(F.arrays_zip("low", "high"))), "searched")
     begins = segments.select("id", "first", "segment").join(searched, "segment").groupBy("id").agg(
         F.collect_list(F.col("first") + F.col("low")).alias("low"), F.collect_list(F.col("first") + F.col("high")).alias("high"))
     span = "array<struct<start:int,stop:int>>"
     cut = work.keep(held.select("id", "text").join(begins, "id").mapInArrow(
-        _cut(least), f"id bigint, spans {span}, n_removed bigint, kept_sha binary"), "cut")
+        tidy(_cut(least)), f"id bigint, spans {span}, n_removed bigint, kept_sha binary"), "cut")
     work.forget("held", "segments")
     whole = F.col("copies") > 1
     known = classes.join(cut, "id", "left").where(whole | F.col("n_removed").isNotNull()).select(

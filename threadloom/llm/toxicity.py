@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.shingles import text_slices, word_hashes
-from threadloom.llm.work import Workspace, importable
+from threadloom.llm.work import importable, tidy, Workspace
 
 ORDER = 6
 SAMPLE = 8000
@@ -318,8 +318,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         chosen = work.keep(texts.join(F.broadcast(chosen), "key"), "sample")  # 2 * sample ids
         later = F.pmod("hash", F.lit(CALIBRATION)) == 0
         counts = _arrow(chosen.where(~later).select("toxic", "text").mapInArrow(
-            _gram_counts, "toxic int, gram bigint, n bigint").groupBy("toxic", "gram").agg(F.sum("n").alias("n")))
-        pairs = _arrow(texts.select("text").mapInArrow(_pair_counts, "pair int, n bigint").groupBy("pair").agg(
+            tidy(_gram_counts), "toxic int, gram bigint, n bigint").groupBy("toxic", "gram").agg(F.sum("n").alias("n")))
+        pairs = _arrow(texts.select("text").mapInArrow(tidy(_pair_counts), "pair int, n bigint").groupBy("pair").agg(
             F.sum("n").alias("n")))
         table = np.zeros(1 << 16)
         table[np.asarray(pairs["pair"])] = np.asarray(pairs["n"])
@@ -336,7 +336,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                                                  names=["toxic", "mean", "top"])
 
         seen = _arrow(chosen.where(later).select("toxic", "text").mapInArrow(
-            measured, "toxic int, mean double, top double"))
+            tidy(measured), "toxic int, mean double, top double"))
     y = np.asarray(seen["toxic"]).astype(float)
     if len(set(y.tolist())) < 2:
         return flat
@@ -360,4 +360,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in carried], pa.array(given.value.scores(batch.column(text)))], names=[*carried, out])
 
-    return docs.mapInArrow(run, f"{fields}`{out}` double")
+    return docs.mapInArrow(tidy(run), f"{fields}`{out}` double")
