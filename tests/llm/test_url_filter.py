@@ -44,6 +44,17 @@ def test_the_index_finds_what_all_rules_would(spark):
             assert judge.best(host, slash + path) == best
 
 
+def test_the_index_loses_no_rule_where_a_token_goes_on(spark):
+    urls = [f"http://x.net{p}" for p in ("/a.html5", "/page.html2", "/x.htmlold", "/a.html", "/a.htm", "/html")] + ["http://org/a.html5"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    for r in uf.judge_urls(df).collect():
+        text, fits = f"{r.host}\n{r.path}", None
+        for rules in (uf.RULES, uf.DEFAULTS):
+            fits = fits or min((x for x in rules if uf.re.match(x.pattern, text)), key=lambda x: (-x.length, x.verdict != "block"), default=None)
+        assert r.verdict == (fits.verdict if fits else "allow"), r
+    assert [r.verdict for r in uf.judge_urls(df).orderBy("page_id").collect()] == ["block"] * 4 + ["allow"] * 3
+
+
 def test_too_many_rules(spark, monkeypatch):
     monkeypatch.setattr(uf, "MAX_RULES", 2)
     with pytest.raises(ValueError):

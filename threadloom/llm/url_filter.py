@@ -49,8 +49,8 @@ def host_rule(verdict: str, rule: str) -> Rule:
 
 RULES = [host_rule("allow", "org/"), host_rule("block", "example.org/es/"), host_rule("block", "example.org/en/1"),
          host_rule("allow", "com/fr/"), host_rule("block", "com/de/")]
-#: Where no rule fits: printed pages are blocked, all else is allowed.
-DEFAULTS = [Rule("*.html", "block", r"(?s).*\n.*\.html", ("html",), 0)]
+#: Where no rule fits: printed pages are blocked, all else is allowed. `html` may go on in the URL, so it is no literal token.
+DEFAULTS = [Rule("*.html", "block", r"(?s).*\n.*\.html", (), 0)]
 
 
 def host(url: Column) -> Column:
