@@ -59,6 +59,26 @@ def test_against_brute_force(spark, monkeypatch, least, piece, together):
     assert left.columns == df.columns and left.count() == len(rows)
 
 
+@pytest.mark.parametrize("crowded", [300, 0])
+def test_a_passage_in_many_surroundings_meets_in_no_single_transform(spark, monkeypatch, crowded):
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", 100)
+    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+
+    def bounded(parts, least):
+        assert sum(map(len, parts)) <= 100 + 300
+        return repeated_starts(parts, least)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_starts", bounded)
+    rng = random.Random(8)
+    make = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = make(60)
+    rows = [(i, make(30) + passage[rng.randrange(10):] + make(30)) for i in range(80)]
+    rows += [(i + 100, t) for i, (_, t) in enumerate(rows[:3])] + [(200 + i, "x" + rows[9][1]) for i in range(2)] + [(300, make(50))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = suffix_dedup.report(df, least=40, piece=16).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 40)
+
+
 def test_remove_repeats(spark):
     same = "".join(chr(97 + i * i % 26) for i in range(30)) + "".join(map(str, range(40)))
     df = spark.createDataFrame([(1, "é" + same + "end"), (2, "x" + same), (3, "short"), (4, None)], "doc_id int, text string")

@@ -6,7 +6,8 @@ removed. Texts are UTF-8; null is empty; matches never cross texts and are judge
 1. Each text is cut into runs of places whose strings of `least` bytes share their smallest hash of `PIECE` bytes.
    Equal strings have the same one, so they meet under it, whatever surrounds them; hashes that occur only once end here.
 2. The strings of a run, as one segment, go to the task of their hash, equal segments once per task and then once in all.
-3. There, `bwt_repeats` searches the segments' transform breadth first for common prefixes up to `least`.
+3. There, `bwt_repeats` searches the segments' transform breadth first for common prefixes up to `least`. A hash with
+   more than `CROWDED` bytes of different segments goes to no single task: its strings are counted by their digests.
 4. What begins twice is put together for each text.
 
 Equal texts are one from the start: if there are several, they are removed as a whole. A row is known by its key and
@@ -31,7 +32,8 @@ from threadloom.llm.work import importable, result, tidy, Workspace
 LEAST = 400
 PIECE = 128
 LONGEST_RUN = 2048  # longer runs, of periodic text, are cut
-TOGETHER = 1 << 19  # bytes of segments that one transform takes; a hash's segments are never parted
+TOGETHER = 1 << 19  # bytes of segments that one transform takes, besides those of its last hash, which are not parted
+CROWDED = 1 << 19  # a hash with more bytes of different segments is searched by digests instead
 _RAW = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
@@ -118,18 +120,51 @@ def _segments(least: int):
     return joined
 
 
+def _as_ranges(keys: list[bytes], places: list[np.ndarray]) -> pa.RecordBatch:
+    """Sorted places of each segment as ranges, both ends inclusive."""
+    low, high = [], []
+    for starts in places:
+        edge = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
+        low.append(starts[edge].astype(np.int32))
+        high.append((starts[np.append(edge[1:], len(starts)) - 1] if len(starts) else starts).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.binary()), pa.array(low, pa.list_(pa.int32())), pa.array(high, pa.list_(pa.int32()))],
+        names=["segment", "low", "high"])
+
+
+def _strings(least: int):
+    """The digest of every string of `least` bytes in a segment; `n` is 2 where the segment occurs again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, part, many in zip(*(batch.column(c).to_pylist() for c in ("segment", "bytes", "several"))):
+                digests = [hashlib.blake2b(part[i:i + least], digest_size=16).digest() for i in range(len(part) - least + 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(digests), pa.binary()), pa.array(np.arange(len(digests), dtype=np.int32)),
+                     pa.array(digests, pa.binary()), pa.array(np.full(len(digests), 1 + many, np.int32))],
+                    names=["segment", "place", "string", "n"])
+    return run
+
+
+def _listed_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _as_ranges(batch.column("segment").to_pylist(), [np.sort(p.values.to_numpy()) for p in batch.column("places")])
+
+
+def _crowded_searched(work: Workspace, different: DataFrame, least: int) -> DataFrame:
+    """As `_searched`, of segments under any number of hashes, with no more than a string's own places in one group."""
+    strings = work.keep(different.mapInArrow(
+        tidy(_strings(least)), "segment binary, place int, string binary, n int"), "strings")
+    again = strings.groupBy("string").agg(F.sum("n").alias("n")).where("n > 1").select("string")
+    places = strings.select("segment", "place", "string").join(again, "string").groupBy("segment").agg(
+        F.collect_list("place").alias("places"))
+    return places.mapInArrow(tidy(_listed_ranges), "segment binary, low array<int>, high array<int>")
+
+
 def _searched(least: int):
     """From segments sorted by hash: the places of each, as ranges, where a repeated string begins."""
     def found(keys: list[bytes], parts: list[bytes], several: list[bool]) -> pa.RecordBatch:
-        low, high = [], []
-        for part, many, starts in zip(parts, several, repeated_starts(parts, least)):
-            starts = np.arange(len(part) - least + 1) if many else starts
-            edge = np.flatnonzero(np.diff(starts, prepend=-2) != 1)
-            low.append(starts[edge].astype(np.int32))
-            high.append((starts[np.append(edge[1:], len(starts)) - 1] if len(starts) else starts).astype(np.int32))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(low, pa.list_(pa.int32())), pa.array(high, pa.list_(pa.int32()))],
-            names=["segment", "low", "high"])
+        return _as_ranges(keys, [np.arange(len(part) - least + 1) if many else starts
+                                 for part, many, starts in zip(parts, several, repeated_starts(parts, least))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, parts, several, size, last = [], [], [], 0, None
@@ -197,15 +232,20 @@ def find_spans(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str
         tidy(_segments(least)), "id bigint, value bigint, first int, segment binary, bytes binary"), "segments")
     different = segments.groupBy("value", "segment").agg(
         F.any_value("bytes").alias("bytes"), (F.count(F.lit(1)) > 1).alias("several"))
-    searched = different.repartition("value").sortWithinPartitions("value").mapInArrow(
+    crowded = segments.groupBy("value", "segment").agg(F.any_value(F.length("bytes")).alias("size")).groupBy("value").agg(
+        F.sum("size").alias("size")).where(F.col("size") > CROWDED).select("value")
+    crowded = F.broadcast(work.keep(crowded, "crowded"))  # at most one hash for CROWDED bytes
+    searched = different.join(crowded, "value", "left_anti").repartition("value").sortWithinPartitions("value").mapInArrow(
         tidy(_searched(least)), "segment binary, low array<int>, high array<int>").where("size(low) > 0")
+    if not crowded.isEmpty():
+        searched = searched.unionByName(_crowded_searched(work, different.join(crowded, "value", "left_semi"), least))
     searched = work.keep(searched.select("segment", F.inline(F.arrays_zip("low", "high"))), "searched")
     begins = segments.select("id", "first", "segment").join(searched, "segment").groupBy("id").agg(
         F.collect_list(F.col("first") + F.col("low")).alias("low"), F.collect_list(F.col("first") + F.col("high")).alias("high"))
     span = "array<struct<start:int,stop:int>>"
     cut = work.keep(held.select("id", "text").join(begins, "id").mapInArrow(
         tidy(_cut(least)), f"id bigint, spans {span}, n_removed bigint, kept_sha binary"), "cut")
-    work.forget("held", "segments")
+    work.forget("held", "segments", "strings")
     whole = F.col("copies") > 1
     known = classes.join(cut, "id", "left").where(whole | F.col("n_removed").isNotNull()).select(
         "sha", "copies", "spans", "n_removed", "kept_sha")
