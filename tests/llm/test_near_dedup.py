@@ -97,6 +97,17 @@ def test_empty_table_and_clashing_names(spark):
     assert near_dedup.drop_near_duplicates(df).columns == df.columns
 
 
+def test_one_id_with_two_texts(spark):
+    """A copy goes, another text with its id stays, and no group loses all its rows."""
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(3, b), (7, a), (7, b + " z"), (8, a + " y"), (9, "alone"), (9, "alone too"), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in near_dedup.drop_near_duplicates(df).collect()), key=repr)
+    assert got == sorted([(3, b), (7, a), (9, "alone"), (9, "alone too"), (None, a)], key=repr)
+    same = spark.createDataFrame([(5, a), (5, a + " y"), (6, a + " x")], "doc_id bigint, text string")
+    assert [r.doc_id for r in near_dedup.drop_near_duplicates(same).collect()] == [5]
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(4)
     a, b = (rng.integers(0, 2 ** 63, n, dtype=np.uint64) for n in (300, 900))

@@ -14,8 +14,9 @@ one; a text without words, or null, has an empty set and is linked with nothing.
    components, against each other.
 
 So no group of copies is expanded into its pairs, and nothing is capped. Rows with a null id get a null
-component and stay. Repeated rows have one component; kept tells only by the id, so rows with one id and equal texts
-stay together. An empty table gives an empty result; columns of any other name are neither read nor changed.
+component and stay. Repeated rows have one component; kept tells only by the id. Rows are dropped by id and hash of the
+text, so of each component the rows with the smallest (id, hash) stay: those with one id and equal texts together. An empty
+table gives an empty result; columns of any other name are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -265,29 +266,41 @@ def _rest_links(classes: _Classes, links: DataFrame, large: DataFrame, texts: Da
     return verified(rooted.join(outside, "x").where((F.col("root") != F.col("root_b")) & close("nb", "rest_b")), "rest")
 
 
+def _grouped(work: Workspace, docs: DataFrame, key: str, text: str, percent: int, width: int) -> DataFrame:
+    """Per row of `docs`: key, hash, n and `first`, the smallest (key, hash) of its component; null without one."""
+    classes = _Classes(work, docs, key, text, percent, width)
+    links, large, texts = _bucket_links(classes)
+    if not large.isEmpty():
+        links = _rest_links(classes, links, large, texts)
+    roots = connected(work, links, "roots").withColumnRenamed("node", "id")
+    rooted = classes.table.join(roots, "id", "left").select("print", "key", "hash", F.coalesce("root", "id").alias("root"))
+    first = rooted.groupBy("root").agg(F.min(F.struct("key", "hash")).alias("first"))
+    named = work.keep(rooted.join(first, "root").select("print", "first"), "named")
+    grouped = F.when(F.col("key").isNotNull() & (F.col("n") > 0), F.col("first"))
+    return classes.rows.select("key", "hash", "n", "print").join(named, "print", "left").select(
+        "key", "hash", "n", grouped.alias("first"))
+
+
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, width: int = 3) -> DataFrame:
     """One row per row of `docs`: the key, n_shingles, component_id (its smallest key), kept."""
     spark = docs.sparkSession
     importable(spark)
     with Workspace(spark) as work:
-        classes = _Classes(work, docs, key, text, percent, width)
-        links, large, texts = _bucket_links(classes)
-        if not large.isEmpty():
-            links = _rest_links(classes, links, large, texts)
-        roots = connected(work, links, "roots").withColumnRenamed("node", "id")
-        rooted = classes.table.join(roots, "id", "left").select("print", "key", F.coalesce("root", "id").alias("root"))
-        first = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
-        named = work.keep(rooted.join(first, "root").select("print", "component_id"), "named")
-        own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
-        return result(spark, classes.rows.select("key", "n", "print").join(named, "print", "left").select(
+        return result(spark, _grouped(work, docs, key, text, percent, width).select(
             F.col("key").alias(key), F.col("n").alias("n_shingles"),
-            F.when(F.col("key").isNotNull(), own).alias("component_id")).withColumn(
+            F.coalesce("first.key", "key").alias("component_id")).withColumn(
             "kept", F.col(key).isNull() | F.col(key).eqNullSafe(F.col("component_id"))))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85,
                          width: int = 3) -> DataFrame:
     """The rows of `docs` that stay, one of each component, with all their columns."""
-    found = components(docs, key, text, percent, width).where("NOT kept").select(F.col(key).alias("key_")).distinct()
-    whole = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"))
-    return whole.join(found, F.col("key") == F.col("key_"), "left_anti").select("row.*")
+    spark = docs.sparkSession
+    importable(spark)
+    with Workspace(spark) as work:
+        found = result(spark, _grouped(work, docs, key, text, percent, width).where(
+            (F.col("key") != F.col("first.key")) | (F.col("hash") != F.col("first.hash"))).select(
+            F.col("key").alias("key_"), F.col("hash").alias("hash_")).distinct())
+    whole = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"))
+    same = (F.col("key") == F.col("key_")) & (F.col("hash") == F.col("hash_"))
+    return whole.join(found, same, "left_anti").select("row.*")
