@@ -3,7 +3,9 @@
 The canonical form of a text: lower case; lines with a copyright notice go; `licence` and other spellings of
 one word become one; every run of characters that are not letters or digits becomes one space (lines are
 kept apart), ends cut off. The SHA-256 of a whole canonical text is joined with the digests of known
-licences; each line of the text is looked up in the same way, for notices within other text.
+licences; each line of the text is looked up in the same way, for notices within other text. A whole text is also joined
+without its heading (titles, `all rights reserved`, all lines of copyright, unfilled ones too) with a table of full texts,
+by default those in `license_texts`; so a file as it is usually shipped is found.
 
 Null and empty texts have the digest of the empty text and no licence. The key is only carried, so null and
 repeated keys do no harm; an empty table gives an empty result; no other column is read.
@@ -11,9 +13,13 @@ repeated keys do no harm; an empty table gives an empty result; no other column
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.functions.binding import let
+
 # Public licence texts and notices.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and \
 associated documentation files (the "Software"), to deal in the Software without restriction, including without \
@@ -47,6 +53,10 @@ KNOWN = {
 SPELLINGS = {"licence": "license", "licenced": "licensed", "licences": "licenses", "sublicence": "sublicense",
              "noncommercial": "non commercial", "organisation": "organization", "acknowledgement": "acknowledgment"}
 COPYRIGHT_LINE = r"(?im)^[^\n]*(?:\bcopyright (?:\(c\)|©|[0-9])|©|\(c\) ?[0-9]{4})[^\n]*$"
+# Lines of a canonical text that may stand above a licence, and the line to be filled in below some.
+HEADING = r"copyright\b[^\n]*|all rights reserved|(?:the )?[^\n]{0,60}\blicense(?: (?:mit|isc|0bsd|bsd[^\n]{0,12}))?"
+UNFILLED = r"(?m)^copyright (?:yyyy|year)\b[^\n]*\n?"
+TERMS_END = "END OF TERMS AND CONDITIONS"  # what follows tells how to apply the licence, and is often left out
 
 
 def canonical(text: Column) -> Column:
@@ -65,6 +75,36 @@ def whole(text: Column) -> Column:
     return F.trim(F.replace(text, F.lit("\n"), F.lit(" ")))
 
 
+def body(canon: Column) -> Column:
+    """A canonical text without its heading, as one line."""
+    def below(text: Column) -> Column:
+        lines = F.split(text, "\n")
+        begin = F.array_position(F.transform(lines, lambda line: F.trim(line).rlike(rf"\A(?:{HEADING})\z")), False)
+        # Nearly no text begins with a heading; the last line is never one.
+        return F.when(text.rlike(rf"\A(?:{HEADING}) ?\n"), F.array_join(
+            F.slice(lines, F.greatest(begin, F.lit(1)).cast("int"), F.size(lines)), "\n")).otherwise(text)
+
+    def filled(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit("copyright y")), F.regexp_replace(text, UNFILLED, "")).otherwise(text)
+    return whole(let(let(canon, below), filled))
+
+
+def license_texts(spark: SparkSession) -> DataFrame:
+    """The full texts that come with this package: (license_id, text)."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return spark.createDataFrame([(f.stem.split("__")[0], f.read_text(encoding="utf-8")) for f in files],
+                                 "license_id string, text string")
+
+
+def body_digests(texts: DataFrame) -> DataFrame:
+    """(body_digest, body_id) of full texts, each also without what follows its terms."""
+    ending = F.instr("text", TERMS_END)
+    terms = F.when(ending > 0, F.substring(F.col("text"), F.lit(1), ending + len(TERMS_END) - 1))
+    both = texts.select("license_id", F.explode(F.array("text", terms)).alias("text")).where("text IS NOT NULL")
+    bodies = both.select("license_id", let(canonical(F.col("text")), body).alias("body")).where("body <> ''")
+    return bodies.groupBy(F.sha2("body", 256).alias("body_digest")).agg(F.min("license_id").alias("body_id"))
+
+
 def known_digests(spark: SparkSession, known: dict[str, list[str]] = KNOWN) -> DataFrame:
     """A few rows: (license_id, digest) of the known texts, canonicalised like any other."""
     texts = spark.createDataFrame([(i, t) for i, ts in known.items() for t in ts], "license_id string, text string")
@@ -72,19 +112,24 @@ def known_digests(spark: SparkSession, known: dict[str, list[str]] = KNOWN) -> D
 
 
 def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
-                  known: dict[str, list[str]] = KNOWN) -> DataFrame:
+                  known: dict[str, list[str]] = KNOWN, texts: DataFrame | None = None) -> DataFrame:
     """One row per row: the key, canonical_sha256, license_id (of the whole text), notices (lines found),
-    notice_ids (their licences, sorted, comma-joined)."""
+    notice_ids (their licences, sorted, comma-joined). `texts` (license_id, text) are full texts besides the known ones,
+    those of the package if there are none."""
     spark = df.sparkSession
+    given = spark.createDataFrame([(i, t) for i, ts in known.items() for t in ts], "license_id string, text string")
+    bodies = body_digests(given.unionByName((license_texts(spark) if texts is None else texts).select("license_id", "text")))
     digests = known_digests(spark, known).collect()  # as many as `known` has texts
     ids = {d["digest"]: d["license_id"] for d in digests}
     table = F.broadcast(spark.createDataFrame(list(ids.items()), "digest string, license_id string"))
     rows = df.select(F.col(key).alias("key"), canonical(F.col(text)).alias("canon"))
     found = F.filter(F.transform(F.split("canon", "\n"), lambda line: F.sha2(F.trim(line), 256)),
                      lambda d: d.isin(*ids))
-    hashed = rows.select("key", F.sha2(whole(F.col("canon")), 256).alias("digest"), found.alias("found"))
+    hashed = rows.select("key", F.sha2(whole(F.col("canon")), 256).alias("digest"), found.alias("found"),
+                         F.sha2(body(F.col("canon")), 256).alias("body_digest"))
     names = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
     named = F.array_sort(F.array_distinct(F.transform("found", lambda d: F.element_at(names, d))))
-    return hashed.join(table, "digest", "left").select(
-        F.col("key").alias(key), F.col("digest").alias("canonical_sha256"), "license_id",
+    return hashed.join(table, "digest", "left").join(F.broadcast(bodies), "body_digest", "left").select(
+        F.col("key").alias(key), F.col("digest").alias("canonical_sha256"),
+        F.coalesce("license_id", "body_id").alias("license_id"),
         F.size("found").alias("notices"), F.array_join(named, ",").alias("notice_ids"))
