@@ -90,3 +90,38 @@ n AS (SELECT doc_id, CAST(count(*) AS INTEGER) AS notices, string_agg(DISTINCT l
 w AS (SELECT doc_id, sha256(trim(replace(canon, chr(10), ' '))) AS canonical_sha256 FROM d)
 SELECT doc_id, canonical_sha256, license_id, coalesce(notices, 0) AS notices, coalesce(notice_ids, '') AS notice_ids
 FROM w LEFT JOIN k ON digest = canonical_sha256 LEFT JOIN n USING (doc_id)"""
+
+_SPLIT = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+# Every document takes all orders here, row by row.
+ORACLE["op13_filter_audit"] = f"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_SPLIT} AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS first_id FROM w GROUP BY t),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+      FROM labels GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id AS doc_id, part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+          100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+          regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > first_id, false)] AS fails
+  FROM w JOIN first USING (t) LEFT JOIN l ON l.doc_id = w.doc_id),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 3, 4, 5]) AS i),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS ids
+  FROM f a JOIN f b ON b.i <> a.i JOIN f c ON c.i NOT IN (a.i, b.i) JOIN f d ON d.i NOT IN (a.i, b.i, c.i)
+  JOIN f e ON e.i NOT IN (a.i, b.i, c.i, d.i)),
+s AS (SELECT filter_order, ids, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM m GROUP BY part, fails),
+r AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS filter, fails[ids[step]] AS fail, n, good, bad,
+         len(list_filter(ids[1 : step - 1], lambda x: fails[x])) > 0 AS gone,
+         len(list_filter(fails, lambda x: x)) = 1 AS alone FROM c, s),
+g AS (
+  SELECT part, filter_order, step, filter,
+         CAST(coalesce(sum(n) FILTER (NOT fail AND NOT gone), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (fail AND NOT gone), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (fail AND gone), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (fail AND alone), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(good) FILTER (fail AND NOT gone), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(bad) FILTER (fail AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step, filter)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM g"""

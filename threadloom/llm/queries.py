@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, license_scan, near_dedup, sharding, suffix_dedup, toxicity, url_filter
+from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, filter_audit, license_scan, near_dedup, sharding, suffix_dedup, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -93,3 +93,8 @@ def op5_toxicity(spark, sf):
 @query
 def op8_suffix_dedup(spark, sf):
     return suffix_dedup.report(table(spark, sf, "documents"))
+
+
+@query
+def op13_filter_audit(spark, sf):
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
