@@ -125,3 +125,40 @@ g AS (
          CAST(coalesce(sum(bad) FILTER (fail AND NOT gone), 0) AS BIGINT) AS toxic_lost
   FROM r GROUP BY part, filter_order, step, filter)
 SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM g"""
+
+# Every pair of sources takes every kept term here.
+ORACLE["op11_source_divergence"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, CAST(coalesce(n, 0) + 2 * coalesce(v, 0) AS HUGEINT) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source) USING (lang, source)),
+lt AS (SELECT lang, CAST(sum(total) - count(*) * 2 * any_value(v) + 2 * any_value(v) AS HUGEINT) AS total FROM g GROUP BY lang),
+p AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c,
+         1 + CAST(1000000000 * CAST(coalesce(c, 0) + 2 AS HUGEINT) // total AS HUGEINT) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+s AS (
+  SELECT a.lang AS lang, a.source AS source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang AS lang, a.source AS source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+q AS (
+  SELECT lang, term, 1 + CAST(1000000000 * CAST(sum(c) + 2 AS HUGEINT) // any_value(total) AS HUGEINT) AS q
+  FROM c JOIN lt USING (lang) GROUP BY lang, term),
+term AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+         CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10"""
