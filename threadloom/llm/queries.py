@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, filter_audit, license_scan, near_dedup, sharding, source_divergence, suffix_dedup, toxicity, url_filter
+from threadloom.llm import byte_bpe, chat_format, decontaminate, exact_dedup, filter_audit, jaccard_join, license_scan, near_dedup, sharding, source_divergence, suffix_dedup, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -103,3 +103,8 @@ def op13_filter_audit(spark, sf):
 @query
 def op11_source_divergence(spark, sf):
     return source_divergence.audit(table(spark, sf, "documents"))
+
+
+@query
+def op12_jaccard_join(spark, sf):
+    return jaccard_join.components(table(spark, sf, "documents"))
