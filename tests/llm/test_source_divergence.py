@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from threadloom.llm import source_divergence
@@ -71,35 +72,34 @@ def test_many_sources_take_several_tiles(spark):
     assert by["s0", "s551"] == by["s551", "s0"] and by["s0", "s6"] == by["s0", "s12"] == 0 < by["s0", "s1"]
 
 
-def pages_of(postings, run, size, monkeypatch):
-    monkeypatch.setattr(source_divergence, "PAGE", size)
-    pages = source_divergence._Pages(run)
-    for p in postings:
-        pages.add(0, p)
-    return [row for b in pages.batches(True) for row in b.to_pylist()]
-
-
 def test_heap_merge_opens_a_page_of_each_run(monkeypatch):
-    import pyarrow as pa
-    a = [(b"en\0" + bytes([97 + i]), i + 1, [(0, i)]) for i in range(20)]
-    b = [(b"en\0" + bytes([97 + i]), 1, [(0, 5), (3, 1)]) for i in range(0, 20, 3)]
-    rows = sorted(pages_of(a, 1, 4, monkeypatch) + pages_of(b, 2, 2, monkeypatch), key=lambda r: r["first"])
-    opened, real = [], source_divergence._of_page
+    a, b = source_divergence._Block(), source_divergence._Block()
+    for i in range(20):
+        a.add("en", i % 3, bytes([97 + i]) * 2 + b" x")
+        b.add("en", 5, bytes([97 + i % 4]) * 2)
+        b.add("de", 0, b"aa")
+    rows = []
+    for run, (block, size) in enumerate([(a, 4), (b, 2)]):
+        monkeypatch.setattr(source_divergence, "PAGE", size)
+        rows += [row for batch in source_divergence._spilled(block, run, 1) for row in batch.to_pylist()]
+    rows.sort(key=lambda r: (r["lang"], r["first"]))
+    opened, real = [], source_divergence._Page
 
     def counted(batch, i):
-        opened.append(batch.column("first")[i].as_py())
+        opened.append(i)
         return real(batch, i)
 
-    monkeypatch.setattr(source_divergence, "_of_page", counted)
-    merged, seen = [], []
-    for _, key, df, postings in source_divergence._heap_merged(
+    monkeypatch.setattr(source_divergence, "_Page", counted)
+    merged, seen = {}, []
+    for (_, lang), term, df, places, counts in source_divergence._heap_merged(
             iter([pa.RecordBatch.from_pylist(rows[:3], source_divergence._PAGE_SCHEMA),
-                  pa.RecordBatch.from_pylist(rows[3:], source_divergence._PAGE_SCHEMA)]), ["shard"]):
-        merged.append((key, df, dict(postings)))
-        seen.append((key, len(opened)))
-    expected = [(k, df + (i % 3 == 0), {0: i + 5, 3: 1} if i % 3 == 0 else {0: i}) for i, (k, df, _) in enumerate(a)]
-    assert merged == expected
-    assert seen[0][1] < len(rows)  # pages further on were still closed
+                  pa.RecordBatch.from_pylist(rows[3:], source_divergence._PAGE_SCHEMA)]), ["shard", "lang"]):
+        merged[lang, term] = df, dict(zip(places, counts))
+        seen.append(len(opened))
+    expected = {("en", bytes([97 + i]) * 2): (1 + 5 * (i < 4), {i % 3: 1} | ({5: 5} if i < 4 else {})) for i in range(20)}
+    expected["en", b"x"] = (20, {0: 7, 1: 7, 2: 6})
+    assert merged == expected | {("de", b"aa"): (20, {0: 20})}
+    assert seen[0] < len(rows)  # pages further on were still closed
 
 
 def test_probability_beyond_64_bits(spark):

@@ -21,10 +21,12 @@ broadcast where Spark finds it small. A term's postings (at most one for each so
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from heapq import heappop, heappush, heapreplace
+from itertools import accumulate, chain, groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +38,19 @@ from threadloom.llm.work import Workspace, importable, result, tidy
 
 BLOCK_BYTES = 96 << 20  # of memory that a block may take, by estimate, before it is spilled as a run
 ENTRY_BYTES = 220
-PAGE = 512  # terms in a page
+PAGE, PAGES = 512, 64  # terms in a page, pages given out at once
 FAN_IN = 2000  # runs merged at once
 TILE, TILES = 512, 16  # sources to a side of a table of corrections, and tables held at once
 PIECE = 1 << 20  # bytes of a text that are counted at once
 SCALE = 10**9
 
 _KEPT = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_PAGES = "shard int, run bigint, first binary, terms array<binary>, dfs array<bigint>, sizes array<int>, places array<int>, counts array<bigint>"
+_PAGES = ("shard int, lang string, run bigint, first binary, terms array<binary>, dfs array<bigint>, sizes array<bigint>, "
+          "places array<bigint>, counts array<bigint>")
+_NUMBERS = pa.list_(pa.int64())
 _PAGE_SCHEMA = pa.schema([
-    ("shard", pa.int32()), ("run", pa.int64()), ("first", pa.binary()), ("terms", pa.list_(pa.binary())),
-    ("dfs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("places", pa.list_(pa.int32())),
-    ("counts", pa.list_(pa.int64()))])
+    ("shard", pa.int32()), ("lang", pa.string()), ("run", pa.int64()), ("first", pa.binary()), ("terms", pa.list_(pa.binary())),
+    ("dfs", _NUMBERS), ("sizes", _NUMBERS), ("places", _NUMBERS), ("counts", _NUMBERS)])
 _POSTINGS = "lang string, term string, df bigint, places array<int>, counts array<bigint>"
 _POSTING_SCHEMA = pa.schema([("lang", pa.string()), ("term", pa.string()), ("df", pa.int64()),
                              ("places", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
@@ -75,12 +78,12 @@ class _Block:
     """Postings in memory: occurrences by language, place of the source and term, and documents by language and term."""
 
     def __init__(self):
-        self.counts: dict[tuple[bytes, int], Counter] = defaultdict(Counter)
-        self.dfs: dict[bytes, Counter] = defaultdict(Counter)
+        self.counts: dict[str, dict[int, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        self.dfs: dict[str, Counter] = defaultdict(Counter)
         self.docs = 0
 
-    def add(self, lang: bytes, place: int, text: bytes) -> None:
-        counts, seen = self.counts[lang, place], None
+    def add(self, lang: str, place: int, text: bytes) -> None:
+        counts, seen = self.counts[lang][place], None
         for terms in _pieces(text):
             counts.update(terms)
             seen = set(terms) if seen is None else seen.union(terms)
@@ -88,53 +91,41 @@ class _Block:
         self.docs += 1
 
     def size(self) -> int:
-        return ENTRY_BYTES * (sum(map(len, self.counts.values())) + sum(map(len, self.dfs.values())))
-
-    def sorted_postings(self) -> Iterator[tuple[bytes, int, list[tuple[int, int]]]]:
-        """(key, documents, [(place, occurrences)]) by key, which is language, a zero byte, term."""
-        by_lang = defaultdict(list)
-        for (lang, place), counts in sorted(self.counts.items()):
-            by_lang[lang].append((place, counts))
-        for lang in sorted(self.dfs, key=lambda x: x + b"\0"):
-            for term in sorted(self.dfs[lang]):
-                yield (lang + b"\0" + term, self.dfs[lang][term],
-                       [(place, counts[term]) for place, counts in by_lang[lang] if term in counts])
-
-
-class _Pages:
-    """Collects sorted postings of a run into pages, by shard."""
-
-    def __init__(self, run: int):
-        self.run, self.open, self.closed = run, defaultdict(list), []
-
-    def add(self, shard: int, posting) -> None:
-        page = self.open[shard]
-        page.append(posting)
-        if len(page) == PAGE:
-            self._close(shard)
-
-    def _close(self, shard: int) -> None:
-        page = self.open.pop(shard)
-        self.closed.append((
-            shard, self.run, page[0][0], [p[0] for p in page], [p[1] for p in page], [len(p[2]) for p in page],
-            [place for p in page for place, _ in p[2]], [count for p in page for _, count in p[2]]))
-
-    def batches(self, last: bool, at_least: int = 64) -> Iterator[pa.RecordBatch]:
-        if last:
-            for shard in list(self.open):
-                self._close(shard)
-        while len(self.closed) >= at_least or (last and self.closed):
-            rows, self.closed = self.closed[:at_least], self.closed[at_least:]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), _PAGE_SCHEMA.types)], schema=_PAGE_SCHEMA)
+        entries = sum(len(c) for of in self.counts.values() for c in of.values()) + sum(map(len, self.dfs.values()))
+        return ENTRY_BYTES * entries
 
 
 def _spilled(block: _Block, run: int, shards: int) -> Iterator[pa.RecordBatch]:
-    pages = _Pages(run)
-    for posting in block.sorted_postings():
-        pages.add(zlib.crc32(posting[0]) % shards, posting)
-        yield from pages.batches(False)
-    yield from pages.batches(True)
+    """The block as a run: pages of sorted postings, by language and shard."""
+    for lang, dfs in block.dfs.items():
+        terms = sorted(dfs)
+        if not terms:
+            continue
+        shard = np.array([zlib.crc32(t) for t in terms], np.int64) % shards
+        order = np.argsort(shard, kind="stable")  # by shard, then term
+        shard = shard[order]
+        to = dict(zip(terms, np.argsort(order).tolist()))  # places in that order
+        by_place = [(place, c) for place, c in sorted(block.counts[lang].items()) if c]
+        at = np.concatenate([np.fromiter(map(to.__getitem__, c), np.int64, len(c)) for _, c in by_place])
+        counts = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for _, c in by_place])
+        places = np.repeat([place for place, _ in by_place], [len(c) for _, c in by_place])
+        by_term = np.argsort(at, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(terms)))])
+        begins = np.searchsorted(shard, np.unique(shard))
+        starts = np.concatenate([np.arange(a, b, PAGE) for a, b in zip(begins, [*begins[1:], len(terms)])])
+        cuts = np.append(starts, len(terms))
+        found = np.fromiter(map(dfs.__getitem__, terms), np.int64, len(terms))[order]
+        terms = pa.array(terms, pa.binary()).take(pa.array(order))
+
+        def lists(values, offsets: np.ndarray) -> pa.ListArray:
+            return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values) if isinstance(values, np.ndarray) else values)
+
+        pages = pa.RecordBatch.from_arrays(
+            [pa.array(shard[starts].astype(np.int32)), pa.array([lang] * len(starts)), pa.array([run] * len(starts)),
+             terms.take(pa.array(starts)), lists(terms, cuts), lists(found, cuts), lists(np.diff(ends), cuts),
+             lists(places[by_term], ends[cuts]), lists(counts[by_term], ends[cuts])], schema=_PAGE_SCHEMA)
+        for i in range(0, len(starts), PAGES):
+            yield pages.slice(i, PAGES)
 
 
 def _indexed(shards: int, block_bytes: int):
@@ -142,7 +133,7 @@ def _indexed(shards: int, block_bytes: int):
         task, block, blocks = TaskContext.get().partitionId() << 32, _Block(), 0
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
-            for lang, place, text in zip(batch.column("lang").cast(pa.binary()).to_pylist(), batch.column("place").to_pylist(), texts):
+            for lang, place, text in zip(batch.column("lang").to_pylist(), batch.column("place").to_pylist(), texts):
                 text = text.as_py()
                 block.add(lang, place, text)
                 if (block.docs % 64 == 0 or len(text) > PIECE) and block.size() > block_bytes:
@@ -154,33 +145,52 @@ def _indexed(shards: int, block_bytes: int):
 
 # ---- merging --------------------------------------------------------------------------
 
-def _of_page(batch: pa.RecordBatch, i: int) -> Iterator[tuple[bytes, int, list[tuple[int, int]]]]:
-    terms, dfs, sizes, places, counts = (batch.column(c)[i].as_py() for c in ("terms", "dfs", "sizes", "places", "counts"))
-    at = 0
-    for term, df, size in zip(terms, dfs, sizes):
-        yield term, df, list(zip(places[at:at + size], counts[at:at + size]))
-        at += size
+class _Page:
+    """An open page: where the merge is in it, and what is there."""
+
+    __slots__ = ("terms", "dfs", "ends", "places", "counts", "at")
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        terms = batch.column("terms")[i].values
+        ends = np.frombuffer(terms.buffers()[1], np.int32)[terms.offset:terms.offset + len(terms) + 1]
+        data = terms.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes()
+        ends = (ends - ends[0]).tolist()
+        self.terms = [data[a:b] for a, b in zip(ends, ends[1:])]
+        self.dfs, sizes, self.places, self.counts = (
+            np.asarray(batch.column(c)[i].values).tolist() for c in ("dfs", "sizes", "places", "counts"))
+        self.ends, self.at = [*accumulate(sizes, initial=0)], 0
+
+
+def _summed(found: list[tuple[_Page, int]]) -> tuple[list[int], list[int]]:
+    """Places and counts of a term on one or several pages, by place."""
+    sums = Counter()
+    for page, at in found:
+        for i in range(page.ends[at], page.ends[at + 1]):
+            sums[page.places[i]] += page.counts[i]
+    places = sorted(sums)
+    return places, [sums[p] for p in places]
 
 
-def _heap_merged(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, bytes, int, list]]:
-    """(values of `by`, key, df, postings) from pages sorted by `by` and first key. Of each run the page that the merge has
-    reached is open, and no other."""
+def _heap_merged(batches: Iterator[pa.RecordBatch], by: list[str], min_docs: int = 0) -> Iterator[tuple]:
+    """(values of `by`, term, df, places, counts) of terms in enough documents, from pages sorted by `by` and first term. Of
+    each run the page that the merge has reached is open, and no other."""
     heap, now, number = [], None, 0
 
     def until(limit: bytes | None):
         while heap and (limit is None or heap[0][0] < limit):
-            key, df, places = heap[0][0], 0, Counter()
-            while heap and heap[0][0] == key:
-                (_, _, part, postings), rest = heap[0][:4], heap[0][4]
-                df += part
-                for place, count in postings:
-                    places[place] += count
-                following = next(rest, None)
-                if following is None:
-                    heapq.heappop(heap)
+            term, df, found = heap[0][0], 0, []
+            while heap and heap[0][0] == term:
+                _, place, page = heap[0]
+                at = page.at
+                df += page.dfs[at]
+                found.append((page, at))
+                page.at = at = at + 1
+                if at < len(page.terms):
+                    heapreplace(heap, (page.terms[at], place, page))
                 else:
-                    heapq.heapreplace(heap, (following[0], heap[0][1], following[1], following[2], rest))
-            yield now, key, df, sorted(places.items())
+                    heappop(heap)
+            if df >= min_docs:
+                yield now, term, df, *_summed(found)
 
     for batch in batches:
         of = list(zip(*[batch.column(c).to_pylist() for c in by]))
@@ -190,43 +200,28 @@ def _heap_merged(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[t
                 now = of[i]
             else:
                 yield from until(first)
-            page = _of_page(batch, i)
-            term, df, postings = next(page)
-            heapq.heappush(heap, (term, number, df, postings, page))
+            heappush(heap, (first, number, _Page(batch, i)))
             number += 1
     yield from until(None)
 
 
 def _fewer_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pages = None
-    for (shard, into), *posting in _heap_merged(batches, ["shard", "into"]):
-        if pages is None or pages.run != into:
-            if pages:
-                yield from pages.batches(True)
-            pages = _Pages(into)
-        pages.add(shard, posting)
-        yield from pages.batches(False)
-    if pages:
-        yield from pages.batches(True)
+    """Pages of the run `into` from those of its runs."""
+    for of, merged in groupby(_heap_merged(batches, ["shard", "into", "lang"]), key=itemgetter(0)):
+        while page := list(islice(merged, PAGE)):
+            _, terms, dfs, places, counts = zip(*page)
+            yield pa.RecordBatch.from_pylist([{
+                "shard": of[0], "lang": of[2], "run": of[1], "first": terms[0], "terms": terms, "dfs": dfs, "sizes": [*map(len, places)],
+                "places": [*chain(*places)], "counts": [*chain(*counts)]}], _PAGE_SCHEMA)
 
 
 def _frequencies(min_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-
-        def full() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _POSTING_SCHEMA.types)], schema=_POSTING_SCHEMA)
-            rows.clear()
-            return out
-
-        for _, key, df, postings in _heap_merged(batches, ["shard"]):
-            if df >= min_docs:
-                lang, _, term = key.rpartition(b"\0")
-                rows.append((lang.decode(), term.decode(), df, [p for p, _ in postings], [c for _, c in postings]))
-                if len(rows) == 2000:
-                    yield full()
-        if rows:
-            yield full()
+        merged = _heap_merged(batches, ["shard", "lang"], min_docs)
+        while rows := list(islice(merged, 2000)):
+            of, terms, *others = zip(*rows)
+            columns = [[lang for _, lang in of], [t.decode() for t in terms], *others]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _POSTING_SCHEMA.types)], schema=_POSTING_SCHEMA)
     return run
 
 
@@ -239,10 +234,10 @@ def _postings(work: Workspace, docs: DataFrame, groups: DataFrame, min_docs: int
     while count > FAN_IN:
         count = -(-count // FAN_IN)
         into = F.pmod(F.xxhash64("run"), F.lit(count))
-        gathered = runs.withColumn("into", into).repartition("shard", "into").sortWithinPartitions("shard", "into", "first")
+        gathered = runs.withColumn("into", into).repartition("shard", "into").sortWithinPartitions("shard", "into", "lang", "first")
         turn += 1
         runs = work.keep(gathered.mapInArrow(tidy(_fewer_runs), _PAGES), f"runs_{turn}")
-    merged = runs.repartitionById(shards, "shard").sortWithinPartitions("shard", "first")
+    merged = runs.repartitionById(shards, "shard").sortWithinPartitions("shard", "lang", "first")
     return work.keep(merged.mapInArrow(tidy(_frequencies(min_docs)), _POSTINGS), "postings")
 
 
