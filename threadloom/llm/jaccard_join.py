@@ -7,7 +7,8 @@ words the whole sequence is the only one, without words or text it is empty and
 A set of n must share T = ceil(percent * n / 100) shingles with any it links to. Each shingle has an inverted list, and
 short lists are merged while long ones are only probed:
 
-1. Rows with equal sets are one class, searched once.
+1. Rows with equal sets are one class, searched once. Of each class its head is kept, the first AHEAD * (n - T + TAU)
+   shingles by hash; whole sets are made only of classes that need them in steps 2 and 4.
 2. All sets are put in one order of shingles, those with long lists last, otherwise by hash. Which are long is found in
    rounds: a set's first n - T + TAU shingles in that order are listed, and those with more than SHORT entries move
    to the end. Any order gives the same links; so at most FREQUENT of them, the most frequent, are sent to the tasks.
@@ -17,9 +18,10 @@ short lists are merged while long ones are only probed:
    the whole intersection. For every set the candidate with most occurrences goes first; candidates already in
    its component are not looked at again.
 5. Lists that are still long, of large groups of near copies, are not merged. All their sets are probed with one of
-   them, then with one of those still outside the list's largest component, as long as that ties some; whatever is
-   apart then is probed against all of the list, salted. So no link between different sets is lost and none is capped.
-   Many sets that share most shingles without being linked stay quadratic in their number.
+   them, twice, the second time one outside the list's largest component. Lists that have sets in common then are a
+   group, and its sets outside its largest component are counted against all of it, block by block: a block holds about
+   BLOCK sets of like size, and a task two blocks. So no link between different sets is lost and none is capped. Many
+   sets that share most shingles without being linked stay quadratic in their number.
 
 Rows with a null id get a null component. Repeated rows have one component; an id with two texts belongs to both
 components, each row to that of its text. Empty tables give empty results; columns of any other name are not read.
@@ -43,10 +45,11 @@ from threadloom.llm.work import Workspace, importable, result, tidy
 
 TAU = 3
 SHORT, LONG = 32, 128  # entries: above SHORT a shingle is moved to the end, above LONG its list is not merged
-ROUNDS, AHEAD = 12, 4  # rounds of moving shingles, and how many prefixes ahead a round looks
+ROUNDS, AHEAD = 12, 2  # rounds of moving shingles, and how many prefixes ahead a round looks
 FREQUENT = 1_000_000  # shingles known to every task, eight bytes each
 SALT = 16
-HUB_ROUNDS, FEW = 8, 32  # rounds of single sets, unless no more than FEW pairs an entry are left
+BROADCAST_ROWS = 2_000_000  # of three numbers each
+HUB_ROUNDS, BLOCK = 1, 400  # rounds of single sets; sets in a block
 
 
 def required(n, percent: int):
@@ -61,17 +64,33 @@ def prefix_length(n, percent: int):
 
 # ---- sets -----------------------------------------------------------------------------
 
-def _sets(width: int):
+def _sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+    """(first row, sizes, sorted sets) for runs of rows."""
+    for row, data, ends in text_slices(texts):
+        elements, ends = shingle_sets(data, ends, width)
+        yield row, np.diff(ends, prepend=0).astype(np.int64), [elements[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
+def _heads(percent: int, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, n, sets in _sets(batch.column("text"), width):
+                rows = batch.slice(row, len(n))
+                prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                heads = [s[:AHEAD * k].tobytes() for s, k in zip(sets, prefix_length(n, percent))]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(rows.column, ("key", "hash", "row")), pa.array(n), pa.array(prints, pa.binary()), pa.array(heads, pa.binary())],
+                    names=["key", "hash", "row", "n", "print", "head"])
+    return run
+
+
+def _whole(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, ends in text_slices(batch.column("text")):
-                elements, ends = shingle_sets(data, ends, width)
-                sets = [elements[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-                rows = batch.slice(row, len(ends))
+            for row, n, sets in _sets(batch.column("text"), width):
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("key"), rows.column("row"), pa.array(np.diff(ends, prepend=0).astype(np.int64)),
-                     pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary()), pa.array(sets, pa.binary())],
-                    names=["key", "row", "n", "print", "elements"])
+                    [batch.column("id").slice(row, len(n)), pa.array(n), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["id", "n", "elements"])
     return run
 
 
@@ -94,18 +113,49 @@ def _ordered(elements: np.ndarray, late: np.ndarray) -> np.ndarray:
     return np.concatenate([elements[~late], elements[late]])
 
 
+def _listed(ids: np.ndarray, n: np.ndarray, xs: list[np.ndarray], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if xs:
+        k = np.array([*map(len, xs)])
+        at = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        x = np.concatenate(xs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.view(np.int64)), pa.array(np.repeat(ids, k)), pa.array(np.repeat(n, k).astype(np.int32)),
+             pa.array(at.astype(np.int32)), pa.array(_member(x, frequent))], names=["x", "id", "n", "at", "late"])
+
+
+def _prefixes(batch: pa.RecordBatch, percent: int, frequent: np.ndarray) -> Iterator[np.ndarray | None]:
+    """Of each set its first shingles in the order with `frequent` last; None where the part of it that is there does
+    not tell."""
+    n = np.asarray(batch.column("n"))
+    for e, size, k in zip(_arrays(batch.column("elements")), n, prefix_length(n, percent)):
+        late = _member(e, frequent)
+        known = len(e) == size or np.count_nonzero(~late) >= k
+        yield np.concatenate([e[~late], e[late]])[:k] if known else None
+
+
 def _entries(percent: int, frequent: np.ndarray):
-    """x, id, n, at: the first shingles of each set in the order with `frequent` last."""
+    """x, id, n, at, late: those first shingles and whether they are among the last of the order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = np.asarray(batch.column("n"))
-            k = prefix_length(n, percent)
-            xs = [_ordered(e, _member(e, frequent))[:end] for e, end in zip(_arrays(batch.column("elements")), k)]
-            if xs:
+            xs = [*_prefixes(batch, percent, frequent)]
+            told = np.array([x is not None for x in xs], bool)
+            if told.any():
+                x = np.concatenate([x for x in xs if x is not None])
+                k = np.array([len(x) for x in xs if x is not None])
                 at = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(xs).view(np.int64)), pa.array(np.repeat(np.asarray(batch.column("id")), k)),
-                     pa.array(np.repeat(n, k)), pa.array(at)], names=["x", "id", "n", "at"])
+                    [pa.array(x.view(np.int64)), pa.array(np.repeat(np.asarray(batch.column("id"))[told], k)),
+                     pa.array(np.repeat(np.asarray(batch.column("n"))[told], k).astype(np.int32)), pa.array(at.astype(np.int32)),
+                     pa.array(_member(x, frequent))], names=["x", "id", "n", "at", "late"])
+    return run
+
+
+def _untold(percent: int, frequent: np.ndarray):
+    """id: classes whose heads do not tell their first shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            untold = [x is None for x in _prefixes(batch, percent, frequent)]
+            yield batch.select(["id"]).filter(pa.array(untold, pa.bool_()))
     return run
 
 
@@ -115,28 +165,30 @@ def _entering(percent: int, before: np.ndarray, new: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k = prefix_length(np.asarray(batch.column("n")), percent)
             found = []
-            for e, end in zip(_arrays(batch.column("elements")), k):
-                late = _member(e, before)
-                seen = e[~late][:end]
-                if _member(seen, new).any():
-                    kept = e[~_member(e, after)]
-                    found.append(kept[np.count_nonzero(~_member(seen, new)):AHEAD * end])
+            for e, k in zip(_arrays(batch.column("elements")), prefix_length(np.asarray(batch.column("n")), percent)):
+                seen = e[~_member(e, before)][:k]
+                moved = _member(seen, new)
+                if moved.any():
+                    found.append(e[~_member(e, after)][np.count_nonzero(~moved):AHEAD * k])
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["x"])
     return run
 
 
-def _lists(percent: int):
-    """From entries sorted by shingle and id: q, ids: for each entry the later ones of its list that may link to it by
-    their sizes and by the places of the shingle in both. Holds one list between batches."""
+def _lists(percent: int, longest: int):
+    """From entries sorted by shingle and id: q, n, ids: for each entry the later ones of its list that may link to it by
+    their sizes and by the places of the shingle in both. A list of more than `longest` is only named, as q without n. Holds one
+    list between batches, of a longer one its last batch."""
     names = ["x", "id", "n", "at"]
 
     def of(x, id, n, at) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
         lengths = np.diff(np.append(starts, len(x)))
-        for size in np.unique(lengths[lengths > 1]).tolist():
+        named = x[starts[lengths > longest]]
+        yield pa.RecordBatch.from_arrays([pa.array(named), pa.nulls(len(named), pa.int64()), pa.array([[]] * len(named), pa.list_(pa.int64()))],
+                                         names=["q", "n", "ids"])
+        for size in np.unique(lengths[(lengths > 1) & (lengths <= longest)]).tolist():
             rows = starts[lengths == size][:, None]
             i, j = np.triu_indices(size, 1)
             for part in np.array_split(rows, max(1, len(rows) * len(i) >> 18)):
@@ -148,7 +200,7 @@ def _lists(percent: int):
                 if len(a):
                     first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(id[a[first]]), pa.array(n[a[first]]),
+                        [pa.array(id[a[first]]), pa.array(n[a[first]].astype(np.int64)),
                          pa.ListArray.from_arrays(pa.array(np.append(first, len(a)).astype(np.int32)), pa.array(id[b]))],
                         names=["q", "n", "ids"])
 
@@ -158,9 +210,10 @@ def _lists(percent: int):
             columns = [np.concatenate([h, np.asarray(batch.column(c))]) for h, c in zip(held, names)]
             x = columns[0]
             if len(x):
-                last = int(np.searchsorted(x, x[-1]))
-                yield from of(*[c[:last] for c in columns])
-                held = [c[last:] for c in columns]
+                last = int(np.flatnonzero(x != x[-1])[-1]) + 1 if (x != x[-1]).any() else 0
+                if last:
+                    yield from of(*[c[:last] for c in columns])
+                held = [c[last:][:longest + 1] for c in columns]
         yield from of(*held) if len(held[0]) else ()
     return run
 
@@ -232,42 +285,111 @@ def _probed(percent: int):
     return run
 
 
+def _counted(percent: int):
+    """a, b: links between the two sides (0, 1) of each task's blocks, from rows sorted by `task`."""
+    def links(sides: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        if not sides[0] or not sides[1]:
+            return
+        (ids, roots, n), (other_ids, other_roots, other_n) = (
+            (np.array([r[0] for r in side]), np.array([r[1] for r in side]), np.array([len(r[2]) for r in side])) for side in sides)
+        x, y = (np.concatenate([r[2] for r in side]) for side in sides)
+        of_x, of_y = np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(other_n)), other_n)
+        order = np.argsort(y, kind="stable")
+        y, of_y = y[order], of_y[order]
+        begins, ends = np.searchsorted(y, x), np.searchsorted(y, x, "right")
+        met = ends > begins
+        begins, ends, of_x = begins[met], ends[met], of_x[met]
+        upto = np.cumsum(ends - begins)
+        common = np.zeros(len(n) * len(other_n), np.int64)
+        for part in np.split(np.arange(len(upto)), np.searchsorted(upto, np.arange(1 << 21, upto[-1] if len(upto) else 0, 1 << 21))):
+            k = ends[part] - begins[part]
+            at = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k) + np.repeat(begins[part], k)
+            common += np.bincount(np.repeat(of_x[part], k) * len(other_n) + of_y[at], minlength=len(common))
+        common = common.reshape(len(n), len(other_n))
+        linked = ((100 + percent) * common >= percent * (n[:, None] + other_n)) & (roots[:, None] != other_roots)
+        i, j = np.nonzero(linked)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(other_ids[j])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sides = None, [[], []]
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("task", "side", "id", "root")]
+            for task, side, id, root, elements in zip(*columns, batch.column("elements")):
+                if task != now:
+                    yield from links(sides)
+                    now, sides = task, [[], []]
+                sides[side].append((id, root, np.frombuffer(elements.as_py(), np.uint64)))
+        yield from links(sides)
+    return run
+
+
 # ---- the join -------------------------------------------------------------------------
 
+_ENTRIES = "x bigint, id bigint, n int, at int, late boolean"
+_NONE = np.empty(0, np.uint64)
+
+
 class _Join:
     def __init__(self, work: Workspace, docs: DataFrame, key: str, text: str, percent: int, width: int):
-        self.work, self.percent = work, percent
-        docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("row", F.monotonically_increasing_id())
-        kind = docs.schema["key"].dataType.simpleString()
-        sets = work.keep(docs.mapInArrow(tidy(_sets(width)), f"key {kind}, row bigint, n bigint, print binary, elements binary"), "sets")
-        self.rows = sets.select("key", "n", "print")
+        self.work, self.percent, self.width = work, percent, width
+        self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("hash"))
+        kind = self.docs.schema["key"].dataType.simpleString()
+        sets = work.keep(self.docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+            tidy(_heads(percent, width)), f"key {kind}, hash bigint, row bigint, n bigint, print binary, head binary"), "sets")
+        self.rows = work.keep(sets.select("key", "n", "print"), "rows")
         self.classes = work.keep(sets.where("n > 0 AND key IS NOT NULL").groupBy("print").agg(
-            F.min("row").alias("id"), F.min("key").alias("key")), "classes")
-        self.sets = work.keep(sets.join(self.classes.select(F.col("id").alias("row")), "row").select(
-            F.col("row").alias("id"), "n", "elements"), "distinct_sets")
-        self.links, self.turn = None, 0
-
-    def frequent(self) -> np.ndarray:
-        """Shingles that go last in the order, sorted."""
-        found = self.sets.mapInArrow(tidy(_entries(self.percent, np.empty(0, np.uint64))), "x bigint, id bigint, n bigint, at bigint")
-        known = np.empty(0, np.uint64)
+            F.min("row").alias("id"), F.min(F.struct("key", "hash")).alias("first"), F.any_value("n").alias("n"),
+            F.any_value("head").alias("head")).select("print", "id", "first.*", "n", "head"), "classes")
+        work.forget("sets")
+        self.whole, self.links, self.turn = None, None, 0
+
+    def need(self, ids: DataFrame) -> DataFrame:
+        """Makes the whole sets of the classes `ids` (id), unless they are there; those that were not there."""
+        self.turn += 1
+        ids = ids.distinct()
+        if self.whole is not None:
+            ids = ids.join(self.whole.select("id"), "id", "left_anti")
+        wanted = self.work.keep(self.classes.join(ids, "id").select(F.col("key").alias("key_"), F.col("hash").alias("hash_"), "id"),
+                                f"wanted_{self.turn}")
+        same = (F.col("key") == F.col("key_")) & (F.col("hash") == F.col("hash_"))
+        count = wanted.count()
+        # The other texts stay where they are, if the list is small enough for every executor.
+        listed = F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted
+        whole = self.docs.join(listed, same).select("id", "text").mapInArrow(
+            tidy(_whole(self.width)), "id bigint, n bigint, elements binary")
+        whole = self.work.keep(whole, f"whole_{self.turn}")
+        if whole.count() > count:  # repeated rows
+            whole = self.work.keep(whole.dropDuplicates(["id"]), f"whole_{self.turn}_once")
+        self.whole = whole if self.whole is None else self.whole.unionByName(whole)
+        return whole
+
+    def entries(self) -> DataFrame:
+        """x, id, n, at, late: of every class its first shingles in the final order, and whether they are among the last."""
+        heads = self.classes.select("id", "n", F.col("head").alias("elements"))
+        sets, known = heads, _NONE
+        found = heads.mapInArrow(tidy(_entries(self.percent, known)), _ENTRIES).select("x")
         for _ in range(ROUNDS):
             counted = found.groupBy("x").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > SHORT)
             most = counted.orderBy(F.col("c").desc(), "x").limit(FREQUENT - len(known)).select("x").toArrow()
             new = np.sort(np.asarray(most.column("x").combine_chunks()).view(np.uint64))
-            if not len(new):
+            if len(new):
+                found = sets.mapInArrow(tidy(_entering(self.percent, known, new)), "x bigint")
+                known = np.sort(np.concatenate([known, new]))
+            elif sets is heads:  # on with those whose heads are used up
+                sets = self.need(heads.mapInArrow(tidy(_untold(self.percent, known)), "id bigint"))
+                found = sets.mapInArrow(tidy(_entries(self.percent, known)), _ENTRIES).where("NOT late").select("x")
+            else:
                 break
-            found = self.sets.mapInArrow(tidy(_entering(self.percent, known, new)), "x bigint")
-            known = np.sort(np.concatenate([known, new]))
-        return known
+        self.need(heads.mapInArrow(tidy(_untold(self.percent, known)), "id bigint"))
+        return self.work.keep(heads.unionByName(self.whole).mapInArrow(tidy(_entries(self.percent, known)), _ENTRIES), "entries")
 
     def probe(self, pairs: DataFrame) -> int:
         """Adds the links among the pairs (a, b) that are not tied yet; how many there are."""
         self.turn += 1
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = self.work.keep(pairs, f"pairs_{self.turn}")
-        with_a = pairs.join(self.sets.select(F.col("id").alias("a"), F.col("elements").alias("ea")), "a")
-        with_both = with_a.join(self.sets.select(F.col("id").alias("b"), F.col("elements").alias("eb")), "b")
+        sets = self.whole.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").select("id", "elements")
+        with_both = pairs.join(sets.toDF("a", "ea"), "a").join(sets.toDF("b", "eb"), "b")
         found = self.work.keep(with_both.select("a", "b", "ea", "eb").mapInArrow(tidy(_probed(self.percent)), "a bigint, b bigint"),
                                f"links_{self.turn}")
         self.links = found if self.links is None else self.links.unionByName(found)
@@ -287,34 +409,69 @@ class _Join:
             pairs = pairs.join(roots.select(F.col("id").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
         return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
-    def short_lists(self, entries: DataFrame) -> None:
-        lists = entries.repartition("x").sortWithinPartitions("x", "id").mapInArrow(
-            tidy(_lists(self.percent)), "q bigint, n bigint, ids array<bigint>")
-        found = self.work.keep(lists.repartition("q").sortWithinPartitions("q").mapInArrow(
+    def short_lists(self, entries: DataFrame) -> DataFrame:
+        """Links of all lists but the long ones; which those are (x)."""
+        long = entries.where("late").groupBy("x").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > LONG).select("x")
+        long = self.work.keep(long, "long_late")
+        short = entries.join(long, "x", "left_anti").select("x", "id", "n", "at")
+        lists = self.work.keep(short.repartition("x").sortWithinPartitions("x", "id").mapInArrow(
+            tidy(_lists(self.percent, LONG)), "q bigint, n bigint, ids array<bigint>"), "lists")
+        found = self.work.keep(lists.where("n IS NOT NULL").repartition("q").sortWithinPartitions("q").mapInArrow(
             tidy(_candidates(self.percent)), "a bigint, b bigint, n bigint"), "candidates")
+        self.need(found.select(F.explode(F.array("a", "b")).alias("id")))
         self.probe(found.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")))
         self.probe(self.apart(found))
+        long = self.work.keep(long.unionByName(lists.where("n IS NULL").select(F.col("q").alias("x"))), "long_all")
+        self.work.forget("lists", "candidates")
+        return long
 
     def long_lists(self, entries: DataFrame) -> None:
         """entries: x, id, n, at of the lists that are not merged."""
         entries = self.work.keep(entries, "long")
-        total, tied = entries.count(), True
-        for turn in range(HUB_ROUNDS + 1 if total else 0):
+        self.work.forget("entries")
+        if entries.isEmpty():
+            return
+        self.need(entries.select("id"))
+        for turn in range(HUB_ROUNDS + 1):
             rooted = self.rooted(entries)
             by_root = rooted.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c"))
             lists = self.work.keep(by_root.groupBy("x").agg(
                 F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("root", F.struct("c", "root")).alias("largest")
             ).where("most < size"), f"lists_{self.turn}")
-            left = lists.agg(F.sum(F.col("size") * (F.col("size") - F.col("most")))).first()[0]
-            if not left:
-                return
-            outside = rooted.join(lists, "x").where("root <> largest").select(
-                "x", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
-            if left <= FEW * total or turn == HUB_ROUNDS or not tied:
-                self.probe(self.close(rooted, outside))
+            if lists.isEmpty():
                 return
-            one = F.min_by(F.struct("b", "nb", "at_b", "root_b"), F.xxhash64("b", F.lit(turn)))
-            tied = self.probe(self.close(rooted, outside.groupBy("x").agg(one.alias("hub")).select("x", "hub.*"))) > 0
+            if turn < HUB_ROUNDS:
+                outside = rooted.join(lists, "x").where("root <> largest").select(
+                    "x", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
+                one = F.min_by(F.struct("b", "nb", "at_b", "root_b"), F.xxhash64("b", F.lit(turn)))
+                self.probe(self.close(rooted, outside.groupBy("x").agg(one.alias("hub")).select("x", "hub.*")))
+        self.blocks(rooted.join(lists.select("x"), "x"))
+
+    def blocks(self, entries: DataFrame) -> None:
+        """Links among the sets of lists that are in different components, counted block by block."""
+        first = F.min("id").alias("b")
+        edges = entries.join(entries.groupBy("x").agg(first), "x").select(F.col("id").alias("a"), "b")
+        groups = self.work.keep(connected(self.work, edges, "grouped"), "groups").toDF("id", "group")
+        # Sets that link are of one size level or of neighbouring ones.
+        level = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / self.percent)) + F.lit(1e-9)).cast("int")
+        sets = self.work.keep(entries.select("id", "root", "n").distinct().join(groups, "id").withColumn("level", level), "grouped_sets")
+        largest = sets.groupBy("group", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("group").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
+        sizes = sets.groupBy("group", "level").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+        sets = sets.join(largest, "group").join(sizes, ["group", "level"]).select(
+            "group", "level", "id", "root", (F.col("root") != F.col("largest")).alias("outside"), F.pmod(F.hash("id"), F.col("blocks")).alias("block"))
+        sets = self.work.keep(sets, "blocked_sets")
+        places = sets.groupBy("group", "level", "block").agg(F.max("outside").alias("outside"))
+        near = places.select("group", F.explode(F.array(*[F.col("level") + i for i in (-1, 0, 1)])).alias("level"),
+                             F.col("level").alias("level_b"), F.col("block").alias("block_b"))
+        met = places.where("outside").join(near, ["group", "level"])
+        met = self.work.keep(met.withColumn("task", F.monotonically_increasing_id()).drop("outside"), "block_pairs")
+        asks = sets.where("outside").join(met, ["group", "level", "block"]).select("task", F.lit(0).alias("side"), "id", "root")
+        all_sets = sets.join(met.select("group", F.col("level_b").alias("level"), F.col("block_b").alias("block"), "task"),
+                             ["group", "level", "block"]).select("task", F.lit(1).alias("side"), "id", "root")
+        rows = asks.unionByName(all_sets).join(self.whole.select("id", "elements"), "id")
+        found = rows.select("task", "side", "id", "root", "elements").repartition("task").sortWithinPartitions("task").mapInArrow(
+            tidy(_counted(self.percent)), "a bigint, b bigint")
+        self.links = self.links.unionByName(self.work.keep(found, "links_blocks"))
 
     def rooted(self, entries: DataFrame) -> DataFrame:
         rooted = entries.join(self.roots(), "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -339,10 +496,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     importable(spark)
     with Workspace(spark) as work:
         join = _Join(work, docs, key, text, percent, width)
-        entries = work.keep(join.sets.mapInArrow(tidy(_entries(percent, join.frequent())), "x bigint, id bigint, n bigint, at bigint"), "entries")
-        lists = work.keep(entries.groupBy("x").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > LONG).select("x"), "long_lists")
-        join.short_lists(entries.join(lists, "x", "left_anti"))
-        join.long_lists(entries.join(lists, "x"))
+        entries = join.entries()
+        join.long_lists(entries.join(join.short_lists(entries), "x"))
         return result(spark, _named(join).select(
             F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")))
 
