@@ -352,4 +352,18 @@ ORACLE = {
     "run_posts": f"WITH {_BAD} {_RUN.format('error_reason IS NOT NULL', 'judged')}",
     "run_users": _RUN.format("c_custkey % 10 = 7", "customer"),
     "run_comments": _RUN.format("(conv_id * 1000 + turn) % 10 = 2", "conversations"),
+    "xml_multiline": f"WITH {POSTS_SQL} SELECT * FROM v_posts",
+    "run_posts_twice": f"WITH {_BAD} {_RUN.format('error_reason IS NOT NULL', 'judged')}",
+    "run_users_twice": _RUN.format("c_custkey % 10 = 7", "customer"),
+    "replay_rejects": f"""WITH {BAD_POSTS_SQL},
+        fixed AS (SELECT * REPLACE (replace("Id", 'x', '') AS "Id", CASE "Score" WHEN 'abc' THEN '-1' ELSE "Score" END AS "Score")
+                  FROM v_bad_posts)
+        SELECT "Id", "Score", {_REASON} AS error_reason FROM fixed""",
+    "upsert_vacuum": f"""WITH {_FEATURES} SELECT id, posttypeid,
+        CAST(CASE WHEN posttypeid = 1 THEN score + 1000 ELSE score END AS INTEGER) AS score, viewcount,
+        CASE WHEN posttypeid = 1 THEN 'edited' ELSE body END AS body, word_count, true AS cleaned FROM features""",
+    "create_if_absent": f"WITH {_FEATURES} SELECT id, posttypeid, score FROM features",
+    "split_changes": f"""WITH {_FEATURES} SELECT id, posttypeid,
+        CAST(CASE WHEN posttypeid = 1 THEN score + 1000 ELSE score END AS INTEGER) AS score, category
+        FROM features WHERE posttypeid IN (1, 2)""",
 }

@@ -16,9 +16,10 @@ from threadloom.plans import posts as pp
 from threadloom.plans import users as pu
 from threadloom.schemas import COMMENTS, CORRUPT, POSTS, POSTS_FEATURES, USERS
 from threadloom.session import work_folder
+from threadloom.sinks import dead_letters, versions
 from threadloom.sinks import tables as sinks
 from threadloom.sources import dump
-from threadloom.sources.tables import read_features
+from threadloom.sources.tables import read_comments, read_features, read_users
 from threadloom.streaming import ingest
 
 PLACES = places.place_table(shapes.CITIES)
@@ -87,6 +88,14 @@ def xml_roundtrip(spark, sf):
     return dump.scan_dump(spark, path, POSTS).drop(CORRUPT)
 
 
+@query
+def xml_multiline(spark, sf):
+    """Every attribute on a line of its own, by the reader that splits such files too."""
+    path = work_folder(spark, "multiline")
+    dump.to_dump_lines(shapes.posts(spark, sf), separator="\n    ").write.text(path)
+    return dump.scan_dump_elements(spark, path, POSTS).drop(CORRUPT)
+
+
 @query
 def attr_projection_defaults(spark, sf):
     rows = dump.scan_dump(spark, written_dump(spark, shapes.users(spark, sf), "users"), USERS)
@@ -113,9 +122,8 @@ def rejected_rows(spark, sf):
 def dead_letter_summary(spark, sf):
     path = work_folder(spark, "rejects")
     rejects = pp.posts_rejected(raw(shapes.bad_posts(spark, sf)))
-    sinks.append_rejects(rejects, path)
-    back = spark.read.schema(rejects.schema).json(path)
-    summary = validate.error_summary(back)
+    dead_letters.publish_rejects(spark, path, "one", dead_letters.write_rejects(spark, rejects, POSTS, path))
+    summary = validate.error_summary(dead_letters.read_rejects(spark, path, POSTS))
     ids = F.array_join(F.transform("examples", lambda e: F.get_json_object(e, "$.Id")), ",")
     return summary.select("error_reason", "rows", F.size("examples").alias("shown"), ids.alias("example_ids"))
 
@@ -337,8 +345,18 @@ def split_tables(spark, sf):
     sinks.upsert(spark, pp.posts_features(raw_posts(spark, sf)), target, order=["lastactivitydate"])
     first, last = split.MIN_ID, split.last_id()
     split.run_split(read_features(spark, target, first, last), questions, answers, first, last)
-    return spark.read.parquet(questions).unionByName(spark.read.parquet(answers)).select(
-        "id", "posttypeid", "tags", "tagcount", "word_count", "category", "confidence")
+    both = [sinks.read_appended(spark, t, split.SPLIT_SCHEMA) for t in (questions, answers)]
+    return both[0].unionByName(both[1]).select("id", "posttypeid", "tags", "tagcount", "word_count", "category", "confidence")
+
+
+@query
+def split_changes(spark, sf):
+    """Split from an upserted table, then brought up to date after every question was written again."""
+    target, questions, answers = (work_folder(spark, n) for n in ("features", "questions", "answers"))
+    _upsert_twice(spark, sf, target, lambda: split.split_changes(spark, target, questions, answers))
+    split.split_changes(spark, target, questions, answers)
+    both = [sinks.read_table(spark, t, split.SPLIT_SCHEMA) for t in (questions, answers)]
+    return both[0].unionByName(both[1]).select("id", "posttypeid", "score", "category")
 
 
 @query
@@ -368,17 +386,42 @@ def upsert_latest(spark, sf):
         "user_id", "event_id", "event_type", "value")
 
 
-@query
-def upsert_posts(spark, sf):
-    """All posts inserted, then every question written again with other values: replaced, not added."""
-    target = work_folder(spark, "upsert-posts")
+def _upsert_twice(spark, sf, target: str, between=lambda: None) -> None:
     sinks.upsert(spark, pp.posts_features(raw_posts(spark, sf)), target, order=["lastactivitydate"], step=1000)
+    between()
     again = split.of_type(read_features(spark, target), split.QUESTION).withColumns(
         {"score": F.col("score") + 1000, "body": F.lit("edited")}).select(*POSTS_FEATURES.names)
     sinks.upsert(spark, again, target, order=["lastactivitydate"], step=1000)
+
+
+@query
+def upsert_posts(spark, sf):
+    """All posts inserted, then every question written again with other values: replaced, not added."""
+    target = work_folder(spark, "upsert-posts")
+    _upsert_twice(spark, sf, target)
     return read_features(spark, target).select("id", "posttypeid", "score", "viewcount", "body", "word_count")
 
 
+@query
+def upsert_vacuum(spark, sf):
+    """The same table after the folders that only its first version names are removed."""
+    target = work_folder(spark, "vacuum")
+    _upsert_twice(spark, sf, target)
+    removed = versions.vacuum(spark, target, keep=1, min_age=0)
+    return read_features(spark, target).select(
+        "id", "posttypeid", "score", "viewcount", "body", "word_count", F.lit(len(removed) > 0).alias("cleaned"))
+
+
+@query
+def create_if_absent(spark, sf):
+    """A table created empty, loaded, and created again: its rows stay."""
+    target = work_folder(spark, "created")
+    sinks.ensure_table(spark, target, POSTS_FEATURES)
+    pp.run_posts(spark, written_dump(spark, shapes.posts(spark, sf), "created-dump"), target)
+    sinks.ensure_table(spark, target, POSTS_FEATURES)
+    return read_features(spark, target).select("id", "posttypeid", "score")
+
+
 # ---- streaming --------------------------------------------------------------------------
 
 @query
@@ -402,10 +445,10 @@ def stream_rejects(spark, sf):
 
 # ---- whole runs -------------------------------------------------------------------------
 
-def _counters(spark, counters: dict, stored: DataFrame, rejects: str) -> DataFrame:
+def _counters(spark, counters: dict, stored: DataFrame, rejects: DataFrame) -> DataFrame:
     """The run's counters and what is in the tables it left."""
     seen = stored.agg(F.count(F.lit(1)).alias("in_table")).crossJoin(  # one row each
-        spark.read.schema("error_reason string").json(rejects).agg(F.count("error_reason").alias("in_rejects")))
+        rejects.agg(F.count("error_reason").alias("in_rejects")))
     return seen.select(*[F.lit(counters[n]).cast("bigint").alias(n) for n in ("processed", "stored", "rejected")], "*")
 
 
@@ -413,7 +456,30 @@ def _counters(spark, counters: dict, stored: DataFrame, rejects: str) -> DataFra
 def run_posts(spark, sf):
     src, target = written_dump(spark, shapes.bad_posts(spark, sf), "run-posts"), work_folder(spark, "posts")
     counters = pp.run_posts(spark, src, target)
-    return _counters(spark, counters, read_features(spark, target), f"{target}-rejected")
+    return _counters(spark, counters, read_features(spark, target), dead_letters.read_rejects(spark, f"{target}-rejected", POSTS))
+
+
+@query
+def run_posts_twice(spark, sf):
+    """The same dump loaded again: neither rows nor rejects are doubled."""
+    src, target = written_dump(spark, shapes.bad_posts(spark, sf), "run-twice"), work_folder(spark, "posts")
+    counters = [pp.run_posts(spark, src, target) for _ in range(2)][1]
+    rejects = sinks.read_appended(spark, f"{target}-rejected", dead_letters.reject_schema(POSTS), "json")
+    return _counters(spark, counters, read_features(spark, target), rejects)
+
+
+@query
+def replay_rejects(spark, sf):
+    """Rejects corrected as far as Id and Score go and loaded again: what is stored then, and what still waits."""
+    src, target = written_dump(spark, shapes.bad_posts(spark, sf), "run-replay"), work_folder(spark, "posts")
+    pp.run_posts(spark, src, target)
+    corrected = dead_letters.read_rejects(spark, f"{target}-rejected", POSTS).withColumns({
+        "Id": F.regexp_replace("Id", "^x", ""), "Score": F.when(F.col("Score") == "abc", "-1").otherwise(F.col("Score"))})
+    pp.replay_posts(spark, corrected, target)
+    waiting = dead_letters.read_rejects(spark, f"{target}-rejected", POSTS)
+    stored = read_features(spark, target).select(F.col("id").cast("string").alias("Id"), F.col("score").cast("string").alias("Score"),
+                                                 F.lit(None).cast("string").alias("error_reason"))
+    return stored.unionByName(waiting.select("Id", "Score", "error_reason"))
 
 
 @query
@@ -421,7 +487,17 @@ def run_users(spark, sf):
     rows = shapes.users(spark, sf).withColumn("Reputation", F.when(F.col("Id").endswith("7"), "many").otherwise(F.col("Reputation")))
     src, target = written_dump(spark, rows, "run-users"), work_folder(spark, "users")
     counters = pu.run_users(spark, src, target, places=PLACES)
-    return _counters(spark, counters, spark.read.parquet(target), f"{target}-rejected")
+    return _counters(spark, counters, read_users(spark, target), dead_letters.read_rejects(spark, f"{target}-rejected", USERS))
+
+
+@query
+def run_users_twice(spark, sf):
+    """Appended once, however often the dump is loaded."""
+    rows = shapes.users(spark, sf).withColumn("Reputation", F.when(F.col("Id").endswith("7"), "many").otherwise(F.col("Reputation")))
+    src, target = written_dump(spark, rows, "run-users-twice"), work_folder(spark, "users")
+    counters = [pu.run_users(spark, src, target, places=PLACES) for _ in range(2)][1]
+    rejects = sinks.read_appended(spark, f"{target}-rejected", dead_letters.reject_schema(USERS), "json")
+    return _counters(spark, counters, read_users(spark, target), rejects)
 
 
 @query
@@ -429,7 +505,7 @@ def run_comments(spark, sf):
     rows = shapes.comments(spark, sf).withColumn("Score", F.when(F.col("Id").endswith("2"), "high").otherwise(F.col("Score")))
     src, target = written_dump(spark, rows, "run-comments"), work_folder(spark, "comments")
     counters = pc.run_comments(spark, src, target)
-    return _counters(spark, counters, spark.read.parquet(target), f"{target}-rejected")
+    return _counters(spark, counters, read_comments(spark, target), dead_letters.read_rejects(spark, f"{target}-rejected", COMMENTS))
 
 
 @query

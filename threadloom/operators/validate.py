@@ -6,7 +6,7 @@ import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.schemas import CORRUPT
@@ -52,13 +52,14 @@ def run_counters(raw: DataFrame, reason: Column) -> DataFrame:
 def staged(spark: SparkSession, raw: DataFrame, reason: Column) -> Iterator[tuple[DataFrame, DataFrame, dict]]:
     """Raw rows read and parsed once: those to store, those rejected (with their reason), and the counters.
 
-    The rows are written to the work folder with their reason, so that whatever is made of them later reads them there.
+    The rows are written to the work folder with their reason, so that whatever is made of them later reads them there;
+    they are counted as they are written.
     """
     began, folder = time.monotonic(), work_folder(spark, "raw-rows")
     try:
-        raw.withColumn(REASON, reason).write.parquet(folder)
-        rows = spark.read.parquet(folder)
-        counts = rows.agg(*[f(F.col(REASON)).alias(n) for n, f in _COUNTERS.items()]).first().asDict()
+        marked, seen = raw.withColumn(REASON, reason), Observation()
+        marked.observe(seen, *[f(F.col(REASON)).alias(n) for n, f in _COUNTERS.items()]).write.parquet(folder)
+        counts, rows = dict(seen.get), spark.read.schema(marked.schema).parquet(folder)
         yield rows.where(F.col(REASON).isNull()).drop(REASON), rows.where(F.col(REASON).isNotNull()), counts
         counts["seconds"] = round(time.monotonic() - began, 3)
     finally:

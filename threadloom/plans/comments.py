@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.operators.classify import comment_class
-from threadloom.operators.validate import reject_reason, rejected, staged, typed
+from threadloom.operators.validate import reject_reason, rejected, typed
+from threadloom.plans.load import replay, run_dump
 from threadloom.schemas import COMMENTS, COMMENTS_PROCESSED
-from threadloom.sinks.tables import append, append_rejects
-from threadloom.sources.dump import READERS
 
 
 def comment_reject_reason() -> Column:
@@ -30,11 +29,20 @@ def comments_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, comment_reject_reason())
 
 
-def run_comments(spark: SparkSession, src, dst: str, rejects: str | None = None, reader: str = "text", **options) -> dict:
-    """Dump to processed table, appended, read and parsed once; rejected rows as JSON in
-    ``rejects``, by default beside the table. ``reader``: "text" for a row per line, "xml" for other layouts.
-    Returns the run counters with the elapsed seconds."""
-    with staged(spark, READERS[reader](spark, src, COMMENTS), comment_reject_reason()) as (good, bad, counters):
-        append(comments_processed(good, **options), dst)
-        append_rejects(bad, rejects or f"{dst}-rejected")
-    return counters
+def run_comments(spark: SparkSession, src, dst: str, rejects: str | None = None, reader: str = "text", run: str | None = None,
+                 **options) -> dict:
+    """Dump to processed table, appended, read and parsed once; rejected rows as JSON in ``rejects``, by default beside
+    the table. ``reader``: "text" for a row per line, "xml" for other layouts. Both are published when all is written;
+    a dump that was loaded already adds nothing, unless it is named as another ``run``. Returns the run counters
+    with the elapsed seconds."""
+    return run_dump(spark, src, reader, run, COMMENTS, **_plan(dst, rejects, options))
+
+
+def replay_comments(spark: SparkSession, corrected: DataFrame, dst: str, rejects: str | None = None, run: str | None = None, **options) -> dict:
+    """Corrected rejects (see ``read_rejects``) to the same tables; their old entries are resolved."""
+    return replay(spark, corrected, COMMENTS, run=run, **_plan(dst, rejects, options))
+
+
+def _plan(dst: str, rejects: str | None, options: dict) -> dict:
+    return {"reason": comment_reject_reason(), "transform": lambda good: comments_processed(good, **options), "schema": COMMENTS_PROCESSED,
+            "dst": dst, "rejects": rejects or f"{dst}-rejected"}

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from threadloom.functions import tags as tg
 from threadloom.functions import text as tx
 from threadloom.operators import classify
-from threadloom.operators.validate import reject_reason, rejected, staged, typed
+from threadloom.operators.validate import reject_reason, rejected, typed
+from threadloom.plans.load import replay, run_dump
 from threadloom.schemas import MAX_LENGTHS, POSTS, POSTS_FEATURES, STORED_TEXT_LENGTH
-from threadloom.sinks.tables import append_rejects, upsert
-from threadloom.sources.dump import READERS
 
 _IDS_AND_DATES = [
     "Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "CreationDate", "Score", "ViewCount", "OwnerUserId",
@@ -115,11 +114,20 @@ def posts_rejected(raw: DataFrame) -> DataFrame:
     return rejected(raw, post_reject_reason())
 
 
-def run_posts(spark: SparkSession, src, dst: str, rejects: str | None = None, reader: str = "text", **options) -> dict:
-    """Dump to feature table by upsert, read and parsed once; rejected rows as JSON in
-    ``rejects``, by default beside the table. ``reader``: "text" for a row per line, "xml" for other layouts.
-    Returns the run counters with the elapsed seconds."""
-    with staged(spark, READERS[reader](spark, src, POSTS), post_reject_reason()) as (good, bad, counters):
-        upsert(spark, posts_features(good, **options), dst, order=["lastactivitydate"])
-        append_rejects(bad, rejects or f"{dst}-rejected")
-    return counters
+def run_posts(spark: SparkSession, src, dst: str, rejects: str | None = None, reader: str = "text", run: str | None = None,
+              **options) -> dict:
+    """Dump to feature table by upsert, read and parsed once; rejected rows as JSON in ``rejects``, by default beside
+    the table. ``reader``: "text" for a row per line, "xml" for other layouts. The rejects of a dump that was loaded
+    already are not added again, unless it is named as another ``run``. Returns the run counters with the elapsed
+    seconds."""
+    return run_dump(spark, src, reader, run, POSTS, **_plan(dst, rejects, options))
+
+
+def replay_posts(spark: SparkSession, corrected: DataFrame, dst: str, rejects: str | None = None, run: str | None = None, **options) -> dict:
+    """Corrected rejects (see ``read_rejects``) to the same tables; their old entries are resolved."""
+    return replay(spark, corrected, POSTS, run=run, **_plan(dst, rejects, options))
+
+
+def _plan(dst: str, rejects: str | None, options: dict) -> dict:
+    return {"reason": post_reject_reason(), "transform": lambda good: posts_features(good, **options), "schema": POSTS_FEATURES,
+            "dst": dst, "rejects": rejects or f"{dst}-rejected", "order": ["lastactivitydate"]}

@@ -47,23 +47,56 @@ def scan_dump(spark: SparkSession, path, columns: dict[str, str]) -> DataFrame:
     return parse_rows(spark.read.text(path), columns)
 
 
-def scan_dump_xml(spark: SparkSession, path, columns: dict[str, str]) -> DataFrame:
-    """Reader for layouts where an element spans lines; such a file is not split."""
-    return (spark.read.format("xml").option("rowTag", "row").options(**_XML_OPTIONS)
-            .schema(raw_schema(columns)).load(path))
+# A start tag without its first characters: names and quoted values up to the first end of a tag outside of quotes.
+_TAG = r"""^[^"'<>]*+(?:(?:"[^"]*+"|'[^']*+')[^"'<>]*+)*+>"""
 
 
-READERS = {"text": scan_dump, "xml": scan_dump_xml}
+def parse_elements(parts: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Rows of a DataFrame of what lies between one row element's beginning and the next (column ``value``).
 
+    ``<`` cannot occur inside an attribute value, so a part holds one element, however many lines it takes and whether
+    or not it has an end tag; what follows its start tag is not read. The part before the first element and other
+    elements whose names begin alike are skipped. An element that does not end keeps its text in
+    ``_corrupt_record`` and has no other column.
+    """
+    value = F.col("value")
+    element = value.rlike(r"^[\s/>]") & ~value.rlike(r"^\s*(<|$)")
+    tag = F.regexp_extract(value, _TAG, 0)
+    whole = F.when(tag == "", F.concat(F.lit(_ROW), value)).otherwise(
+        F.concat(F.lit(_ROW), F.regexp_replace(tag, r"/?>$", ""), F.lit("/>")))
+    return (parts.where(element).select(whole.alias("value"))
+            .select(F.inline(F.array(F.from_xml(value, raw_schema(columns), _XML_OPTIONS)))))
+
+
+def scan_dump_elements(spark: SparkSession, path, columns: dict[str, str]) -> DataFrame:
+    """Read a dump of any layout: an element may span lines, and a line may hold several. The beginning of an element
+    is the delimiter of the text reader, so that one huge file is split over many tasks here as well.
+    """
+    return parse_elements(spark.read.option("lineSep", _ROW).text(path), columns)
 
-def stream_dump(spark: SparkSession, path: str, columns: dict[str, str], max_files: int | None = None) -> DataFrame:
-    """Stream of the rows of dump files as they arrive in a folder."""
+
+READERS = {"text": scan_dump, "xml": scan_dump_elements}
+
+
+def stream_dump(spark: SparkSession, path: str, columns: dict[str, str], max_files: int | None = None,
+                layout: str = "text") -> DataFrame:
+    """Stream of the rows of dump files as they arrive in a folder; ``layout`` as in READERS."""
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if layout == "xml":
+        return parse_elements(reader.option("lineSep", _ROW).load(path), columns)
     return parse_rows(reader.load(path), columns)
 
 
+def dump_id(spark: SparkSession, path) -> str:
+    """Name of a dump by its files: their paths, lengths and times. The same files give the same name."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    one = F.xxhash64("path", "length", F.col("modificationTime").cast("bigint"))
+    count, total = files.agg(F.count(F.lit(1)), F.sum(one.cast("decimal(20,0)"))).first()
+    return f"{count}-{total or 0}"
+
+
 def preview(spark: SparkSession, path, n: int = 40) -> DataFrame:
     """First n lines of a dump, stripped; parts of a dump are taken in name order.
 
@@ -89,10 +122,11 @@ def line_count(spark: SparkSession, path, n: int = 40) -> DataFrame:
         count.alias("lines"), F.least(count, F.lit(n + 1).cast("bigint")).alias("lines_seen"))
 
 
-def to_dump_lines(df: DataFrame) -> DataFrame:
-    """One ``<row .../>`` line per row of a DataFrame of strings; NULL attributes are left out."""
+def to_dump_lines(df: DataFrame, separator: str = " ") -> DataFrame:
+    """One ``<row .../>`` line per row of a DataFrame of strings; NULL attributes are left out. A ``separator`` of other
+    blanks puts the attributes on lines of their own."""
     attributes = [
-        F.when(F.col(c).isNotNull(), F.concat(F.lit(f' {c}="'), _escape(F.col(c)), F.lit('"'))).otherwise(F.lit(""))
+        F.when(F.col(c).isNotNull(), F.concat(F.lit(f'{separator}{c}="'), _escape(F.col(c)), F.lit('"'))).otherwise(F.lit(""))
         for c in df.columns]
     return df.select(F.concat(F.lit("<row"), *attributes, F.lit(" />")).alias("value"))
 
