@@ -1,9 +1,9 @@
 """Conversations as one text each, with a loss mask, with column expressions only.
 
-A turn has a list of typed parts. A visitor flattens them in their order: a text part becomes its escaped
-text, any other part a placeholder `<|image|>`, `<|audio|>` or `<|document|>`, and its reference and expanded
+A turn has a list of typed parts. A visitor flattens them in their order: text parts that follow each other become
+one escaped text, any other part a placeholder `<|image|>`, `<|audio|>` or `<|document|>`, and its reference and expanded
 token count go to the list of attachments, in the order of the placeholders. A part of another kind becomes
-nothing.
+nothing, and the texts around it follow each other.
 
     <|im_start|>role
     content<|im_end|>
@@ -14,7 +14,7 @@ the text back. In roles, backslashes and line feeds are escaped as well, because
 
 Turns are put in the order of turn, role and content, null first. Null roles, texts and lists of parts count
 as empty; turns with a null conversation id form one conversation. Equal rows stay as turns of their own. An
-empty table gives an empty result. Sizes that are null or not positive count as one unit.
+empty table gives an empty result; columns of other names are not read, whatever they are called. Sizes that are null or not positive count as one unit.
 
 The mask is a list of byte ranges of the formatted text (UTF-8), so that cutting one out takes no scan.
 """
@@ -26,7 +26,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.functions.binding import let
+
 START, END = "<|im_start|>", "<|im_end|>\n"
+MEDIA = ("image", "audio", "document")
 PART = ("struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>")
 
 
@@ -63,12 +66,17 @@ def text_parts(text: Column) -> Column:
                             *[F.expr(e) for e in empty.split(", ")]))
 
 
-def _visit(part: Column) -> Column:
-    kind = part["kind"]
-    out = F.when(kind == "text", escape(F.coalesce(part["text"], F.lit(""))))
-    for medium in ("image", "audio", "document"):
-        out = out.when(kind == medium, F.lit(f"<|{medium}|>"))
-    return out.otherwise(F.lit(""))
+def _visited(parts: Column) -> Column:
+    """Text of a turn. Texts side by side are escaped as one, as a control string may begin in one and end in the next."""
+    def visit(seen: Column, part: Column) -> Column:
+        medium = part["kind"].isin(*MEDIA)
+        said = F.when(part["kind"] == "text", F.coalesce(part["text"], F.lit(""))).otherwise(F.lit(""))
+        closed = F.concat(seen["closed"], escape(seen["open"]), F.lit("<|"), part["kind"], F.lit("|>"))
+        return F.struct(F.when(medium, closed).otherwise(seen["closed"]).alias("closed"),
+                        F.when(medium, F.lit("")).otherwise(F.concat(seen["open"], said)).alias("open"))
+
+    start = F.struct(F.lit("").alias("closed"), F.lit("").alias("open"))
+    return F.aggregate(parts, start, visit, lambda seen: F.concat(seen["closed"], escape(seen["open"])))
 
 
 def _tokens(part: Column, expansion: Expansion) -> Column:
@@ -87,11 +95,11 @@ def format_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     """One row per conversation: its id, formatted, loss_spans (start and length in bytes), attachments,
     expanded_tokens (of all attachments)."""
     media = F.filter(F.coalesce(F.col("parts"), F.expr(f"CAST(array() AS array<{PART}>)")),
-                     lambda p: p["kind"].isin("image", "audio", "document"))
+                     lambda p: p["kind"].isin(*MEDIA))
     rows = turns.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
                         F.coalesce(F.col(role), F.lit("")).alias("role"), F.col(parts).alias("parts"))
     rows = rows.select("conv", "turn", "role", F.coalesce(
-        F.array_join(F.transform("parts", _visit), ""), F.lit("")).alias("content"),
+        _visited(F.col("parts")), F.lit("")).alias("content"),
         F.transform(media, lambda p: F.struct(
             p["kind"].alias("kind"), p["ref"].alias("ref"), _tokens(p, expansion).alias("tokens"))).alias("media"))
     rows = rows.select(
@@ -125,6 +133,6 @@ def read_turns(formatted: Column) -> Column:
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the mask, unescaped and joined. Cut out of the bytes."""
-    return F.array_join(F.transform(spans, lambda s: unescape(
-        F.decode(F.substr(F.encode(formatted, "UTF-8"), (s["start"] + 1).cast("int"), s["length"]), "UTF-8"))), "")
+    """All text under the mask, unescaped and joined. Cut out of the bytes, which are made once."""
+    return let(F.encode(formatted, "UTF-8"), lambda data: F.array_join(F.transform(spans, lambda s: unescape(
+        F.decode(F.substr(data, (s["start"] + 1).cast("int"), s["length"]), "UTF-8"))), ""))
