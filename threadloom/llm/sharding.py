@@ -6,8 +6,10 @@ the next shard with room. With the tight bound used here (all rows divided by th
 more) the counts differ by one at most, whatever the keys; a row leaves its home only where that is full.
 
 Only counts per bin are seen by the driver, and the number of bins is a parameter. A bin is a cell and a salt
-of the row, so that many rows with one key are numbered by several tasks. Rows with null keys have one cell;
-null texts have size 8; equal rows get slots of their own. An empty table gives an empty result.
+of key and text, so that many rows with one key are numbered by several tasks. Nothing depends on how the rows are dealt
+out: the same rows get the same shards and slots in any number of files. Rows with null keys have one cell; null texts
+have size 8, texts of any length are only measured and hashed; equal rows are in one bin and get slots of their own. An
+empty table gives an empty result; columns of other names are not read, whatever they are called.
 """
 
 from __future__ import annotations
@@ -76,15 +78,15 @@ def shard_rows(df: DataFrame, shards: int, key: str = "doc_id", text: str = "tex
     with Workspace(spark) as work:
         rows = work.keep(df.select(
             F.col(key).alias("key"), (F.octet_length(whole) + F.lit(8).cast("bigint")).alias("size"),
-            F.crc32(whole).alias("text_crc32"), F.monotonically_increasing_id().alias("row")), "rows")
+            F.crc32(whole).alias("text_crc32"), F.xxhash64(F.col(text)).alias("hash")), "rows")
         binned = rows.select(
             "*", F.pmod(F.xxhash64("key"), F.lit(cells)).cast("int").alias("cell"),
-            F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt"))
+            F.pmod(F.xxhash64("key", "hash"), F.lit(salts)).cast("int").alias("salt"))
         counts = {(r["cell"], r["salt"]): r["count"] for r in binned.groupBy("cell", "salt").count().collect()}
         ranges = F.broadcast(spark.createDataFrame(
             place_bins(counts, shards, cells),
             "cell int, salt int, first bigint, last bigint, shard int, slot_of_first bigint"))
-        number = F.row_number().over(Window.partitionBy("cell", "salt").orderBy("key", "row"))
+        number = F.row_number().over(Window.partitionBy("cell", "salt").orderBy("key", "hash", "size", "text_crc32"))
         numbered = binned.withColumn("number", number.cast("bigint"))
         sharded = numbered.join(ranges, ["cell", "salt"]).where("number BETWEEN first AND last")
         return result(spark, sharded.select(
