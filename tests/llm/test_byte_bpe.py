@@ -82,3 +82,12 @@ def test_nulls_other_columns_and_empty_table(spark):
     assert sorted(bytes(r.decoded) for r in out.collect()) == [b"", b"", "héllo".encode(), "héllo".encode()]
     assert byte_bpe.decode_tokens(df.where("tokens IS NULL"), RANKS).count() == 2
     assert byte_bpe.encode_texts(df.where("false"), RANKS, PATTERN).count() == 0
+
+
+def test_encoding_and_decoding_in_one_worker(spark):
+    texts = ["", None, "hello  wörld 'll 123", "é漢퟿ x" * 50, "ab" * 3000]
+    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(texts)], "tokens_ int, text string, decoded_ string")
+    both = byte_bpe.encode_and_decode(df, RANKS, PATTERN)
+    one = byte_bpe.decode_tokens(byte_bpe.encode_texts(df, RANKS, PATTERN), RANKS)
+    assert both.schema == one.schema and sorted(both.collect()) == sorted(one.collect())
+    assert [bytes(r.decoded).decode() for r in both.orderBy("tokens_").collect()] == [t or "" for t in texts]

@@ -335,6 +335,36 @@ def encode_texts(df: DataFrame, ranks_file: str, pattern: str, text: str = "text
     return _with_column(df, out, "array<int>", text, ranks_file, ids, Encoder, pattern, stand_ins())
 
 
+def encode_and_decode(df: DataFrame, ranks_file: str, pattern: str, text: str = "text", tokens: str = "tokens",
+                      out: str = "decoded") -> DataFrame:
+    """Adds the token ids of each whole text and the bytes they stand for, in one worker."""
+    spark = df.sparkSession
+    importable(spark)
+    with open(ranks_file, "rb") as f:
+        ranks = spark.sparkContext.broadcast(f.read())  # a vocabulary's size
+    odd = stand_ins()
+    carried = [c for c in df.columns if c not in (tokens, out)]
+    fields = "".join(f"`{c.replace('`', '``')}` {t}, " for c, t in df.dtypes if c in carried)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(ranks.value, pattern, odd), Decoder(ranks.value)
+        for batch in batches:
+            encoder.learn(batch.column(text))
+            for start in range(0, batch.num_rows, _ROWS):
+                rows = batch.slice(start, _ROWS)
+                flat, ends, decoded = array("i"), [0], []
+                for t in rows.column(text):
+                    ids = encoder.encode(t.as_py() or "")
+                    decoded.append(decoder.decode(ids.tolist()))
+                    flat.extend(ids)
+                    ends.append(len(flat))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [*[rows.column(c) for c in carried], lists, pa.array(decoded, pa.binary())], names=[*carried, tokens, out])
+
+    return df.mapInArrow(tidy(run), f"{fields}`{tokens}` array<int>, `{out}` binary")
+
+
 def decode_tokens(df: DataFrame, ranks_file: str, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
     """Adds the bytes that the ids stand for."""
     def texts(decoder: Decoder, ids: pa.Array) -> pa.Array:
