@@ -18,9 +18,8 @@ short lists are merged while long ones are only probed:
    the whole intersection. For every set the candidate with most occurrences goes first; candidates already in
    its component are not looked at again.
 5. Lists that are still long, of large groups of near copies, are not merged. All their sets are probed with one of
-   them, twice, the second time one outside the list's largest component. Lists that have sets in common then are a
-   group, and its sets outside its largest component are counted against all of it, block by block: a block holds about
-   BLOCK sets of like size, and a task two blocks. So no link between different sets is lost and none is capped. Many
+   them. Lists that are not tied by that and have sets in common are a group, and its sets outside its largest component
+   are counted against all of it, block by block: a block holds about BLOCK sets of like size, and a task two blocks. So no link between different sets is lost and none is capped. Many
    sets that share most shingles without being linked stay quadratic in their number.
 
 Rows with a null id get a null component. Repeated rows have one component; an id with two texts belongs to both
