@@ -41,9 +41,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and the digest of what they decode to."""
-    encoded = byte_bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), RANKS, PATTERN)
-    decoded = byte_bpe.decode_tokens(encoded.drop("text"), RANKS)
-    return decoded.select("doc_id", "lang", "source", "tokens", F.size("tokens").cast("bigint").alias("n_tokens"),
+    both = byte_bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), RANKS, PATTERN)
+    return both.select("doc_id", "lang", "source", "tokens", F.size("tokens").cast("bigint").alias("n_tokens"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
