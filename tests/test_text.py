@@ -111,3 +111,13 @@ def test_tags(evaluate):
     got = evaluate(TAG_CASES, lambda c: tg.tag_entropy(tg.tags_to_list(c)))
     assert got == pytest.approx([0, 0, 1, 0.9182958340544896, 1, 0, 1, 0])
     assert all(math.copysign(1, g) == 1 for g in got)
+
+
+def test_syllables_of_long_runs_and_odd_words(evaluate):
+    import random
+    import re
+    rng = random.Random(3)
+    texts = ["a" * n for n in range(1, 40)] + ["", "b", "b c", "bcd a xyz", "ß é y", "_1_ 22", "eau oui aïe"]
+    texts += [" ".join("".join(rng.choice("aeiouybcdß_1é") for _ in range(rng.randrange(1, 14))) for _ in range(rng.randrange(30))) for _ in range(200)]
+    wanted = [sum(max(1, len(re.findall("[aeiouy]+", w))) for w in re.findall(r"\w+", t)) for t in texts]
+    assert evaluate(texts, lambda c: tx.syllable_count(tx.tokenize(c))) == wanted

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from threadloom import rules
 from threadloom.functions.binding import constant, let
-from threadloom.functions.regex import contains_any, to_java
+from threadloom.functions.matcher import first_contained
+from threadloom.functions.regex import to_java
 from threadloom.functions.text import normalize_text
 
 MAX_PLACES = 10_000
 UNKNOWN = ("unknown", "Unknown")
+_USA, _GEORGIA = ("usa", "North America"), ("georgia", "Asia")
 
 
 def place_table(cities: Mapping[str, Sequence[str]] | None = None) -> list[tuple[str, str, str]]:
@@ -56,7 +58,8 @@ def country_and_continent(location: Column, places: Sequence[tuple[str, str, str
     First hit wins: "georgia, usa"; a two-letter state code after the first comma
     that is followed by two letters; a state name anywhere; a Georgian city; the
     first place keyword that occurs.  Everything is evaluated within the row: no
-    join, so no shuffle and no hot location.
+    join, so no shuffle and no hot location.  All keywords are searched for in one
+    walk over the text (see ``functions.matcher``), so a longer table costs nothing more.
     """
     places = places if places is not None else place_table()
     return let(location, lambda text: _place(text, places))
@@ -64,25 +67,19 @@ def country_and_continent(location: Column, places: Sequence[tuple[str, str, str
 
 def _place(location: Column, places: Sequence[tuple[str, str, str]]) -> Column:
     code = F.upper(F.regexp_extract(location, to_java(r",\s*([a-z]{2})\b"), 1))
-    states = constant(rules.US_STATES, "array<string>")
-    is_usa = (
-        location.rlike(to_java(r"\bgeorgia[, ]+usa\b"))
-        | F.array_contains(constant(rules.US_STATE_CODES, "array<string>"), code)
-        | F.exists(states, lambda s: location.contains(s)))
-    table = constant([{"keyword": k, "country": c, "continent": n} for k, c, n in places],
-                     "array<struct<keyword:string,country:string,continent:string>>")
+    is_usa = location.rlike(to_java(r"\bgeorgia[, ]+usa\b")) | F.array_contains(constant(rules.US_STATE_CODES, "array<string>"), code)
+    # States and Georgian cities come before all places, so one search for the first keyword decides.
+    named = [*[(s, *_USA) for s in rules.US_STATES], *[(c, *_GEORGIA) for c in rules.GEORGIA_CITIES], *places]
+    table = constant([{"country": c, "continent": n} for _, c, n in named], "array<struct<country:string,continent:string>>")
+    hit = F.get(table, first_contained(location, [k for k, _, _ in named]))
 
     def place(country: str, continent: str) -> Column:
         return F.struct(F.lit(country).alias("country"), F.lit(continent).alias("continent"))
 
-    hits = F.transform(
-        F.filter(table, lambda p: location.contains(p["keyword"])),
-        lambda p: F.struct(p["country"].alias("country"), p["continent"].alias("continent")))
     return (
         F.when(location == "", place(*UNKNOWN))
-        .when(is_usa, place("usa", "North America"))
-        .when(contains_any(location, rules.GEORGIA_CITIES), place("georgia", "Asia"))
-        .otherwise(F.coalesce(F.get(hits, F.lit(0)), place(*UNKNOWN))))
+        .when(is_usa, place(*_USA))
+        .otherwise(F.coalesce(hit, place(*UNKNOWN))))
 
 
 def location_text(location: Column) -> Column:
