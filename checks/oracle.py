@@ -366,4 +366,14 @@ ORACLE = {
     "split_changes": f"""WITH {_FEATURES} SELECT id, posttypeid,
         CAST(CASE WHEN posttypeid = 1 THEN score + 1000 ELSE score END AS INTEGER) AS score, category
         FROM features WHERE posttypeid IN (1, 2)""",
+    "sql_functions": f"""WITH {POSTS_SQL}, tagged AS (SELECT *, {_TAGS} AS list FROM v_posts)
+        SELECT "Id", array_to_string(list, '|') AS tags, {_count('"Body"', r"(?i)<a\s+href=")} AS external_link_count,
+               CAST(regexp_matches("Body", '(?i)<img\\s+src=') AS INTEGER) AS has_image,
+               CAST(len({_BLOCKS}) AS INTEGER) AS code_block_count, {_FIRST_BLOCK} AS first_block FROM tagged""",
+    "sql_classifiers": f"""WITH {_USERS}, {COMMENTS_SQL}
+        SELECT 'comment' AS kind, "Id", {_COMMENT_CLASS} AS class FROM v_comments
+        UNION ALL SELECT 'type', CAST("Id" AS VARCHAR), "UserType" FROM processed
+        UNION ALL SELECT 'degree', CAST("Id" AS VARCHAR), "Degree" FROM processed""",
 }
+ORACLE["sql_text_stats"] = ORACLE["text_stats"]
+ORACLE["sql_tag_counts"] = ORACLE["tag_counts"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import shapes
+from threadloom.functions import sql as sql_functions_of
 from threadloom.functions import tags as tg
 from threadloom.functions import text as tx
 from threadloom.operators import classify, places, split, validate
@@ -311,6 +312,44 @@ def users_processed(spark, sf):
     return pu.users_processed(raw_users(spark, sf), places=PLACES)
 
 
+# ---- the same in SQL ----------------------------------------------------------------------
+
+@query
+def sql_functions(spark, sf):
+    """Text functions called from SQL, over all posts."""
+    sql_functions_of.register(spark, "tl_")
+    return spark.sql("""
+        SELECT Id, array_join(tl_tag_list(Tags), '|') AS tags, tl_link_count(Body) AS external_link_count,
+               CAST(tl_has_image(Body) AS INT) AS has_image, size(tl_code_blocks(Body)) AS code_block_count,
+               coalesce(try_element_at(tl_code_blocks(Body), 1), '') AS first_block FROM {posts}""", posts=shapes.posts(spark, sf))
+
+
+@query
+def sql_text_stats(spark, sf):
+    sql_functions_of.register(spark, "tl_")
+    return spark.sql("""
+        SELECT *, tl_reading_ease(word_count, sentence_count, syllable_count) AS flesch_reading FROM (
+          SELECT doc_id, size(tl_words(text)) AS word_count, tl_sentence_count(text) AS sentence_count,
+                 tl_syllable_count(text) AS syllable_count FROM {docs})""", docs=shapes.table(spark, sf, "documents"))
+
+
+@query
+def sql_classifiers(spark, sf):
+    """Classes of all comments and users by SQL functions."""
+    sql_functions_of.register(spark, "tl_")
+    return spark.sql("""
+        SELECT 'comment' AS kind, Id, tl_comment_class(Text) AS class FROM {comments}
+        UNION ALL SELECT 'type', Id, tl_user_type(bio, WebsiteUrl) FROM {users}
+        UNION ALL SELECT 'degree', Id, tl_user_degree(bio) FROM {users}""", comments=shapes.comments(spark, sf), users=_bios(spark, sf))
+
+
+@query
+def sql_tag_counts(spark, sf):
+    """A table function, for each post."""
+    sql_functions_of.register(spark, "tl_")
+    return spark.sql("SELECT Id, t.tag, t.n FROM {posts} p, LATERAL tl_tag_counts(p.Tags) t", posts=shapes.posts(spark, sf))
+
+
 # ---- split, append, upsert --------------------------------------------------------------
 
 @query
