@@ -335,11 +335,10 @@ class _Join:
         kind = self.docs.schema["key"].dataType.simpleString()
         sets = work.keep(self.docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
             tidy(_heads(percent, width)), f"key {kind}, hash bigint, row bigint, n bigint, print binary, head binary"), "sets")
-        self.rows = work.keep(sets.select("key", "n", "print"), "rows")
+        self.rows = sets.select("key", "n", "print")
         self.classes = work.keep(sets.where("n > 0 AND key IS NOT NULL").groupBy("print").agg(
             F.min("row").alias("id"), F.min(F.struct("key", "hash")).alias("first"), F.any_value("n").alias("n"),
             F.any_value("head").alias("head")).select("print", "id", "first.*", "n", "head"), "classes")
-        work.forget("sets")
         self.whole, self.links, self.turn = None, None, 0
 
     def need(self, ids: DataFrame) -> DataFrame:
@@ -352,6 +351,8 @@ class _Join:
                                 f"wanted_{self.turn}")
         same = (F.col("key") == F.col("key_")) & (F.col("hash") == F.col("hash_"))
         count = wanted.count()
+        if not count and self.whole is not None:
+            return self.whole.where("false")
         # The other texts stay where they are, if the list is small enough for every executor.
         listed = F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted
         whole = self.docs.join(listed, same).select("id", "text").mapInArrow(
