@@ -18,6 +18,7 @@ def brute(text, patterns):
 def test_random_patterns(evaluate, monkeypatch, alphabet, count, fits):
     if not fits:
         monkeypatch.setattr(matcher, "MAX_ENTRIES", 3)
+        monkeypatch.setattr(matcher, "automaton", matcher.Automaton)
     rng = random.Random(count)
     patterns = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 7))) for _ in range(count)]
     texts = ["".join(rng.choice(alphabet + "zü") for _ in range(rng.randrange(25))) for _ in range(150)] + ["", None]

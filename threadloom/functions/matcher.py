@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +18,11 @@ from threadloom.functions.binding import constant, let
 MAX_ENTRIES = 500_000
 
 
+@cache
+def automaton(patterns: tuple[str, ...]) -> Automaton:
+    return Automaton(patterns)
+
+
 class Automaton:
     """`goto[state * classes + class]` is the next state shifted by `bits`, and below it the number of the first pattern (in
     the given order) that ends there, or `none`. `classes_of` gives the class of each code point, and at its end that of
@@ -64,7 +70,7 @@ def first_contained(text: Column, patterns: Sequence[str]) -> Column:
     """Number of the first pattern, in the given order, that the text contains; NULL if it contains none."""
     if not patterns:
         return F.lit(None).cast("int")
-    made = Automaton(patterns)
+    made = automaton(tuple(patterns))
     if made.goto is None:
         numbered = F.transform(constant(list(patterns), "array<string>"), lambda p, i: F.when(text.contains(p), i))
         return F.array_min(numbered)
