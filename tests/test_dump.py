@@ -329,3 +329,13 @@ def test_work_folders_are_new_and_named_on_a_cluster(spark):
     assert first != second and (not named or first.startswith(named))
     with pytest.raises(ValueError):
         work_folder(Cluster, "x")
+
+
+def test_stream_of_elements_over_several_lines(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.xml").write_text('<comments>\n<row Id="1"\n  PostId="4"\n  Text="why?"/><row\nId="2" Score="x"></row>\n</comments>')
+    args = [str(src), str(tmp_path / "out"), str(tmp_path / "state")]
+    ingest.stream_comments(spark, *args, layout="xml").awaitTermination()
+    assert [(r.Id, r.CommentClass) for r in spark.read.parquet(args[1]).collect()] == [(1, "Clarification Seeking")]
+    assert [r.error_reason for r in spark.read.json(f"{args[1]}-rejected").collect()] == ["bad Score"]

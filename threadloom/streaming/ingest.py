@@ -21,27 +21,28 @@ BATCH = "batch"
 
 
 def stream_comments(spark: SparkSession, src: str, dst: str, checkpoint: str, max_files: int | None = None,
-                    rejects: str | None = None, **options) -> StreamingQuery:
+                    rejects: str | None = None, layout: str = "text", **options) -> StreamingQuery:
     """Comments to a table with a folder per batch, each dump row exactly once, also after a restart.
 
-    Rejected rows go to ``rejects``, by default beside the table, in the same way.
+    Rejected rows go to ``rejects``, by default beside the table, in the same way. ``layout`` is "xml" for elements that
+    span lines.
     """
     refuse_other_data(spark, dst)
-    return _start(stream_dump(spark, src, COMMENTS, max_files), comments_rejected, rejects or f"{dst}-rejected", checkpoint,
+    return _start(stream_dump(spark, src, COMMENTS, max_files, layout), comments_rejected, rejects or f"{dst}-rejected", checkpoint,
                   lambda batch, name: _put(comments_processed(batch, **options), dst, name))
 
 
 def stream_users(spark: SparkSession, src: str, dst: str, checkpoint: str, max_files: int | None = None,
-                 rejects: str | None = None, **options) -> StreamingQuery:
+                 rejects: str | None = None, layout: str = "text", **options) -> StreamingQuery:
     refuse_other_data(spark, dst)
-    return _start(stream_dump(spark, src, USERS, max_files), users_rejected, rejects or f"{dst}-rejected", checkpoint,
+    return _start(stream_dump(spark, src, USERS, max_files, layout), users_rejected, rejects or f"{dst}-rejected", checkpoint,
                   lambda batch, name: _put(users_processed(batch, **options), dst, name))
 
 
 def stream_posts(spark: SparkSession, src: str, dst: str, checkpoint: str, max_files: int | None = None,
-                 step: int | None = None, rejects: str | None = None, **options) -> StreamingQuery:
+                 step: int | None = None, rejects: str | None = None, layout: str = "text", **options) -> StreamingQuery:
     """Posts upserted per micro-batch; a batch that is run again gives the same table."""
-    return _start(stream_dump(spark, src, POSTS, max_files), posts_rejected, rejects or f"{dst}-rejected", checkpoint,
+    return _start(stream_dump(spark, src, POSTS, max_files, layout), posts_rejected, rejects or f"{dst}-rejected", checkpoint,
                   lambda batch, name: upsert(batch.sparkSession, posts_features(batch, **options), dst,
                                              order=["lastactivitydate"], step=step))
 
