@@ -49,7 +49,7 @@ WORD_MIN, PAIR_MIN = 3, 5  # what is seen less often in a class gives its count
 FLOOR = 1e-3  # added to ratios per word before their logarithm is taken for the regression
 MIX = 0.03  # share of a toxic text's words that are said to come from the toxic model
 KINDS = 8  # bitmaps of 32 bits
-HELD = 1 << 20  # distinct words a task holds before it gives them out
+HELD = 1 << 18  # distinct words a task holds before it gives them out
 CALIBRATION = 4  # one labelled row in so many is kept for the regression
 _BLANK = 32
 _PLAIN = np.full(256, _BLANK, np.uint8)  # A-Z lower, what is no part of a word blank
