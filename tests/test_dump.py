@@ -87,6 +87,16 @@ def test_preview_and_count(spark, dump_file, tmp_path):
     assert [r.line for r in dump.preview(spark, str(parts), 7).collect()] == ["00", "01", "02", "10", "11", "12", "20"]
 
 
+def test_preview_does_not_depend_on_which_task_is_first(spark, tmp_path):
+    """Written on several executors, a limit over a shuffle keeps the lines that arrive first."""
+    for i in range(8):
+        (tmp_path / f"part-{i}").write_text("".join(f"{i}-{j}\n" for j in range(40)))
+    lines = dump.preview(spark, str(tmp_path), 40)
+    plan = lines.where("line <> ''")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Limit" not in plan, plan
+    assert [r.line for r in lines.collect()] == [f"0-{j}" for j in range(40)]
+
+
 def test_posts_features(spark, dump_file):
     raw = dump.scan_dump(spark, dump_file, POSTS)
     features = pp.posts_features(raw)

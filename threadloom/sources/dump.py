@@ -105,14 +105,13 @@ def preview(spark: SparkSession, path, n: int = 40) -> DataFrame:
     parts = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
              .where("length > 0").select("path"))
     files = [r[0] for r in parts.orderBy("path").toLocalIterator()]
-    lines, at = spark.createDataFrame([], "value string"), 0
-    while at < len(files):
-        # Each part with content has a line, unless it is a compressed empty one.
-        more = [spark.read.text(f) for f in files[at:at + n]]
-        lines, at = reduce(DataFrame.union, more, lines), at + n
-        if at >= len(files) or lines.limit(n).count() >= n:
-            break
-    return lines.select(strip(F.col("value")).alias("line")).limit(n)
+    lines, at = [], 0
+    while at < len(files) and len(lines) < n:
+        more = reduce(DataFrame.union, [spark.read.text(f) for f in files[at:at + n]])
+        # Taken in the order of the parts and of their splits; a limit that is written takes what a shuffle brings first.
+        lines += [r[0] for r in more.take(n - len(lines))]
+        at += n
+    return spark.createDataFrame([(line,) for line in lines], "value string").select(strip(F.col("value")).alias("line"))
 
 
 def line_count(spark: SparkSession, path, n: int = 40) -> DataFrame:
