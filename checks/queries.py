@@ -74,7 +74,7 @@ def preview_empty_parts(spark, sf):
     for _ in range(45):
         empty.write.mode("append").text(path)
     rows = shapes.comments(spark, sf).orderBy(F.col("Id").cast("bigint"))
-    dump.to_dump_lines(rows).coalesce(1).write.mode("append").text(path)
+    dump.to_dump_lines(rows).write.mode("append").text(path)  # sorted parts, in name order
     return dump.preview(spark, path, 40)
 
 
