@@ -8,6 +8,7 @@ from test_near_dedup import brute_set, near_copies
 
 from threadloom.llm import jaccard_join
 from threadloom.llm.jaccard_join import components, merge_skip
+from threadloom.llm.work import Workspace
 
 
 def brute(rows, percent=85, width=4):
@@ -91,3 +92,28 @@ def test_merge_skip():
         for least in (1, 2, 3, 5):
             counts = Counter(x for ids in lists for x in ids)
             assert dict(merge_skip(lists, least)) == {x: n for x, n in counts.items() if n >= least}
+
+
+def test_few_rows_are_few_tasks(spark, monkeypatch):
+    """Whatever the session deals a shuffle into: small tables are not written in as many files."""
+    words = [f"w{i}" for i in range(80)]
+    texts = [" ".join(words[:60 + i % 20]) + (f" z{i // 2}" if i % 3 else "") for i in range(60)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string").coalesce(2)
+    files, keep = {}, Workspace.keep
+
+    def counting(self, df, name):
+        kept = keep(self, df, name)
+        files[name] = len(kept.inputFiles())
+        return kept
+
+    monkeypatch.setattr(Workspace, "keep", counting)
+    options = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        jaccard_join.components(docs).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files and max(files.values()) <= 24, files

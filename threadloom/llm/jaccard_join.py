@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.components import connected
 from threadloom.llm.shingles import shingle_sets, text_slices
-from threadloom.llm.work import Workspace, importable, result, tidy
+from threadloom.llm.work import Workspace, dealt, importable, result, tidy
 
 TAU = 3
 SHORT, LONG = 32, 128  # entries: above SHORT a shingle is moved to the end, above LONG its list is not merged
@@ -49,6 +49,7 @@ FREQUENT = 1_000_000  # shingles known to every task, eight bytes each
 SALT = 16
 BROADCAST_ROWS = 2_000_000  # of three numbers each
 HUB_ROUNDS, BLOCK = 1, 400  # rounds of single sets; sets in a block
+ENTRIES, NUMBERS, SETS, PAIRS = 250_000, 100_000, 4000, 4  # a task's rows of lists, of some numbers, of whole sets, and pairs of blocks
 
 
 def required(n, percent: int):
@@ -335,11 +336,11 @@ class _Join:
         kind = self.docs.schema["key"].dataType.simpleString()
         sets = work.keep(self.docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
             tidy(_heads(percent, width)), f"key {kind}, hash bigint, row bigint, n bigint, print binary, head binary"), "sets")
-        self.rows = sets.select("key", "n", "print")
-        self.classes = work.keep(sets.where("n > 0 AND key IS NOT NULL").groupBy("print").agg(
+        self.rows, self.number = sets.select("key", "n", "print"), sets.count()
+        self.classes = work.keep(dealt(sets.where("n > 0 AND key IS NOT NULL").groupBy("print").agg(
             F.min("row").alias("id"), F.min(F.struct("key", "hash")).alias("first"), F.any_value("n").alias("n"),
-            F.any_value("head").alias("head")).select("print", "id", "first.*", "n", "head"), "classes")
-        self.whole, self.links, self.turn = None, None, 0
+            F.any_value("head").alias("head")).select("print", "id", "first.*", "n", "head"), self.number), "classes")
+        self.whole, self.links, self.turn, self.entered = None, None, 0, 0
 
     def need(self, ids: DataFrame) -> DataFrame:
         """Makes the whole sets of the classes `ids` (id), unless they are there; those that were not there."""
@@ -347,8 +348,8 @@ class _Join:
         ids = ids.distinct()
         if self.whole is not None:
             ids = ids.join(self.whole.select("id"), "id", "left_anti")
-        wanted = self.work.keep(self.classes.join(ids, "id").select(F.col("key").alias("key_"), F.col("hash").alias("hash_"), "id"),
-                                f"wanted_{self.turn}")
+        wanted = self.classes.join(ids, "id").select(F.col("key").alias("key_"), F.col("hash").alias("hash_"), "id")
+        wanted = self.work.keep(dealt(wanted, self.number), f"wanted_{self.turn}")
         same = (F.col("key") == F.col("key_")) & (F.col("hash") == F.col("hash_"))
         count = wanted.count()
         if not count and self.whole is not None:
@@ -359,7 +360,7 @@ class _Join:
             tidy(_whole(self.width)), "id bigint, n bigint, elements binary")
         whole = self.work.keep(whole, f"whole_{self.turn}")
         if whole.count() > count:  # repeated rows
-            whole = self.work.keep(whole.dropDuplicates(["id"]), f"whole_{self.turn}_once")
+            whole = self.work.keep(dealt(whole.dropDuplicates(["id"]), count, SETS), f"whole_{self.turn}_once")
         self.whole = whole if self.whole is None else self.whole.unionByName(whole)
         return whole
 
@@ -383,22 +384,23 @@ class _Join:
         self.need(heads.mapInArrow(tidy(_untold(self.percent, known)), "id bigint"))
         return self.work.keep(heads.unionByName(self.whole).mapInArrow(tidy(_entries(self.percent, known)), _ENTRIES), "entries")
 
-    def probe(self, pairs: DataFrame) -> int:
-        """Adds the links among the pairs (a, b) that are not tied yet; how many there are."""
+    def probe(self, pairs: DataFrame, rows: int) -> int:
+        """Adds the links among the pairs (a, b), at most some `rows`, that are not tied yet; how many there are."""
         self.turn += 1
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = self.work.keep(pairs, f"pairs_{self.turn}")
+        pairs = self.work.keep(dealt(pairs, rows, NUMBERS), f"pairs_{self.turn}")
         sets = self.whole.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").select("id", "elements")
         with_both = pairs.join(sets.toDF("a", "ea"), "a").join(sets.toDF("b", "eb"), "b")
-        found = self.work.keep(with_both.select("a", "b", "ea", "eb").mapInArrow(tidy(_probed(self.percent)), "a bigint, b bigint"),
-                               f"links_{self.turn}")
+        with_both = dealt(with_both.select("a", "b", "ea", "eb"), pairs.count(), SETS)
+        found = self.work.keep(with_both.mapInArrow(tidy(_probed(self.percent)), "a bigint, b bigint"), f"links_{self.turn}")
         self.links = found if self.links is None else self.links.unionByName(found)
         return found.count()
 
     def roots(self) -> DataFrame:
         """id, root for sets that are tied to another. From here on the links are those to the root."""
         self.turn += 1
-        roots = self.work.keep(connected(self.work, self.links, f"tied_{self.turn}"), f"roots_{self.turn}")
+        roots = connected(self.work, self.links, f"tied_{self.turn}", self.links.count())
+        roots = self.work.keep(dealt(roots, self.number, NUMBERS), f"roots_{self.turn}")
         self.links = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
         return roots.withColumnRenamed("node", "id")
 
@@ -412,70 +414,75 @@ class _Join:
     def short_lists(self, entries: DataFrame) -> DataFrame:
         """Links of all lists but the long ones; which those are (x)."""
         long = entries.where("late").groupBy("x").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > LONG).select("x")
-        long = self.work.keep(long, "long_late")
+        rows = entries.count()
+        long = self.work.keep(dealt(long, rows, ENTRIES), "long_late")
         short = entries.join(long, "x", "left_anti").select("x", "id", "n", "at")
-        lists = self.work.keep(short.repartition("x").sortWithinPartitions("x", "id").mapInArrow(
+        lists = self.work.keep(dealt(short.repartition("x"), rows, ENTRIES).sortWithinPartitions("x", "id").mapInArrow(
             tidy(_lists(self.percent, LONG)), "q bigint, n bigint, ids array<bigint>"), "lists")
-        found = self.work.keep(lists.where("n IS NOT NULL").repartition("q").sortWithinPartitions("q").mapInArrow(
+        found = self.work.keep(dealt(lists.where("n IS NOT NULL").repartition("q"), lists.count(), NUMBERS).sortWithinPartitions("q").mapInArrow(
             tidy(_candidates(self.percent)), "a bigint, b bigint, n bigint"), "candidates")
         self.need(found.select(F.explode(F.array("a", "b")).alias("id")))
-        self.probe(found.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")))
-        self.probe(self.apart(found))
+        self.probe(found.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")), self.number)
+        self.probe(self.apart(found), found.count())
         long = self.work.keep(long.unionByName(lists.where("n IS NULL").select(F.col("q").alias("x"))), "long_all")
         self.work.forget("lists", "candidates")
         return long
 
     def long_lists(self, entries: DataFrame) -> None:
         """entries: x, id, n, at of the lists that are not merged."""
-        entries = self.work.keep(entries, "long")
+        entries = self.work.keep(dealt(entries, self.entered, ENTRIES), "long")
         self.work.forget("entries")
         if entries.isEmpty():
             return
         self.need(entries.select("id"))
+        rows = entries.count()
         for turn in range(HUB_ROUNDS + 1):
-            rooted = self.rooted(entries)
-            by_root = rooted.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c"))
-            lists = self.work.keep(by_root.groupBy("x").agg(
+            rooted = self.rooted(entries, rows)
+            by_root = dealt(rooted.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c")), rows, ENTRIES)
+            lists = self.work.keep(dealt(by_root.groupBy("x").agg(
                 F.sum("c").alias("size"), F.max("c").alias("most"), F.max_by("root", F.struct("c", "root")).alias("largest")
-            ).where("most < size"), f"lists_{self.turn}")
+            ).where("most < size"), rows, ENTRIES), f"lists_{self.turn}")
             if lists.isEmpty():
                 return
             if turn < HUB_ROUNDS:
                 outside = rooted.join(lists, "x").where("root <> largest").select(
                     "x", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
                 one = F.min_by(F.struct("b", "nb", "at_b", "root_b"), F.xxhash64("b", F.lit(turn)))
-                self.probe(self.close(rooted, outside.groupBy("x").agg(one.alias("hub")).select("x", "hub.*")))
-        self.blocks(rooted.join(lists.select("x"), "x"))
+                self.probe(self.close(rooted, outside.groupBy("x").agg(one.alias("hub")).select("x", "hub.*")), rows)
+        self.blocks(rooted.join(lists.select("x"), "x"), rows)
 
-    def blocks(self, entries: DataFrame) -> None:
+    def blocks(self, entries: DataFrame, rows: int) -> None:
         """Links among the sets of lists that are in different components, counted block by block."""
         first = F.min("id").alias("b")
         edges = entries.join(entries.groupBy("x").agg(first), "x").select(F.col("id").alias("a"), "b")
-        groups = self.work.keep(connected(self.work, edges, "grouped"), "groups").toDF("id", "group")
+        groups = connected(self.work, edges, "grouped", rows)
+        groups = self.work.keep(dealt(groups, self.number, NUMBERS), "groups").toDF("id", "group")
         # Sets that link are of one size level or of neighbouring ones.
         level = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / self.percent)) + F.lit(1e-9)).cast("int")
-        sets = self.work.keep(entries.select("id", "root", "n").distinct().join(groups, "id").withColumn("level", level), "grouped_sets")
+        sets = dealt(entries.select("id", "root", "n"), rows, ENTRIES).distinct().join(groups, "id").withColumn("level", level)
+        sets = self.work.keep(dealt(sets, self.number, NUMBERS), "grouped_sets")
         largest = sets.groupBy("group", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("group").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
         sizes = sets.groupBy("group", "level").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
         sets = sets.join(largest, "group").join(sizes, ["group", "level"]).select(
             "group", "level", "id", "root", (F.col("root") != F.col("largest")).alias("outside"), F.pmod(F.hash("id"), F.col("blocks")).alias("block"))
-        sets = self.work.keep(sets, "blocked_sets")
+        sets = self.work.keep(dealt(sets, self.number, NUMBERS), "blocked_sets")
         places = sets.groupBy("group", "level", "block").agg(F.max("outside").alias("outside"))
         near = places.select("group", F.explode(F.array(*[F.col("level") + i for i in (-1, 0, 1)])).alias("level"),
                              F.col("level").alias("level_b"), F.col("block").alias("block_b"))
         met = places.where("outside").join(near, ["group", "level"])
-        met = self.work.keep(met.withColumn("task", F.monotonically_increasing_id()).drop("outside"), "block_pairs")
+        met = dealt(met, self.number, NUMBERS).withColumn("task", F.monotonically_increasing_id()).drop("outside")
+        met = self.work.keep(met, "block_pairs")
         asks = sets.where("outside").join(met, ["group", "level", "block"]).select("task", F.lit(0).alias("side"), "id", "root")
         all_sets = sets.join(met.select("group", F.col("level_b").alias("level"), F.col("block_b").alias("block"), "task"),
                              ["group", "level", "block"]).select("task", F.lit(1).alias("side"), "id", "root")
         rows = asks.unionByName(all_sets).join(self.whole.select("id", "elements"), "id")
-        found = rows.select("task", "side", "id", "root", "elements").repartition("task").sortWithinPartitions("task").mapInArrow(
+        found = dealt(rows.select("task", "side", "id", "root", "elements").repartition("task"), met.count(), PAIRS).sortWithinPartitions("task").mapInArrow(
             tidy(_counted(self.percent)), "a bigint, b bigint")
         self.links = self.links.unionByName(self.work.keep(found, "links_blocks"))
 
-    def rooted(self, entries: DataFrame) -> DataFrame:
+    def rooted(self, entries: DataFrame, rows: int) -> DataFrame:
         rooted = entries.join(self.roots(), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        return self.work.keep(rooted, f"rooted_{self.turn}")
+        return self.work.keep(dealt(rooted, rows, ENTRIES), f"rooted_{self.turn}")
 
     def close(self, rooted: DataFrame, others: DataFrame) -> DataFrame:
         """Pairs of a list that are in different components and may link by size and place. A list's entries are dealt out
@@ -497,8 +504,10 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     with Workspace(spark) as work:
         join = _Join(work, docs, key, text, percent, width)
         entries = join.entries()
+        join.entered = entries.count()
         join.long_lists(entries.join(join.short_lists(entries), "x"))
-        return result(spark, _named(join).select(
+        named = dealt(_named(join), join.number, NUMBERS)
+        return result(spark, named.select(
             F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")))
 
 
@@ -509,6 +518,6 @@ def _named(join: _Join) -> DataFrame:
     first = tied.groupBy("root").agg(F.min("key").alias("component")).withColumn("salt", F.explode(F.array(*map(F.lit, range(SALT)))))
     named = tied.join(first, ["root", "salt"]).select("print", "component").unionByName(
         rooted.where("root IS NULL").select("print", F.col("key").alias("component")))
-    named = join.work.keep(named, "named")
+    named = join.work.keep(dealt(named, join.number, NUMBERS), "named")
     return join.rows.join(named, "print", "left").select(
         "key", "n", F.when(F.col("key").isNotNull() & (F.col("n") > 0), F.col("component")).alias("component"))
