@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -91,3 +92,19 @@ def test_encoding_and_decoding_in_one_worker(spark):
     one = byte_bpe.decode_tokens(byte_bpe.encode_texts(df, RANKS, PATTERN), RANKS)
     assert both.schema == one.schema and sorted(both.collect()) == sorted(one.collect())
     assert [bytes(r.decoded).decode() for r in both.orderBy("tokens_").collect()] == [t or "" for t in texts]
+
+
+def test_a_worker_that_also_decodes_remembers_less(spark):
+    with open(RANKS, "rb") as f:
+        encoder = byte_bpe.Encoder(f.read(), PATTERN, cached=50)
+    texts = [f"word{i} and wörd{i * 7} again{i % 9}" for i in range(1300)]
+    for text in texts:
+        encoder.learn(pa.array([text]))
+        encoder.encode(text)
+        assert len(encoder.seen) <= 100 and len(encoder.seen.older) <= 100
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id int, text string").coalesce(1)
+    both = byte_bpe.encode_and_decode(df, RANKS, PATTERN).collect()
+    alone = {r.doc_id: r.tokens for r in byte_bpe.encode_texts(df, RANKS, PATTERN).collect()}
+    assert len(both) == len(texts)
+    for r in both:
+        assert r.tokens == alone[r.doc_id] and bytes(r.decoded).decode() == texts[r.doc_id]

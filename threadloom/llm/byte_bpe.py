@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from threadloom.llm.work import importable, tidy
 
 CACHED = 150_000  # different pre-tokens a worker remembers, and as many used before them
+CACHED_BOTH, LEARNT_BOTH = 50_000, 500  # where it decodes too: as many, and rows learnt at once
 _ROWS = 128  # of one output batch
 _AT_ONCE = 200_000  # pre-tokens that share a queue
 _SHORT = 4096  # bytes of a pre-token whose lists need not be packed
@@ -71,14 +72,14 @@ class Decoder:
 class _Seen(dict):
     """Packed ids of pre-tokens. When it is full, what was used since it last was stays."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, cached: int = CACHED):
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.older, self.cached = encode, {}, cached
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece) or self.encode(piece.encode("utf-8", "replace"))
         if len(piece) < 64:
-            if len(self) >= 2 * CACHED:
+            if len(self) >= 2 * self.cached:
                 self.older = dict(self)
                 self.clear()
             self[piece] = ids
@@ -86,7 +87,7 @@ class _Seen(dict):
 
 
     def add(self, ids: dict[str, bytes]) -> None:
-        if len(self) + len(ids) > CACHED:
+        if len(self) + len(ids) > self.cached:
             self.older = dict(self)
             self.clear()
         self.update(ids)
@@ -96,7 +97,7 @@ class Encoder:
     """`ranks`: lines of a base64 token and its rank. `pattern` cuts a text into pre-tokens. `odd`: see
     `stand_ins`."""
 
-    def __init__(self, ranks: bytes, pattern: str, odd: dict[int, str] | None = None):
+    def __init__(self, ranks: bytes, pattern: str, odd: dict[int, str] | None = None, cached: int = CACHED):
         self.rank = {t: r for r, t in tokens(ranks).items()}
         self.longest = max(map(len, self.rank))
         self.split = regex.compile(pattern)
@@ -110,7 +111,7 @@ class Encoder:
         self.merge_table = np.array(order, np.int64), np.array([self.merge[k] for k in order], np.int32)
         self.first = [self.rank.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
         self.low = [0] * ((max(self.rank.values()) >> 8) + 1)  # all zero between pre-tokens
-        self.seen = _Seen(self.encode_piece)
+        self.seen = _Seen(self.encode_piece, cached)
 
     def encode_piece(self, piece: bytes) -> bytes:
         """Ids as packed 32-bit numbers."""
@@ -347,10 +348,11 @@ def encode_and_decode(df: DataFrame, ranks_file: str, pattern: str, text: str =
     fields = "".join(f"`{c.replace('`', '``')}` {t}, " for c, t in df.dtypes if c in carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(ranks.value, pattern, odd), Decoder(ranks.value)
+        encoder, decoder = Encoder(ranks.value, pattern, odd, CACHED_BOTH), Decoder(ranks.value)
         for batch in batches:
-            encoder.learn(batch.column(text))
             for start in range(0, batch.num_rows, _ROWS):
+                if start % LEARNT_BOTH < _ROWS:
+                    encoder.learn(batch.column(text).slice(start, LEARNT_BOTH + _ROWS))
                 rows = batch.slice(start, _ROWS)
                 flat, ends, decoded = array("i"), [0], []
                 for t in rows.column(text):
