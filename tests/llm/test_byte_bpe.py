@@ -108,3 +108,22 @@ def test_a_worker_that_also_decodes_remembers_less(spark):
     assert len(both) == len(texts)
     for r in both:
         assert r.tokens == alone[r.doc_id] and bytes(r.decoded).decode() == texts[r.doc_id]
+
+
+@pytest.mark.parametrize(("cached", "at_once"), [(3, 2), (50, 7), (100_000, 500)])
+def test_texts_of_a_batch_are_split_once(theirs, monkeypatch, cached, at_once):
+    with open(RANKS, "rb") as f:
+        encoder = byte_bpe.Encoder(f.read(), PATTERN, cached=cached)
+    monkeypatch.setattr(byte_bpe, "_LONG", 3000)
+    monkeypatch.setattr(byte_bpe, "_RUN", 2000)
+    texts = [f"word{i} and wörd{i * 7} again{i % 9}  " + "x" * (i % 90) for i in range(60)]
+    texts += [None, "", "é漢\uD7FF x" * 50, *byte_bpe.stand_ins().values(), "".join(map(chr, [*byte_bpe.stand_ins()][:40])),
+              "long text " * 400, "again0"]
+    split = []
+    pieces = encoder._pieces
+    monkeypatch.setattr(encoder, "_pieces", lambda text: split.append(text) or pieces(text))
+    for _ in range(2):
+        split.clear()
+        got = [list(ids) for ids in encoder.encode_all(pa.array(texts), at_once)]
+        assert got == [theirs.encode_ordinary(t or "") for t in texts]
+        assert sorted(split) == sorted(t or "" for t in texts)

@@ -22,7 +22,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache, partial
 from heapq import heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame
 from threadloom.llm.work import importable, tidy
 
 CACHED = 150_000  # different pre-tokens a worker remembers, and as many used before them
-CACHED_BOTH, LEARNT_BOTH = 50_000, 500  # where it decodes too: as many, and rows learnt at once
+LEARNT = 2000  # rows learnt at once
+CACHED_BOTH, LEARNT_BOTH = 50_000, 500  # the same where it decodes too
 _ROWS = 128  # of one output batch
 _AT_ONCE = 200_000  # pre-tokens that share a queue
 _SHORT = 4096  # bytes of a pre-token whose lists need not be packed
 _HIGH, _BIT = [b << 8 for b in range(256)], [1 << b for b in range(256)]
 _LONG = 1 << 16  # characters; longer texts are split lazily
+_RUN = 1 << 23  # characters whose pre-tokens are held at once
 
 
 @cache
@@ -280,8 +282,11 @@ class Encoder:
 
     def learn(self, texts: pa.Array) -> None:
         """Encodes the short pre-tokens of the texts that were not seen, all at once."""
-        seen, older = self.seen, self.seen.older
-        new = {p for t in texts if len(s := t.as_py() or "") <= _LONG for p in self._pieces(s) if p not in seen and len(p) < 64}
+        seen = self.seen
+        self._learn({p for t in texts if len(s := t.as_py() or "") <= _LONG for p in self._pieces(s) if p not in seen and len(p) < 64})
+
+    def _learn(self, new: set[str]) -> None:
+        older = self.seen.older
         ids = {p: older[p] for p in new if p in older}
         pieces = {p: p.encode("utf-8", "replace") for p in new if p not in ids}
         ids |= {p: self.rank[b].to_bytes(4, sys.byteorder) for p, b in pieces.items() if b in self.rank}
@@ -289,7 +294,42 @@ class Encoder:
         for i in range(0, len(several), _AT_ONCE):
             part = several[i:i + _AT_ONCE]
             ids.update(zip(part, self.encode_pieces([pieces[p] for p in part])))
-        seen.add(ids)
+        self.seen.add(ids)
+
+    def encode_all(self, texts: pa.Array, at_once: int) -> Iterator[array]:
+        """Ids of each text. Texts are split once, in runs of at most `at_once` rows and about _RUN characters; the
+        pre-tokens of a run that were not seen are learnt together and filled in."""
+        run: list[tuple[str | list[bytes | str], list[int]]] = []
+        new: dict[str, str] = {}
+        held = 0
+        for t in texts:
+            text = t.as_py() or ""
+            if len(text) > _LONG:
+                run.append((text, []))
+            else:
+                pieces = list(self._pieces(text))
+                row = list(map(self.seen.get, pieces, pieces))  # its ids, or the pre-token itself
+                unknown = [i for i, p in enumerate(row) if p.__class__ is str]
+                for i in unknown:
+                    row[i] = new.setdefault(row[i], row[i])  # one object for all that are equal
+                run.append((row, unknown))
+            held += len(text)
+            if len(run) >= at_once or held >= _RUN:
+                yield from self._filled(run, new)
+                run, new, held = [], {}, 0
+        yield from self._filled(run, new)
+
+    def _filled(self, run: list[tuple[str | list[bytes | str], list[int]]], new: dict[str, str]) -> Iterator[array]:
+        self._learn({p for p in new if len(p) < 64})
+        for row, unknown in run:
+            if row.__class__ is str:
+                yield self.encode(row)
+                continue
+            for i in unknown:
+                row[i] = self.seen[row[i]]
+            out = array("i")
+            out.frombytes(b"".join(row))
+            yield out
 
     def _pieces(self, text: str) -> Iterable[str]:
         if not text.isascii() and not self.odd_characters.isdisjoint(text):
@@ -314,24 +354,26 @@ def _with_column(df: DataFrame, out: str, type_: str, source: str, ranks_file: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = kind(ranks.value, *more)
         for batch in batches:
-            if kind is Encoder:
-                tool.learn(batch.column(source))
-            for start in range(0, batch.num_rows, _ROWS):
-                rows = batch.slice(start, _ROWS)
-                made = make(tool, rows.column(source))
+            start = 0
+            for made in make(tool, batch.column(source)):
+                rows = batch.slice(start, len(made))
                 yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in carried], made], names=[*carried, out])
+                start += len(made)
 
     return df.mapInArrow(tidy(run), f"{fields}, `{out}` {type_}" if fields else f"`{out}` {type_}")
 
 
+def _lists(ids: list[array]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+
+
 def encode_texts(df: DataFrame, ranks_file: str, pattern: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """Adds the token ids of each whole text, an array of int."""
-    def ids(encoder: Encoder, texts: pa.Array) -> pa.Array:
-        flat, ends = array("i"), [0]
-        for t in texts:
-            flat.extend(encoder.encode(t.as_py() or ""))
-            ends.append(len(flat))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+    def ids(encoder: Encoder, texts: pa.Array) -> Iterator[pa.Array]:
+        encoded = encoder.encode_all(texts, LEARNT)
+        while part := list(islice(encoded, _ROWS)):
+            yield _lists(part)
 
     return _with_column(df, out, "array<int>", text, ranks_file, ids, Encoder, pattern, stand_ins())
 
@@ -350,27 +392,22 @@ def encode_and_decode(df: DataFrame, ranks_file: str, pattern: str, text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(ranks.value, pattern, odd, CACHED_BOTH), Decoder(ranks.value)
         for batch in batches:
+            encoded = encoder.encode_all(batch.column(text), LEARNT_BOTH)
             for start in range(0, batch.num_rows, _ROWS):
-                if start % LEARNT_BOTH < _ROWS:
-                    encoder.learn(batch.column(text).slice(start, LEARNT_BOTH + _ROWS))
-                rows = batch.slice(start, _ROWS)
-                flat, ends, decoded = array("i"), [0], []
-                for t in rows.column(text):
-                    ids = encoder.encode(t.as_py() or "")
-                    decoded.append(decoder.decode(ids.tolist()))
-                    flat.extend(ids)
-                    ends.append(len(flat))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
+                rows, part = batch.slice(start, _ROWS), list(islice(encoded, _ROWS))
+                decoded = pa.array([decoder.decode(ids.tolist()) for ids in part], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [*[rows.column(c) for c in carried], lists, pa.array(decoded, pa.binary())], names=[*carried, tokens, out])
+                    [*[rows.column(c) for c in carried], _lists(part), decoded], names=[*carried, tokens, out])
 
     return df.mapInArrow(tidy(run), f"{fields}`{tokens}` array<int>, `{out}` binary")
 
 
 def decode_tokens(df: DataFrame, ranks_file: str, tokens: str = "tokens", out: str = "decoded") -> DataFrame:
     """Adds the bytes that the ids stand for."""
-    def texts(decoder: Decoder, ids: pa.Array) -> pa.Array:
-        flat, ends = ids.flatten().to_numpy().tolist(), [0, *np.cumsum(pc.list_value_length(ids).fill_null(0)).tolist()]
-        return pa.array([decoder.decode(flat[b:e]) for b, e in zip(ends, ends[1:])], pa.binary())
+    def texts(decoder: Decoder, ids: pa.Array) -> Iterator[pa.Array]:
+        for start in range(0, len(ids), _ROWS):
+            part = ids.slice(start, _ROWS)
+            flat, ends = part.flatten().to_numpy().tolist(), [0, *np.cumsum(pc.list_value_length(part).fill_null(0)).tolist()]
+            yield pa.array([decoder.decode(flat[b:e]) for b, e in zip(ends, ends[1:])], pa.binary())
 
     return _with_column(df, out, "binary", tokens, ranks_file, texts, Decoder)
