@@ -126,3 +126,21 @@ def test_word_hashes_do_not_depend_on_the_slice(monkeypatch):
     monkeypatch.setattr(shingles, "_SLICE", 4)
     parts = [h.tolist() for _, d, e in shingles.text_slices(texts) for h in [shingles.word_hashes(d, e)[0]]]
     assert sum(whole, []) == sum(parts, []) and len(parts) > len(whole)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_pairs_of_a_shingle_are_those_that_sizes_and_places_allow(spark, percent):
+    rng = random.Random(percent)
+    rows = [(i, n, i % 3, rng.randint(n * percent // 100, n), i) for i in range(150) for n in [rng.choice([1, 2, 5, 37, 100, 101, 10 ** 6])]]
+    some = spark.createDataFrame(rows, "id bigint, n bigint, x bigint, rest bigint, root bigint")
+    got = near_dedup._facing(some, some, percent).collect()
+    pairs = [(r.id, r.b) for r in got]
+    assert len(pairs) == len(set(pairs))
+    assert {(a, b) for a, n, x, rest, _ in rows for b, nb, xb, rest_b, _ in rows
+            if x == xb and n <= nb and (100 + percent) * min(rest, rest_b) >= percent * (n + nb)} <= set(pairs)
+
+
+def test_sets_that_meet_too_late_are_not_paired(spark):
+    """Each has 100 shingles, and the one they share comes after 16 of its own: no two of them can be linked at 80 percent."""
+    many = spark.range(400).selectExpr("id", "100L n", "7L x", "84L rest", "id root")
+    assert near_dedup._facing(many, many, 80).count() == 0

@@ -37,6 +37,7 @@ from threadloom.llm.work import importable, result, tidy, Workspace
 BAND, BANDS = 4, 24  # a pair at 0.85 shares no band once in 50 million times
 SMALL = 48  # buckets up to this size give all their pairs
 BROADCAST_ROWS = 2_000_000  # of three numbers each
+BANDS_OF_SIZE = 16  # for sizes up to e times as large
 _SURE = 6.0  # standard deviations of the estimate
 
 
@@ -260,10 +261,30 @@ def _rest_links(classes: _Classes, links: DataFrame, large: DataFrame, texts: Da
     rooted = work.keep(rare.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
     largest = rooted.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("x").agg(
         F.max_by("root", "c").alias("largest"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("x", "largest")
-    outside = rooted.join(largest, "x").where("root <> largest").select(
-        F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("root_b"), F.col("rest").alias("rest_b"), "x")
+    outside = rooted.join(largest, "x").where("root <> largest").select(*rooted.columns)
     links = roots.select(F.col("root").alias("a"), F.col("id").alias("b"))  # the same components
-    return verified(rooted.join(outside, "x").where((F.col("root") != F.col("root_b")) & close("nb", "rest_b")), "rest")
+    facing = _facing(rooted, outside, percent).unionByName(_facing(outside, rooted, percent))
+    return verified(facing.where((F.col("root") != F.col("root_b")) & (F.col("n") <= F.col("nb")) & close("nb", "rest_b")), "rest")
+
+
+def _facing(some: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a shingle (x) that linked sets may have, the set of `some` being no larger than that of `others`. What is
+    still to come in a set bounds the sizes that the other may have; so sets that meet in a shingle too late are not
+    paired, however many they are, as those with a passage in common that differ elsewhere."""
+    def band(n: Column) -> Column:
+        return F.floor(F.log(n) * BANDS_OF_SIZE).cast("int")
+
+    def bands(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(band(first), band(last)))
+
+    most = F.floor((100 + percent) * F.col("rest") / percent) - F.col("n")  # elements of the other set
+    small = some.where(most >= F.col("n")).select(
+        "id", "n", "x", "rest", "root", band(F.col("n")).alias("band"), bands(F.col("n"), most).alias("band_b"))
+    least = F.ceil(F.col("n") * percent / 100)
+    large = others.where(most >= least).select(
+        "x", bands(least, F.least(most, "n")).alias("band"), band(F.col("n")).alias("band_b"), F.col("id").alias("b"),
+        F.col("n").alias("nb"), F.col("rest").alias("rest_b"), F.col("root").alias("root_b"))
+    return small.join(large, ["x", "band", "band_b"])
 
 
 def _grouped(work: Workspace, docs: DataFrame, key: str, text: str, percent: int, width: int) -> DataFrame:
