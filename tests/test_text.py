@@ -121,3 +121,21 @@ def test_syllables_of_long_runs_and_odd_words(evaluate):
     texts += [" ".join("".join(rng.choice("aeiouybcdß_1é") for _ in range(rng.randrange(1, 14))) for _ in range(rng.randrange(30))) for _ in range(200)]
     wanted = [sum(max(1, len(re.findall("[aeiouy]+", w))) for w in re.findall(r"\w+", t)) for t in texts]
     assert evaluate(texts, lambda c: tx.syllable_count(tx.tokenize(c))) == wanted
+
+
+def test_syllables_of_a_folded_text_are_those_of_its_words(evaluate):
+    import random
+    rng = random.Random(5)
+    texts = ["", " ", "b", "b-c", "bcd, a.xyz", "ıſı bſc ı", "ßcd é y'y", "_1_ 22!", "κλμ яе 𝒜b 𐐨", "áe x́y", "e" * 40]
+    texts += ["".join(rng.choice("aeiouybcdtß_1éıſя .,-'\n") for _ in range(rng.randrange(60))) for _ in range(300)]
+    words = evaluate(texts, lambda c: tx.syllable_count(tx.tokenize(c)))
+    assert evaluate(texts, lambda c: tx.syllable_count_of(tx.fold(F.lower(c)), tx.words_of(F.lower(c)))) == words
+
+
+def test_features_lower_each_text_once_and_count_syllables_in_it(spark):
+    from threadloom.plans.posts import post_texts, posts_features
+    from threadloom.schemas import POSTS, raw_schema
+    raw = spark.createDataFrame([], raw_schema(POSTS))
+    tokens = post_texts(raw)._jdf.queryExecution().analyzed().toString()
+    assert "regexp_extract_all(lower(" not in tokens
+    assert tx._SYLLABLE not in posts_features(raw)._jdf.queryExecution().analyzed().toString()

@@ -33,6 +33,7 @@ _LINK = rf"<(?iu:a){SPACE}+(?iu:href=)"
 _IMAGE = rf"<(?iu:img){SPACE}+(?iu:src=)"
 _NON_BLANK_LINE = rf"[^\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}][^{LINE_BREAK}]*+"
 _SYLLABLE = "[aeiouy]+| [^ aeiouy]++(?= )"
+_NO_VOWEL = " [^ aeiouyı]+(?= )"
 _ALL = 2**31 - 1
 _TOO_BIG = 0x110000
 _MAP = "map<string,string>"
@@ -163,7 +164,12 @@ def has_image(body: Column) -> Column:
 # ---- words ----------------------------------------------------------------------
 
 def tokenize(text: Column) -> Column:
-    return extract_all(F.lower(text), f"{WORD}+", 0)
+    return words_of(F.lower(text))
+
+
+def words_of(lowered: Column) -> Column:
+    """The words of a text that is in lower case already."""
+    return extract_all(lowered, f"{WORD}+", 0)
 
 
 def sentence_count(text: Column) -> Column:
@@ -184,6 +190,16 @@ def syllable_count(tokens: Column) -> Column:
     return count_many(spaced, _SYLLABLE)
 
 
+def syllable_count_of(folded: Column, tokens: Column) -> Column:
+    """The same for a lower-cased text that is folded already, and its words before that.
+
+    Vowels are letters, so the runs are counted in the text; only words without a vowel are looked for among the words.
+    Each is a pattern that begins with one class or character and repeats it greedily, which Java runs as a loop.
+    """
+    spaced = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+    return count_many(folded, "[aeiouy]+") + count_many(spaced, _NO_VOWEL)
+
+
 def flesch_reading_ease(words: Column, sentences: Column, syllables: Column) -> Column:
     score = (F.lit(206.835) - F.lit(1.015) * F.try_divide(words, sentences)
              - F.lit(84.6) * F.try_divide(syllables, words))

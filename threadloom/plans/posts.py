@@ -63,7 +63,7 @@ def posts_features(raw: DataFrame, escape_backslashes: bool = True, stored_lengt
         "body": stored("_body"),
         "word_count": words,
         "sentence_count": sentences,
-        "flesch_reading": tx.flesch_reading_ease(words, sentences, tx.syllable_count(F.col("_tokens"))),
+        "flesch_reading": tx.flesch_reading_ease(words, sentences, tx.syllable_count_of(F.col("_fold"), F.col("_tokens"))),
         "code_block_count": F.size("_blocks"),
         "code_total_lines": tx.non_blank_lines(F.col("_blocks")),
         "has_link": (links > 0).cast("int"),
@@ -99,10 +99,10 @@ def post_texts(raw: DataFrame, topic_patterns=None, topic_keywords=None) -> Data
             F.concat(F.col("_decoded")[0], F.lit(" "), tx.strip_tags(F.col("_decoded")[1])).alias("_text"),
             tx.code_blocks(F.col("_body")).alias("_blocks"))
         .select("*", F.lower("_text").alias("_lower"))
-        .select("*", tx.fold(F.col("_lower")).alias("_fold"), tx.tokenize(F.col("_lower")).alias("_tokens"))
+        .select("*", tx.fold(F.col("_lower")).alias("_fold"), tx.words_of(F.col("_lower")).alias("_tokens"))
         .select("*", topic_words(F.col("_tokens")).alias("_words"))
         .select("*", F.when(F.col("_fold") == F.col("_lower"), F.col("_words"))
-                .otherwise(topic_words(tx.tokenize(F.col("_fold")))).alias("_fold_words")))
+                .otherwise(topic_words(tx.words_of(F.col("_fold")))).alias("_fold_words")))
 
 
 def post_scores(topic_patterns=None, topic_keywords=None) -> dict[str, Column]:
