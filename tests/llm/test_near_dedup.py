@@ -1,10 +1,12 @@
 """Components against a brute-force version, and the registers against known similarities."""
 
+import functools
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from threadloom.llm import near_dedup, set_sketch, shingles
 
@@ -144,3 +146,38 @@ def test_sets_that_meet_too_late_are_not_paired(spark):
     """Each has 100 shingles, and the one they share comes after 16 of its own: no two of them can be linked at 80 percent."""
     many = spark.range(400).selectExpr("id", "100L n", "7L x", "84L rest", "id root")
     assert near_dedup._facing(many, many, 80).count() == 0
+
+
+def test_frequent_shingles_are_not_joined(spark):
+    """300 sets with 100 shingles in common and one that each shares with its neighbour."""
+    elements = spark.range(300).selectExpr("id", "explode(concat(sequence(0L, 99L), array(1000 + id div 2))) x")
+    shared = elements.groupBy("x").agg(F.count("*").alias("df")).where("df > 1")
+    rows = near_dedup._uncommon(elements, shared, shared.where("df > 48")).collect()
+    assert sorted(tuple(r) for r in rows) == [(i, 2, 1000 + i // 2) for i in range(300)]
+
+
+@pytest.mark.parametrize("frequent", [1, 7, 10 ** 4])
+def test_the_exact_rest_with_any_number_of_frequent_shingles(spark, monkeypatch, frequent):
+    """Groups at the limit of the links, one text with nothing of its own and one with nothing else."""
+    monkeypatch.setattr(near_dedup, "SMALL", 2)
+    monkeypatch.setattr(near_dedup, "FREQUENT", frequent)
+    texts = near_copies(90, 21, 60) + near_copies(40, 22, 100)
+    rows = list(enumerate([*texts, " ".join(texts[0].split()[:55]), *(f"{t} end of it" for t in texts[:30])]))
+    assert found(spark, rows) == brute(rows)
+    monkeypatch.setitem(globals(), "brute_set", functools.partial(brute_set, width=5))
+    assert found(spark, rows, percent=80, width=5) == brute(rows, 80)
+
+
+def test_a_set_finds_its_frequent_shingles_in_their_order():
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"id": [4, 5, 6, 7], "text": ["a b c d e", None, "x y z", "c d e"]})
+    of = {}
+    for part in near_dedup._elements(3)([batch]):
+        for i, x in zip(part["id"].to_pylist(), part["x"].to_pylist()):
+            of.setdefault(i, []).append(x)
+    ordered = np.array([of[7][0], *(x for x in of[4] if x != of[7][0]), 5], np.int64)
+    got = [r for part in near_dedup._frequent(3, ordered)([batch]) for r in part.to_pylist()]
+    assert got == [{"id": 4, "many": 3, "frequent": ordered[:3].tolist()}, {"id": 5, "many": 0, "frequent": []},
+                   {"id": 6, "many": 0, "frequent": []}, {"id": 7, "many": 1, "frequent": of[7]}]
+    nothing = [r["many"] for part in near_dedup._frequent(3, ordered[:0])([batch]) for r in part.to_pylist()]
+    assert nothing == [0, 0, 0, 0]

@@ -37,6 +37,7 @@ from threadloom.llm.work import importable, result, tidy, Workspace
 BAND, BANDS = 4, 24  # a pair at 0.85 shares no band once in 50 million times
 SMALL = 48  # buckets up to this size give all their pairs
 BROADCAST_ROWS = 2_000_000  # of three numbers each
+FREQUENT = 1 << 15  # shingles of more than SMALL sets that tasks look up by themselves
 BANDS_OF_SIZE = 16  # for sizes up to e times as large
 _SURE = 6.0  # standard deviations of the estimate
 
@@ -169,6 +170,29 @@ def _elements(width: int):
     return run
 
 
+def _frequent(width: int, ordered: np.ndarray):
+    """id, many, frequent: how many of a set's shingles are in `ordered`, and which, in that order."""
+    place = np.argsort(ordered)
+    values = ordered[place]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, elements, ends in _batches(batch.column("text"), width):
+                x = elements.view(np.int64)
+                at = np.searchsorted(values, x)
+                known = np.zeros(len(x), bool)
+                inside = at < len(values)
+                known[inside] = values[at[inside]] == x[inside]
+                owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[known]
+                rank = place[at[known]]
+                offsets = np.searchsorted(owner, np.arange(len(ends) + 1)).astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ordered[rank[np.lexsort((rank, owner))]]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(row, len(ends)), pa.array(np.diff(offsets).astype(np.int64)), found],
+                    names=["id", "many", "frequent"])
+    return run
+
+
 class _Classes:
     """Different sets, and what is asked of pairs of them."""
 
@@ -217,23 +241,35 @@ def _bucket_links(classes: _Classes) -> tuple[DataFrame, DataFrame, DataFrame]:
     return work.keep(classes.links(likely, texts), "links"), large, texts
 
 
+def _uncommon(elements: DataFrame, shared: DataFrame, frequent: DataFrame) -> DataFrame:
+    """id, df, x: the shingles (x) of a set that others (df) have too, but for the frequent ones."""
+    return elements.join(shared.join(F.broadcast(frequent.select("x")), "x", "left_anti"), "x").select("id", "df", "x")
+
+
 def _rare_shingles(classes: _Classes, large: DataFrame, texts: DataFrame) -> DataFrame:
     """id, n, x, alone, rest: for members of large buckets the rarest shingles, as many as linked sets may differ in
     and one more, so that linked sets share one. `alone`: how many no other has; they come before all and are not
-    listed. `rest`: how many shingles are left from this one on."""
+    listed. `rest`: how many shingles are left from this one on. The FREQUENT most frequent ones, those that a large group
+    of copies shares, come last in the order of all; a set finds its own among them without a join."""
     work = classes.work
     members = work.keep(large.join(classes.table.select("id", "n"), "id"), "members")
-    elements = work.keep(texts.join(members.select("id"), "id").select("id", "text").mapInArrow(
-        tidy(_elements(classes.width)), "id bigint, x bigint"), "elements")
-    shared = elements.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    rare = elements.join(shared, "x").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs"))
+    own = texts.join(members.select("id"), "id").select("id", "text")
+    # By the hash of their ids, as the files of the texts are few where these are.
+    elements = work.keep(own.repartition("id").mapInArrow(tidy(_elements(classes.width)), "id bigint, x bigint"), "elements")
+    shared = work.keep(elements.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
+    frequent = work.keep(shared.where(F.col("df") > SMALL).orderBy(F.desc("df"), F.desc("x")).limit(FREQUENT), "frequent")
+    ordered = np.array([r.x for r in frequent.orderBy("df", "x").collect()], np.int64)
+    last = own.mapInArrow(tidy(_frequent(classes.width, ordered)), "id bigint, many bigint, frequent array<bigint>")
+    first = _uncommon(elements, shared, frequent).groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("df", "x"))).alias("xs")).select("id", "xs.x")
+    rare = members.join(last, "id").join(first, "id", "left").withColumn("x", F.coalesce("x", F.array().cast("array<bigint>")))
     may_differ = F.col("n") - F.ceil(F.col("n") * classes.percent / 100) + 1
-    alone = F.col("n") - F.size("xs")
-    rare = rare.join(members, "id").where(may_differ > alone).select(
-        "id", "n", F.posexplode(F.slice("xs.x", F.lit(1), (may_differ - alone).cast("int"))).alias("at", "x"),
+    alone = F.col("n") - F.size("x") - F.col("many")
+    rare = rare.where(may_differ > alone).select(
+        "id", "n", F.posexplode(F.slice(F.concat("x", "frequent"), F.lit(1), (may_differ - alone).cast("int"))).alias("at", "x"),
         alone.alias("alone"))
     rare = work.keep(rare.withColumn("rest", F.col("n") - F.col("alone") - F.col("at")).drop("at"), "rare")
-    work.forget("elements")
+    work.forget("elements", "shared", "frequent")
     return rare
 
 
