@@ -254,8 +254,7 @@ def _rare_shingles(classes: _Classes, large: DataFrame, texts: DataFrame) -> Dat
     work = classes.work
     members = work.keep(large.join(classes.table.select("id", "n"), "id"), "members")
     own = texts.join(members.select("id"), "id").select("id", "text")
-    # By the hash of their ids, as the files of the texts are few where these are.
-    elements = work.keep(own.repartition("id").mapInArrow(tidy(_elements(classes.width)), "id bigint, x bigint"), "elements")
+    elements = work.keep(own.mapInArrow(tidy(_elements(classes.width)), "id bigint, x bigint"), "elements")
     shared = work.keep(elements.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
     frequent = work.keep(shared.where(F.col("df") > SMALL).orderBy(F.desc("df"), F.desc("x")).limit(FREQUENT), "frequent")
     ordered = np.array([r.x for r in frequent.orderBy("df", "x").collect()], np.int64)
